@@ -1,0 +1,129 @@
+"""Compare each registered Spark query with its DuckDB oracle SQL.
+
+Run as a script: ``python tests/oracle_check.py /root/testdata/sf0.01 [name ...]``.
+Prints one line per query: rows, column names, and an order-insensitive hash
+of canonicalised values.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import hashlib
+import math
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+    "labels conversations"
+).split()
+
+
+def canon(v) -> str:
+    if v is None:
+        return "<null>"
+    if isinstance(v, bool):
+        return str(v)
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return repr(v + 0.0)
+    if isinstance(v, decimal.Decimal):
+        return format(v.normalize(), "f") if v != 0 else "0"
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return str(v)
+
+
+def digest(columns: list[str], rows: list[tuple]) -> tuple[int, list[str], str]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    lines = sorted("|".join(canon(r[i]) for i in order) for r in rows)
+    h = hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
+    return len(rows), sorted(columns), h, lines
+
+
+def duck(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def run_oracle(con, sql: str):
+    rel = con.sql(sql)
+    cols = [d[0] for d in rel.description]
+    return cols, rel.fetchall()
+
+
+def run_spark(spark, fn, sf_dir):
+    df = fn(spark, sf_dir)
+    rows = [tuple(r) for r in df.collect()]
+    return df.columns, rows
+
+
+def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool = True) -> dict[str, dict]:
+    import __spark_entry__ as E
+
+    qs, sqls = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    results = {}
+    for name in names or list(qs):
+        t0 = time.time()
+        try:
+            scols, srows = run_spark(spark, qs[name], sf_dir)
+        except Exception as e:  # report and continue
+            results[name] = {"ok": False, "error": f"spark: {type(e).__name__}: {str(e)[:300]}"}
+            if verbose:
+                print(f"{name:32s} SPARK ERROR {results[name]['error']}", flush=True)
+            continue
+        ts = time.time() - t0
+        sn, snames, sh, slines = digest(scols, srows)
+        if name not in sqls:
+            results[name] = {"ok": None, "rows": sn, "spark_sec": round(ts, 2)}
+            if verbose:
+                print(f"{name:32s} rows={sn:<7d} (no oracle) {ts:.1f}s", flush=True)
+            continue
+        try:
+            ocols, orows = run_oracle(con, sqls[name])
+        except Exception as e:
+            results[name] = {"ok": False, "error": f"duckdb: {type(e).__name__}: {str(e)[:300]}"}
+            if verbose:
+                print(f"{name:32s} DUCKDB ERROR {results[name]['error']}", flush=True)
+            continue
+        on, onames, oh, olines = digest(ocols, orows)
+        ok = (sn, snames, sh) == (on, onames, oh)
+        results[name] = {"ok": ok, "rows": sn, "oracle_rows": on, "spark_sec": round(ts, 2)}
+        if verbose:
+            print(f"{name:32s} rows={sn:<7d} oracle={on:<7d} {'OK' if ok else 'MISMATCH'} {ts:.1f}s", flush=True)
+            if not ok:
+                if snames != onames:
+                    print("   columns spark :", snames)
+                    print("   columns oracle:", onames)
+                sset, oset = set(slines), set(olines)
+                for line in sorted(sset - oset)[:3]:
+                    print("   spark only :", line[:300])
+                for line in sorted(oset - sset)[:3]:
+                    print("   oracle only:", line[:300])
+    return results
+
+
+if __name__ == "__main__":
+    from stagewise.session import build_session
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:] or None
+    spark = build_session("local[8]", shuffle_partitions=8)
+    res = compare(spark, sf, names)
+    bad = [k for k, v in res.items() if v.get("ok") is False]
+    print("FAILED:", bad if bad else "none")
