@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import fixed, human_size, iso_date, percent, thousands
-from .marts import RISK_ORDER
+from .marts import risk_order
 
 
 def _present(col: str) -> F.Column:
@@ -93,7 +93,7 @@ def alerts(
             "risk_score", "revenue", "product_id",
         )
         .filter(F.col("title").isNotNull())
-        .orderBy(*RISK_ORDER)
+        .orderBy(*risk_order())
         .limit(limit)
         .select("title", "metric", "severity", "detail")
     )
@@ -189,8 +189,8 @@ def summary_report(
     ).select((F.col("pos") + 1).cast("int").alias("line_no"), "line")
     # ``risk_scores`` is the top-25 table, so this global ordering window
     # covers at most ``limit`` rows.
-    top = risk_scores.orderBy(*RISK_ORDER).limit(limit)
-    rank = F.row_number().over(Window.orderBy(*RISK_ORDER))
+    top = risk_scores.orderBy(*risk_order()).limit(limit)
+    rank = F.row_number().over(Window.orderBy(*risk_order()))
     sep = F.lit(" | ")
     items = top.select(
         (F.lit(5) + rank).cast("int").alias("line_no"),

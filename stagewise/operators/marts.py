@@ -110,11 +110,13 @@ def _project(df: DataFrame, mart: str) -> DataFrame:
     )
 
 
-RISK_ORDER = (
-    F.col("risk_score").desc_nulls_last(),
-    F.col("revenue").desc_nulls_last(),
-    F.col("product_id").asc_nulls_first(),
-)
+def risk_order() -> list[F.Column]:
+    """Risk desc, revenue desc, then product id (a total order within a month)."""
+    return [
+        F.col("risk_score").desc_nulls_last(),
+        F.col("revenue").desc_nulls_last(),
+        F.col("product_id").asc_nulls_first(),
+    ]
 
 
 def product_risk_scores(monthly: DataFrame, limit: int = K.TOP_RISK_LIMIT) -> DataFrame:
@@ -123,7 +125,7 @@ def product_risk_scores(monthly: DataFrame, limit: int = K.TOP_RISK_LIMIT) -> Da
     ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its
     own top ``limit`` rows, only those reach the final merge.
     """
-    return _project(current_rows(monthly), "product_risk_scores").orderBy(*RISK_ORDER).limit(limit)
+    return _project(current_rows(monthly), "product_risk_scores").orderBy(*risk_order()).limit(limit)
 
 
 def product_stage_history(monthly: DataFrame) -> DataFrame:
