@@ -1,0 +1,208 @@
+"""Raw JSON-lines readers, partition pruning, raw-zone inventory, and the
+mart/CSV/JDBC/JSON sinks."""
+
+from __future__ import annotations
+
+import csv
+import datetime as dt
+import glob
+import json
+import os
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from stagewise import schemas as SC
+from stagewise.operators import insights, marts, monthly
+from stagewise.plans import pipeline
+from stagewise.plans.registry import m0 as build_m0
+from stagewise.plans.registry import write_raw_zone
+from stagewise.sinks import writers
+from stagewise.sources import jsonl
+
+
+def _write_lines(path: str, rows: list[dict | str]) -> None:
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as fh:
+        for r in rows:
+            fh.write((r if isinstance(r, str) else json.dumps(r)) + "\n")
+
+
+@pytest.fixture
+def raw_zone(tmp_dir):
+    root = f"{tmp_dir}/raw"
+    _write_lines(f"{root}/products/catalog.jsonl", [
+        {"product_id": "P1", "sku": "S-1", "product_name": "One", "category": "toys", "brand": "acme",
+         "segment": "x", "launch_date": "2024-01-10", "base_price": 9.5, "base_monthly_orders": 40,
+         "expected_lifecycle_days": 300, "base_sentiment": 0.2, "region_focus": "EU", "description": "d"},
+        {"product_id": "P2", "product_name": "Two", "category": "home", "brand": "zen",
+         "launch_date": "not a date", "expected_lifecycle_days": "12.0"},
+    ])
+    _write_lines(f"{root}/orders/year=2024/month=01/orders.jsonl", [
+        {"order_id": "O1", "product_id": "P1", "customer_id": "C1", "order_ts": "2024-01-11T10:00:00",
+         "quantity": 2, "unit_price": 9.99, "discount_pct": 0.05, "channel": "web", "region": "EU",
+         "fulfillment_days": 2, "returned_flag": False},
+        {"product_id": "P1", "order_ts": "garbage", "quantity": "x", "unit_price": "y", "discount_pct": None,
+         "returned_flag": "maybe"},
+    ])
+    _write_lines(f"{root}/orders/year=2024/month=02/orders.jsonl", [
+        {"product_id": "P1", "order_ts": "2024-02-03 08:00:00", "quantity": 1, "unit_price": 9.99,
+         "discount_pct": 0.0, "returned_flag": True},
+    ])
+    _write_lines(f"{root}/reviews/year=2024/month=02/reviews.jsonl", [
+        {"review_id": "R1", "product_id": "P1", "review_ts": "2024-02-05T09:30:00.123456+00:00", "rating": 4,
+         "sentiment_score": 0.4, "headline": "h", "body": "b"},
+        "{not json at all",
+    ])
+    _write_lines(f"{root}/inventory/year=2024/month=01/inventory.jsonl", [
+        {"snapshot_id": "I1", "product_id": "P1", "snapshot_date": "2024-01-08", "stock_on_hand": 100,
+         "stockout_hours": 3.5, "sell_through_pct": 0.4},
+    ])
+    return root
+
+
+def test_typed_readers_ansi_safe(spark, raw_zone):
+    products = {r.product_id: r for r in jsonl.read_products(spark, raw_zone).collect()}
+    assert products["P1"].launch_date == dt.date(2024, 1, 10)
+    assert products["P1"].expected_lifecycle_days == 300 and products["P1"].base_price == 9.5
+    assert products["P2"].launch_date is None and products["P2"].expected_lifecycle_days == 12
+
+    orders = jsonl.read_orders(spark, raw_zone).orderBy(F.col("order_ts").asc_nulls_last()).collect()
+    assert len(orders) == 3
+    assert orders[0].order_ts == dt.datetime(2024, 1, 11, 10, 0)
+    assert orders[0].unit_price == Decimal("9.9900") and orders[0].returned_flag is False
+    bad = orders[2]
+    assert bad.order_ts is None and bad.quantity is None and bad.unit_price is None
+    assert bad.returned_flag is None
+
+    reviews = jsonl.read_reviews(spark, raw_zone).collect()
+    good = [r for r in reviews if r.product_id == "P1"]
+    assert len(good) == 1 and good[0].review_ts == dt.datetime(2024, 2, 5, 9, 30, 0, 123456)
+
+
+def test_empty_or_missing_tree_gives_empty_frame(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/empty/orders")
+    df = jsonl.read_orders(spark, f"{tmp_dir}/empty")
+    assert df.count() == 0
+    SC.assert_schema(df, SC.ORDERS)
+
+
+def test_raw_zone_pipeline(spark, raw_zone, tmp_dir):
+    out = f"{tmp_dir}/out"
+    paths = pipeline.run_from_raw(spark, raw_zone, out)
+    assert set(paths) == {"monthly_metrics", *SC.MARTS}
+    hist = writers.read_mart(spark, out, "product_stage_history").collect()
+    # Unparseable values become NULL, not errors: the corrupt review line is a
+    # (NULL, NULL) group and the order with a bad timestamp a (P1, NULL) group.
+    assert [(r.product_id, r.month) for r in hist] == [
+        (None, None), ("P1", None), ("P1", dt.date(2024, 1, 1)), ("P1", dt.date(2024, 2, 1))]
+    jan = hist[2]
+    assert jan.revenue == round(2 * 9.99 * 0.95, 2) and jan.units_sold == 2
+
+
+def test_partition_pruned_read(spark, raw_zone):
+    df = jsonl.read_json_partitioned(spark, f"{raw_zone}/orders", SC.RAW_ORDERS, first_month="2024-02")
+    rows = df.collect()
+    assert len(rows) == 1 and rows[0].part_month == 2
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan or "part_year" in plan
+
+
+def test_raw_zone_inventory(spark, raw_zone):
+    (r,) = insights.raw_zone_inventory(spark, raw_zone).collect()
+    files = [p for p in glob.glob(f"{raw_zone}/**/*", recursive=True) if os.path.isfile(p)]
+    assert r.raw_file_count == len(files)
+    assert r.raw_bytes == sum(os.path.getsize(p) for p in files)
+    assert r.raw_dataset_size.endswith(" B") or r.raw_dataset_size.endswith("KB")
+
+
+def test_human_size(spark):
+    from stagewise.functions import human_size
+
+    df = spark.createDataFrame([(0,), (1023,), (1024,), (1536,), (5 * 1024**2,), (3 * 1024**5,)], "b long")
+    assert [r[0] for r in df.select(human_size("b")).collect()] == [
+        "0 B", "1023 B", "1.0 KB", "1.5 KB", "5.0 MB", "3072.0 TB"]
+
+
+# --- sinks -------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def small_marts(spark):
+    return marts.build_marts(build_m0(spark, "/root/testdata/sf0.001"))
+
+
+def test_replace_and_append(spark, small_marts, tmp_dir):
+    df = small_marts["monthly_trends"]
+    n = df.count()
+    writers.write_mart(df, tmp_dir, "monthly_trends", "replace")
+    writers.write_mart(df, tmp_dir, "monthly_trends", "replace")
+    assert writers.read_mart(spark, tmp_dir, "monthly_trends").count() == n
+    writers.write_mart(df, tmp_dir, "monthly_trends", "append")
+    assert writers.read_mart(spark, tmp_dir, "monthly_trends").count() == 2 * n
+    writers.truncate_mart(spark, tmp_dir, "monthly_trends")
+    after = writers.read_mart(spark, tmp_dir, "monthly_trends")
+    assert after.count() == 0
+    SC.assert_schema(after, SC.MARTS["monthly_trends"])
+    with pytest.raises(ValueError):
+        writers.write_mart(df, tmp_dir, "not_a_mart")
+
+
+def test_csv_export(spark, small_marts, tmp_dir):
+    path = writers.export_csv(small_marts, "product_risk_scores", f"{tmp_dir}/risk_csv")
+    (part,) = glob.glob(f"{path}/part-*.csv")
+    with open(part, encoding="utf-8") as fh:
+        rows = list(csv.DictReader(fh))
+    assert list(rows[0].keys()) == SC.MARTS["product_risk_scores"].fieldNames()
+    scores = [float(r["risk_score"]) for r in rows]
+    assert len(rows) == 25 and scores == sorted(scores, reverse=True)
+    with pytest.raises(ValueError, match="Unsupported"):
+        writers.export_csv(small_marts, "product_stage_history", f"{tmp_dir}/x")
+    empty = {"monthly_trends": small_marts["monthly_trends"].filter(F.lit(False))}
+    with pytest.raises(ValueError, match="No data"):
+        writers.export_csv(empty, "monthly_trends", f"{tmp_dir}/y")
+
+
+def test_jdbc_embedded_derby(spark, small_marts):
+    # Embedded in-memory Derby lives inside this JVM: no server, no port.
+    url = "jdbc:derby:memory:stagewise_marts;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    try:
+        spark._jvm.java.lang.Class.forName(props["driver"])
+    except Exception:
+        pytest.skip("Derby driver not on the classpath")
+    cat = small_marts["category_health"]
+    writers.write_mart_jdbc(cat, url, "category_health", "replace", props)
+    back = spark.read.jdbc(url, "category_health", properties=props)
+    assert back.count() == cat.count()
+    writers.write_mart_jdbc(cat, url, "category_health", "append", props)
+    assert spark.read.jdbc(url, "category_health", properties=props).count() == 2 * cat.count()
+    writers.write_mart_jdbc(cat, url, "category_health", "replace", props, truncate=True)
+    assert spark.read.jdbc(url, "category_health", properties=props).count() == cat.count()
+
+
+def test_jsonl_roundtrip_layout(spark, sf_small, tmp_dir):
+    root = write_raw_zone(spark, sf_small, f"{tmp_dir}/zone")
+    month_dirs = glob.glob(f"{root}/orders/year=*/month=*")
+    assert month_dirs and all(os.path.basename(d).startswith("month=") and len(os.path.basename(d)) == 8
+                              for d in month_dirs)
+    from stagewise.sources import adapters
+
+    direct = monthly.orders_monthly(adapters.sales(spark, sf_small))
+    again = monthly.orders_monthly(jsonl.read_orders(spark, root))
+    assert direct.exceptAll(again).count() == 0 and again.exceptAll(direct).count() == 0
+
+
+def test_payload_json(spark, sf_small):
+    from stagewise.plans.registry import QUERIES
+
+    rows = QUERIES["payload_rows_json"](spark, sf_small).collect()
+    sections = {}
+    for r in rows:
+        sections.setdefault(r.section, []).append(json.loads(r.row_json))
+    assert sections["ready"] == [{"ready": True}]
+    (ov,) = sections["overview"]
+    assert ov["latest_month"] == "2001-06-01" and isinstance(ov["revenue"], float)
+    assert len(sections["product_risk_scores"]) == 25
+    assert len(sections["stage_transitions"]) == 8
+    assert "product_stage_history" not in sections
