@@ -139,8 +139,8 @@ def _per_source(fn, name):
     return lambda spark, sf_dir: fn(inputs(spark, sf_dir)[name])
 
 
-def q_activity_months(spark, sf_dir):
-    d = inputs(spark, sf_dir)
+def q_activity_months(spark, sf_dir, d=None):
+    d = d or inputs(spark, sf_dir)
     return monthly.activity_months(
         monthly.orders_monthly(d["orders"]), monthly.reviews_monthly(d["reviews"]),
         monthly.inventory_monthly(d["inventory"]),
@@ -149,7 +149,7 @@ def q_activity_months(spark, sf_dir):
 
 def q_activity_with_catalog(spark, sf_dir):
     d = inputs(spark, sf_dir)
-    act = q_activity_months(spark, sf_dir)
+    act = q_activity_months(spark, sf_dir, d)
     return act.join(monthly.catalog(d["products"]), "product_id", "left")
 
 
@@ -190,6 +190,16 @@ def q_payload(spark, sf_dir):
     return insights.dashboard_payload(sections)
 
 
+def q_filter_options(spark, sf_dir):
+    metrics = m0(spark, sf_dir)
+    return insights.filter_options(marts.product_stage_history(metrics), marts.product_risk_scores(metrics))
+
+
+def q_summary_top_risk(spark, sf_dir):
+    metrics = m0(spark, sf_dir)
+    return insights.summary_report(marts.dashboard_overview(metrics), marts.product_risk_scores(metrics))
+
+
 def q_raw_zone_inventory(spark, sf_dir):
     return insights.raw_zone_inventory(spark, sf_dir, "*.parquet")
 
@@ -239,11 +249,9 @@ QUERIES: dict[str, Query] = {
     # dashboard datasets
     "stage_transitions": lambda spark, sf_dir: insights.stage_transitions(_history(spark, sf_dir)),
     "alerts": lambda spark, sf_dir: insights.alerts(_risk(spark, sf_dir)),
-    "filter_options": lambda spark, sf_dir: insights.filter_options(_history(spark, sf_dir), _risk(spark, sf_dir)),
+    "filter_options": q_filter_options,
     "project_summary": lambda spark, sf_dir: insights.project_summary(_history(spark, sf_dir)),
-    "summary_top_risk": lambda spark, sf_dir: insights.summary_report(
-        marts.dashboard_overview(m0(spark, sf_dir)), _risk(spark, sf_dir)
-    ),
+    "summary_top_risk": q_summary_top_risk,
     "payload_rows_json": q_payload,
     # streaming
     "incremental_refresh": q_incremental_refresh,

@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Do not record a Python call site for every Column expression: it costs
+    # several driver round trips per expression while plans are built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

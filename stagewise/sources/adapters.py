@@ -38,8 +38,8 @@ def _cutoff() -> F.Column:
     return F.lit(ACTIVITY_CUTOFF).cast("timestamp_ntz")
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _table(spark, sf_dir, "part")
+def products(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
+    part = part if part is not None else _table(spark, sf_dir, "part")
     return part.filter(F.col("p_partkey") < CATALOG_MAX_PARTKEY).select(
         F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 5, "0")).alias("product_id"),
         F.col("p_name").alias("product_name"),
@@ -52,8 +52,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
+def sales(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    li = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
     return li.filter(F.col("l_shipdate") < _cutoff()).select(
         _product_id("l_partkey").alias("product_id"),
         F.col("l_shipdate").alias("order_ts"),
@@ -67,9 +67,13 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") <= REVIEW_MAX_LINENUMBER)
-    od = _table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < _cutoff())
+def reviews(
+    spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None, orders: DataFrame | None = None
+) -> DataFrame:
+    li = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
+    od = orders if orders is not None else _table(spark, sf_dir, "orders")
+    li = li.filter(F.col("l_linenumber") <= REVIEW_MAX_LINENUMBER)
+    od = od.filter(F.col("o_orderdate") < _cutoff())
     # orders is keyed by o_orderkey: the join cannot fan out, and both sides
     # are shuffled on the order key (no hot key by construction).
     joined = li.select("l_orderkey", "l_partkey", "l_linenumber").join(
@@ -85,8 +89,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
+def inventory(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    li = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
     return li.filter((F.col("l_linestatus") == F.lit("F")) & (F.col("l_shipdate") < _cutoff())).select(
         _product_id("l_partkey").alias("product_id"),
         F.to_date("l_shipdate").alias("snapshot_date"),
@@ -103,10 +107,15 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def datasets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """``{"products", "orders", "reviews", "inventory"}`` from the parquet tables."""
+    """``{"products", "orders", "reviews", "inventory"}`` from the parquet tables.
+
+    Each table is resolved once; every dataset still gets its own scan with
+    its own pushed filters and pruned columns.
+    """
+    lineitem = _table(spark, sf_dir, "lineitem")
     return {
         "products": products(spark, sf_dir),
-        "orders": sales(spark, sf_dir),
-        "reviews": reviews(spark, sf_dir),
-        "inventory": inventory(spark, sf_dir),
+        "orders": sales(spark, sf_dir, lineitem),
+        "reviews": reviews(spark, sf_dir, lineitem),
+        "inventory": inventory(spark, sf_dir, lineitem),
     }
