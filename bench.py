@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -20,7 +19,7 @@ sys.path.insert(0, ROOT)
 
 from stagewise.plans import naive, pipeline  # noqa: E402
 from stagewise.plans.registry import QUERIES  # noqa: E402
-from stagewise.session import build_session  # noqa: E402
+from stagewise.session import build_session, scratch_path  # noqa: E402
 from stagewise.sources import adapters  # noqa: E402
 
 HEADLINE = (
@@ -55,7 +54,7 @@ def main() -> None:
         shuffle_partitions=cpus,
         conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
-    scratch = tempfile.mkdtemp(prefix="stagewise-bench-")
+    scratch = scratch_path(spark, "bench")
 
     def noop(name: str) -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -77,7 +76,8 @@ def main() -> None:
     queries["pipeline_end_to_end"] = pipeline_sec
 
     if os.environ.get("BENCH_NAIVE") == "1":
-        queries["naive_pipeline"] = round(timed(lambda: naive.run_naive(adapters.datasets(spark, sf_dir))), 3)
+        naive_runs = sorted(timed(lambda: naive.run_naive(adapters.datasets(spark, sf_dir))) for _ in range(reps))
+        queries["naive_pipeline"] = round(naive_runs[len(naive_runs) // 2], 3)
 
     result = {
         "metric": "lifecycle_pipeline_end_to_end",

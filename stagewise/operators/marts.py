@@ -133,13 +133,16 @@ def product_stage_history(monthly: DataFrame) -> DataFrame:
     return _project(monthly, "product_stage_history")
 
 
+MART_BUILDERS = {
+    "dashboard_overview": dashboard_overview,
+    "monthly_trends": monthly_trends,
+    "stage_sentiment": stage_sentiment,
+    "category_health": category_health,
+    "lifecycle_distribution": lifecycle_distribution,
+    "product_risk_scores": product_risk_scores,
+    "product_stage_history": product_stage_history,
+}
+
+
 def build_marts(monthly: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "dashboard_overview": dashboard_overview(monthly),
-        "monthly_trends": monthly_trends(monthly),
-        "stage_sentiment": stage_sentiment(monthly),
-        "category_health": category_health(monthly),
-        "lifecycle_distribution": lifecycle_distribution(monthly),
-        "product_risk_scores": product_risk_scores(monthly),
-        "product_stage_history": product_stage_history(monthly),
-    }
+    return {name: build(monthly) for name, build in MART_BUILDERS.items()}

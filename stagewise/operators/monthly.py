@@ -125,9 +125,10 @@ MEASURES = (
 )
 
 
-def _zero_filled(df: DataFrame) -> DataFrame:
+def _zero_filled(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Select ``columns`` (default: all) with the null/NaN fill applied."""
     out = []
-    for name in df.columns:
+    for name in columns or df.columns:
         if name in _FILL_LONG:
             out.append(fill_value(name, 0).cast("bigint").alias(name))
         elif name in _FILL_DOUBLE:
@@ -212,8 +213,8 @@ def monthly_fused(products: DataFrame, orders: DataFrame, reviews: DataFrame, in
     # one row per (product, month). AQE broadcasts the catalogue when its
     # measured size is under the threshold, else keeps a shuffle join.
     joined = agg.join(catalog(products), "product_id", "left")
-    cols = ["product_id", "month", *[c for c in CATALOG_COLUMNS if c != "product_id"], *MEASURES]
-    return _zero_filled(joined.select(*cols))
+    order = ["product_id", "month", *[c for c in CATALOG_COLUMNS if c != "product_id"], *MEASURES]
+    return _zero_filled(joined, order)
 
 
 # --- W1..W2, P3..P16: deltas, age, stage, scores ----------------------------
@@ -223,39 +224,46 @@ def product_window() -> Window:
 
 
 def score_monthly(monthly: DataFrame) -> DataFrame:
-    """Add deltas, age and scores to a zero-filled monthly table (M0)."""
+    """Add deltas, age and scores to a zero-filled monthly table (M0).
+
+    Two projections only: the lag columns, then every derived column in one
+    select (shared sub-expressions are evaluated once by codegen).
+    """
     w = product_window()
-    revenue_prev = F.lag("revenue").over(w)
-    sentiment_prev = F.lag("avg_sentiment").over(w)
     with_prev = monthly.select(
         "*",
-        revenue_prev.alias("_revenue_prev"),
-        sentiment_prev.alias("_sentiment_prev"),
+        F.lag("revenue").over(w).alias("_revenue_prev"),
+        F.lag("avg_sentiment").over(w).alias("_sentiment_prev"),
+    )
+    prev = F.col("_revenue_prev")
+    rc = fill_double(F.when(prev > F.lit(0.0), F.col("revenue") / prev - F.lit(1.0)).otherwise(F.lit(0.0)))
+    sd = fill_double(F.col("avg_sentiment") - F.coalesce(F.col("_sentiment_prev"), F.col("avg_sentiment")))
+    rr = fill_double(
+        F.when(
+            F.col("order_count") > F.lit(0),
+            F.col("returned_orders").cast("double") / F.col("order_count").cast("double"),
+        ).otherwise(F.lit(0.0))
+    )
+    so = fill_double(round_half_up(F.col("avg_stockout_hours") / F.lit(K.HOURS_PER_WEEK), 4))
+    age = age_days("month", "launch_date")
+    ratio = age_ratio(age, "expected_lifecycle_days")
+    risk = risk_score(sd, rc, rr, so)
+    derived = {
+        "revenue_change": rc,
+        "sentiment_delta": sd,
+        "return_rate": rr,
+        "stockout_ratio": so,
+        "age_days": age,
+        "age_ratio": ratio,
+        "lifecycle_stage": lifecycle_stage(ratio, rc, "avg_sentiment", "sell_through_pct"),
+        "risk_score": risk,
+        "risk_bucket": risk_bucket(risk),
+        "opportunity_score": opportunity_score("avg_sentiment", rc, "review_count"),
+    }
+    return with_prev.select(
+        *[(derived[f.name] if f.name in derived else F.col(f.name)).cast(f.dataType).alias(f.name)
+          for f in MONTHLY_METRICS.fields]
     )
-    rc = F.when(
-        F.col("_revenue_prev") > F.lit(0.0), F.col("revenue") / F.col("_revenue_prev") - F.lit(1.0)
-    ).otherwise(F.lit(0.0))
-    sd = F.col("avg_sentiment") - F.coalesce(F.col("_sentiment_prev"), F.col("avg_sentiment"))
-    rr = F.when(
-        F.col("order_count") > F.lit(0),
-        F.col("returned_orders").cast("double") / F.col("order_count").cast("double"),
-    ).otherwise(F.lit(0.0))
-    so = round_half_up(F.col("avg_stockout_hours") / F.lit(K.HOURS_PER_WEEK), 4)
-    derived = with_prev.select(
-        *[c for c in monthly.columns],
-        fill_double(rc).alias("revenue_change"),
-        fill_double(sd).alias("sentiment_delta"),
-        fill_double(rr).alias("return_rate"),
-        fill_double(so).alias("stockout_ratio"),
-        age_days("month", "launch_date").alias("age_days"),
-    ).withColumn("age_ratio", age_ratio("age_days", "expected_lifecycle_days"))
-    scored = derived.select(
-        "*",
-        lifecycle_stage("age_ratio", "revenue_change", "avg_sentiment", "sell_through_pct").alias("lifecycle_stage"),
-        risk_score("sentiment_delta", "revenue_change", "return_rate", "stockout_ratio").alias("risk_score"),
-        opportunity_score("avg_sentiment", "revenue_change", "review_count").alias("opportunity_score"),
-    ).withColumn("risk_bucket", risk_bucket("risk_score"))
-    return scored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MONTHLY_METRICS.fields])
 
 
 def monthly_metrics(
