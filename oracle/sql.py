@@ -386,6 +386,16 @@ def oracle_queries() -> dict[str, str]:
             "AS product_count, count(DISTINCT month) AS month_count FROM history"
         ),
         "summary_top_risk": q(SUMMARY),
+        # ---- data quality ----
+        "catalog_duplicates": q(
+            "SELECT product_id, count(*) AS copies FROM dim_products GROUP BY product_id HAVING count(*) > 1"
+        ),
+        "orphan_products": q(
+            "SELECT product_id, min(month) AS first_month, max(month) AS last_month, count(*) AS active_months, "
+            "CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM m0 "
+            "WHERE product_name IS NULL AND expected_lifecycle_days IS NULL AND launch_date IS NULL "
+            "GROUP BY product_id"
+        ),
         # ---- streaming refresh (result equals the batch fact table) ----
         "incremental_refresh": q("SELECT * FROM m0"),
     }

@@ -21,7 +21,7 @@ from ..functions import (
     rating_from_sentiment,
     shift_months,
 )
-from ..operators import insights, marts, monthly
+from ..operators import insights, marts, monthly, quality
 from ..session import scratch_path
 from ..sinks.writers import write_jsonl
 from ..sources import adapters, jsonl
@@ -253,6 +253,9 @@ QUERIES: dict[str, Query] = {
     "project_summary": lambda spark, sf_dir: insights.project_summary(_history(spark, sf_dir)),
     "summary_top_risk": q_summary_top_risk,
     "payload_rows_json": q_payload,
+    # data quality
+    "catalog_duplicates": lambda spark, sf_dir: quality.catalog_duplicates(inputs(spark, sf_dir)["products"]),
+    "orphan_products": lambda spark, sf_dir: quality.orphan_products(m0(spark, sf_dir)),
     # streaming
     "incremental_refresh": q_incremental_refresh,
 }

@@ -26,8 +26,21 @@ LAUNCH_EPOCH = "1994-06-01"
 REVIEW_MAX_LINENUMBER = 3
 
 
+# Declared read schemas (only the columns the adapters use): no schema
+# inference job per table, and the scan reads nothing else.
+TABLE_SCHEMAS = {
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT",
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "orders": "o_orderkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _product_id(key: str) -> F.Column:

@@ -140,3 +140,22 @@ def test_empty_inputs(spark, data):
     m = monthly.monthly_metrics(products, *empty)
     assert m.count() == 0
     assert monthly.latest_month(m).collect()[0][0] is None
+
+
+def test_catalog_duplicates_fan_out_and_report(spark, data):
+    from stagewise.operators import quality
+
+    products, orders, reviews, inventory = data
+    dup = products.unionByName(products.filter(F.col("product_id") == "A"))
+    assert [tuple(r) for r in quality.catalog_duplicates(dup).collect()] == [("A", 2)]
+    # the left join repeats A's monthly rows once per catalogue copy
+    m = monthly.monthly_metrics(dup, orders, reviews, inventory)
+    assert m.filter(F.col("product_id") == "A").count() == 6
+
+
+def test_orphan_report(data):
+    from stagewise.operators import quality
+
+    m = monthly.monthly_metrics(*data)
+    rows = [tuple(r) for r in quality.orphan_products(m).collect()]
+    assert rows == [("B", D(2024, 3, 1), D(2024, 3, 1), 1, 5.55)]

@@ -1,0 +1,68 @@
+"""Physical-plan properties that matter at scale (checked on sf0.001 plans)."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+import pytest
+
+from stagewise.plans.registry import QUERIES
+
+
+def plan_text(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def main_plan(text: str) -> str:
+    return text.split("===== Subqueries =====")[0]
+
+
+@pytest.fixture(scope="module")
+def m0_plan(spark, sf_small):
+    return plan_text(QUERIES["monthly_metrics"](spark, sf_small))
+
+
+def test_fused_flagship_has_two_shuffles(m0_plan):
+    # one for the (product, month) aggregate, one for the per-product window
+    assert len(re.findall(r"^\(\d+\) Exchange", main_plan(m0_plan), re.M)) == 2
+
+
+def test_partial_aggregation_before_shuffle(m0_plan):
+    tree = main_plan(m0_plan).split("\n\n")[0]
+    # HashAggregate (final) <- Exchange <- HashAggregate (partial) <- Union of raw scans
+    assert re.search(r"HashAggregate \(\d+\)\n\s*[:| ]*\+- Exchange \(\d+\)\n\s*[:| ]*\+- HashAggregate", tree)
+    assert "partial_sum" in m0_plan and "partial_avg" in m0_plan
+
+
+def test_scans_push_filters_and_prune_columns(m0_plan):
+    scans = re.findall(r"Scan parquet.*?ReadSchema: (struct<[^>]*>)", m0_plan, re.S)
+    assert len(scans) == 5
+    pushed = re.findall(r"PushedFilters: \[(.*)\]", m0_plan)
+    assert len(pushed) == 5 and all(p.strip() for p in pushed)
+    # no scan reads all 11 lineitem columns
+    assert all(s.count(":") < 11 for s in scans)
+
+
+def test_no_python_in_registered_plans(spark, sf_small):
+    skip = {"src_products", "src_orders", "src_reviews", "src_inventory", "src_json_roundtrip",
+            "incremental_refresh"}  # these write a raw zone first; their reads are JSON scans
+    for name, q in QUERIES.items():
+        if name in skip:
+            continue
+        text = plan_text(q(spark, sf_small))
+        assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
+
+
+def test_current_month_is_a_subquery_not_a_driver_value(spark, sf_small):
+    text = plan_text(QUERIES["mart_overview"](spark, sf_small))
+    assert "Subquery" in text or "subquery" in text
+
+
+def test_top_k_is_take_ordered(spark, sf_small):
+    text = plan_text(QUERIES["mart_product_risk_scores"](spark, sf_small))
+    assert "TakeOrderedAndProject" in text
