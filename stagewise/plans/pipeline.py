@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.marts import MART_BUILDERS
 from ..operators.monthly import monthly_metrics
 from ..schemas import MONTHLY_METRICS
-from ..sinks.writers import write_mart
+from ..sinks.writers import write_mart, write_mart_jdbc
 from ..sources import adapters, jsonl
 
 FACT_TABLE = "monthly_metrics"
@@ -47,8 +47,15 @@ def run_pipeline(
     fused: bool = True,
     partition_by_month: bool = False,
     parallel_marts: int = 7,
+    jdbc_url: str | None = None,
+    jdbc_properties: dict[str, str] | None = None,
 ) -> dict[str, str]:
-    """Build and write the fact table and the marts; returns their paths."""
+    """Build and write the fact table and the marts; returns their locations.
+
+    The fact table always goes to ``out_root`` (Parquet). Marts go there too,
+    or to a SQL database when ``jdbc_url`` is given (executors insert in
+    parallel; ``replace`` recreates the tables, ``append`` inserts).
+    """
     metrics = monthly_metrics(
         datasets["products"], datasets["orders"], datasets["reviews"], datasets["inventory"], fused=fused
     )
@@ -58,7 +65,11 @@ def run_pipeline(
     def build_and_write(name: str) -> str:
         # Planning and running each mart in its own thread overlaps the
         # driver-side analysis of one mart with the execution of another.
-        return write_mart(MART_BUILDERS[name](table), out_root, name, mode)
+        mart = MART_BUILDERS[name](table)
+        if jdbc_url:
+            write_mart_jdbc(mart, jdbc_url, name, mode, jdbc_properties)
+            return f"{jdbc_url}#{name}"
+        return write_mart(mart, out_root, name, mode)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_marts)) as pool:
         futures = {name: pool.submit(build_and_write, name) for name in MART_BUILDERS}
