@@ -54,6 +54,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--state", required=True, help="folder for stream checkpoint and partials")
     p.add_argument("--out", required=True)
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--compact", action="store_true", help="fold committed batches into a snapshot afterwards")
     _add_jdbc(p)
 
     for name in ("export", "report", "payload"):
@@ -85,9 +86,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from .operators.marts import MART_BUILDERS
         from .plans import pipeline
         from .sinks.writers import write_mart, write_mart_jdbc
-        from .streaming.refresh import incremental_monthly_metrics
+        from .streaming.refresh import compact_partials, incremental_monthly_metrics
 
         metrics = incremental_monthly_metrics(spark, args.raw, args.state, args.max_files_per_trigger)
+        if args.compact:
+            compact_partials(spark, args.state)
         pipeline.write_fact_table(metrics, args.out)
         table = pipeline.read_fact_table(spark, args.out)
         for name, build in MART_BUILDERS.items():
