@@ -6,6 +6,7 @@ derived from them, so serving a dashboard never touches raw data.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import insights
@@ -19,19 +20,43 @@ def load_marts(
     jdbc_url: str | None = None,
     jdbc_properties: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """All seven marts, from Parquet under ``root`` or from a JDBC database."""
-    if jdbc_url:
-        return {name: spark.read.jdbc(jdbc_url, name, properties=jdbc_properties or {}) for name in MARTS}
-    if root is None:
+    """All seven marts, from Parquet under ``root`` or from a JDBC database.
+
+    A mart that does not exist (yet) comes back empty with its declared
+    schema, so the dashboard shows an empty section instead of failing.
+    """
+    if not jdbc_url and root is None:
         raise ValueError("give root or jdbc_url")
-    return {name: read_mart(spark, root, name, ordered=False) for name in MARTS}
+    out = {}
+    for name, schema in MARTS.items():
+        out[name] = _read_or_empty(spark, name, schema, root, jdbc_url, jdbc_properties)
+    return out
+
+
+def _read_or_empty(spark, name, schema, root, jdbc_url, jdbc_properties) -> DataFrame:
+    if jdbc_url:
+        try:
+            df = spark.read.jdbc(jdbc_url, name, properties=jdbc_properties or {})
+            df.schema  # resolve the table now, so a missing one is caught here
+            return df
+        except Exception:  # noqa: BLE001 - the driver reports a missing table as a SQL error
+            return spark.createDataFrame([], schema)
+    try:
+        return read_mart(spark, root, name, ordered=False)
+    except AnalysisException:  # path does not exist
+        return spark.createDataFrame([], schema)
+
+
+def _overview(marts: dict[str, DataFrame]) -> DataFrame:
+    # One overview row is shown (after append runs the table can hold more).
+    return marts["dashboard_overview"].limit(1)
 
 
 def dashboard_sections(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     history = marts["product_stage_history"]
     risk = marts["product_risk_scores"]
     return {
-        "overview": marts["dashboard_overview"],
+        "overview": _overview(marts),
         "monthly_trends": marts["monthly_trends"],
         "stage_sentiment": marts["stage_sentiment"],
         "category_health": marts["category_health"],
@@ -51,4 +76,4 @@ def dashboard_payload(marts: dict[str, DataFrame]) -> DataFrame:
 
 def summary_report(marts: dict[str, DataFrame]) -> DataFrame:
     """Report lines (overview header + top risks) from stored marts."""
-    return insights.summary_report(marts["dashboard_overview"], marts["product_risk_scores"])
+    return insights.summary_report(_overview(marts), marts["product_risk_scores"])

@@ -64,3 +64,21 @@ def test_pipeline_to_jdbc_and_dashboard_from_jdbc(spark, sf_small, tmp_dir):
     # append inserts again
     pipeline.run_from_tables(spark, sf_small, tmp_dir, mode="append", jdbc_url=url, jdbc_properties=props)
     assert spark.read.jdbc(url, "monthly_trends", properties=props).count() == 2 * 78
+
+
+def test_missing_marts_give_empty_sections(spark, tmp_dir):
+    stored = dashboard.load_marts(spark, f"{tmp_dir}/nothing-here")
+    assert all(df.count() == 0 for df in stored.values())
+    rows = dashboard.dashboard_payload(stored).collect()
+    assert [(r.section, r.row_json) for r in rows if r.section == "ready"] == [("ready", '{"ready":false}')]
+
+
+def test_overview_after_append_shows_one_row(spark, sf_small, tmp_dir):
+    from stagewise.plans import pipeline
+
+    pipeline.run_from_tables(spark, sf_small, tmp_dir)
+    pipeline.run_from_tables(spark, sf_small, tmp_dir, mode="append")
+    stored = dashboard.load_marts(spark, tmp_dir)
+    assert stored["dashboard_overview"].count() == 2
+    assert dashboard.dashboard_sections(stored)["overview"].count() == 1
+    assert dashboard.summary_report(stored).count() == 5 + 12
