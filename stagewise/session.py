@@ -23,6 +23,24 @@ DEFAULT_CONF = {
 }
 
 
+# Settings to start from on a large cluster (~100 TB input, ~1000 executors).
+# AQE coalesces small shuffle outputs and splits skewed ones at run time, so
+# the partition count is an upper bound, not a target.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    # wide scans: fewer, larger read tasks
+    "spark.sql.files.maxPartitionBytes": "512MB",
+    "spark.sql.files.openCostInBytes": "8MB",
+    # Static broadcast decisions use compressed file sizes (an estimate), so
+    # the static threshold stays at Spark's default; the runtime threshold
+    # (DEFAULT_CONF, measured shuffle bytes) decides larger broadcasts.
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "stagewise",
@@ -52,13 +70,18 @@ def scratch_dir(spark: SparkSession) -> str:
     cluster names one. Only when none is set (local runs, tests) does it set
     a fresh temporary folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context handle
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None and hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="stagewise-scratch-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
