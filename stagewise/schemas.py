@@ -34,10 +34,11 @@ PRODUCTS = _struct(
     ("base_price", DB), ("base_monthly_orders", I), ("expected_lifecycle_days", I), ("base_sentiment", DB),
 )
 ORDERS = _struct(
-    ("product_id", S), ("order_ts", T.TimestampType()), ("quantity", I),
+    ("product_id", S), ("order_ts", T.TimestampNTZType()), ("quantity", I),
     ("unit_price", PRICE_TYPE), ("discount_pct", RATE_TYPE), ("returned_flag", T.BooleanType()),
 )
-REVIEWS = _struct(("product_id", S), ("review_ts", T.TimestampType()), ("rating", I), ("sentiment_score", DB))
+# Event times are UTC wall-clock (TIMESTAMP_NTZ): independent of the session time zone.
+REVIEWS = _struct(("product_id", S), ("review_ts", T.TimestampNTZType()), ("rating", I), ("sentiment_score", DB))
 INVENTORY = _struct(
     ("product_id", S), ("snapshot_date", D), ("stock_on_hand", I),
     ("stockout_hours", DB), ("sell_through_pct", DB),
