@@ -103,28 +103,36 @@ def alerts(
 
 def filter_options(history: DataFrame, risk_scores: DataFrame) -> DataFrame:
     """Long form ``(option, value)``: months (newest first), categories,
-    brands, lifecycle stages, risk buckets, and the default month."""
-    spark = history.sparkSession
-
-    def distinct_values(df: DataFrame, col: str, option: str, as_text=F.col) -> DataFrame:
-        return (
-            df.filter(_present(col))
-            .select(F.lit(option).alias("option"), as_text(col).cast("string").alias("value"))
-            .distinct()
-        )
+    brands, lifecycle stages, risk buckets, and the default month.
 
-    months = distinct_values(history, "month", "months", iso_date)
-    categories = distinct_values(history, "category", "categories")
-    brands = distinct_values(history, "brand", "brands")
-    buckets = distinct_values(risk_scores, "risk_bucket", "risk_buckets")
+    Months, categories and brands come from one pass over the history
+    (each row yields its three option values, then one distinct); the default
+    month is the largest month of that same distinct result.
+    """
+    spark = history.sparkSession
+    pairs = history.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("months").alias("option"), iso_date("month").alias("value")),
+                F.struct(F.lit("categories").alias("option"), F.col("category").cast("string").alias("value")),
+                F.struct(F.lit("brands").alias("option"), F.col("brand").cast("string").alias("value")),
+            )
+        ).alias("o")
+    ).select("o.option", "o.value")
+    from_history = pairs.filter(_present("value")).distinct()
+    # ISO dates order as text, so the newest month is the largest value.
+    default = from_history.filter(F.col("option") == "months").agg(F.max("value").alias("value")).select(
+        F.lit("default_month").alias("option"), "value"
+    )
+    buckets = (
+        risk_scores.filter(_present("risk_bucket"))
+        .select(F.lit("risk_buckets").alias("option"), F.col("risk_bucket").cast("string").alias("value"))
+        .distinct()
+    )
     stages = spark.range(1).select(
         F.lit("lifecycle_stages").alias("option"), F.explode(F.array(*[F.lit(s) for s in K.STAGES])).alias("value")
     )
-    default = history.agg(iso_date(F.max("month")).alias("value")).select(
-        F.lit("default_month").alias("option"), "value"
-    )
-    out = months.unionByName(categories).unionByName(brands).unionByName(stages).unionByName(buckets)
-    out = out.unionByName(default)
+    out = from_history.unionByName(stages).unionByName(buckets).unionByName(default)
     option_rank = F.array_position(
         F.array(*[F.lit(o) for o in ("months", "categories", "brands", "lifecycle_stages", "risk_buckets",
                                       "default_month")]),
