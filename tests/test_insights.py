@@ -154,3 +154,21 @@ def test_overview_on_empty_table(spark, tables):
     metrics, _, _ = tables
     (r,) = marts.dashboard_overview(metrics.filter(F.lit(False))).collect()
     assert r.latest_month is None and r.active_products == 0
+
+
+def test_alert_thresholds_at_boundaries(spark):
+    rows = [
+        _risk_row("P1", "AtHigh", "c", 80.0),
+        _risk_row("P2", "AtRisk", "c", 70.0),
+        _risk_row("P3", "JustBelow", "c", 69.99, rr=0.2499, sd=-0.1499),
+        _risk_row("P4", "AtReturn", "c", 10.0, rr=0.25),
+        _risk_row("P5", "AtSentiment", "c", 5.0, sd=-0.15),
+    ]
+    df = spark.createDataFrame(rows, SC.MARTS["product_risk_scores"])
+    got = [(r.metric, r.title, r.severity) for r in insights.alerts(df).collect()]
+    assert got == [
+        ("AtHigh", "Risk score threshold breached", "high"),
+        ("AtRisk", "Risk score threshold breached", "medium"),
+        ("AtReturn", "Return rate alert", "medium"),
+        ("AtSentiment", "Sentiment decline", "low"),
+    ]

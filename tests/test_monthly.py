@@ -159,3 +159,15 @@ def test_orphan_report(data):
     m = monthly.monthly_metrics(*data)
     rows = [tuple(r) for r in quality.orphan_products(m).collect()]
     assert rows == [("B", D(2024, 3, 1), D(2024, 3, 1), 1, 5.55)]
+
+
+def test_stockout_ratio_not_clamped(spark):
+    products = spark.createDataFrame([("Z", "Zed", "c", "b", D(2020, 1, 1), 1.0, 1, 500, 0.0)], SC.PRODUCTS)
+    empty_o = spark.createDataFrame([], SC.ORDERS)
+    empty_r = spark.createDataFrame([], SC.REVIEWS)
+    inv = spark.createDataFrame([("Z", D(2024, 1, 1), 1, 400.0, 0.5), ("Z", D(2024, 1, 8), 1, 300.0, 0.5)],
+                                SC.INVENTORY)
+    (r,) = monthly.monthly_metrics(products, empty_o, empty_r, inv).collect()
+    assert r.avg_stockout_hours == 350.0 and r.stockout_ratio == round(350.0 / 168.0, 4) > 2.0
+    # the score is clamped (18 + 2.0833 * 55 > 100), the ratio is not
+    assert r.risk_score == 100.0
