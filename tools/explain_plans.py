@@ -25,6 +25,7 @@ SELECTED = (
     "mart_product_risk_scores",
     "stage_transitions",
     "alerts",
+    "filter_options",
 )
 
 
