@@ -143,7 +143,7 @@ def catalog(products: DataFrame) -> DataFrame:
     return products.select(*CATALOG_COLUMNS)
 
 
-# --- J1..J4 + P9: reference-shaped plan ---------------------------------
+# --- J1..J4 + P9: three-join plan -----------------------------------------
 
 def monthly_joined(products: DataFrame, orders: DataFrame, reviews: DataFrame, inventory: DataFrame) -> DataFrame:
     om, rm, im = orders_monthly(orders), reviews_monthly(reviews), inventory_monthly(inventory)

@@ -44,7 +44,7 @@ def risk_of(spark, *rows):
     return _eval(spark, list(rows), RISK_SCHEMA, risk_score("sd", "rc", "rr", "so"))
 
 
-# --- the reference's own unit vectors ------------------------------------
+# --- the original unit vectors of the scoring rules -------------------------
 
 def test_growth_vector(spark):
     assert stage_of(spark, (0.25, 0.21, 0.44, 0.78)) == ["growth"]

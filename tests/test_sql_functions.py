@@ -31,7 +31,7 @@ def test_sql_functions_match_columns(spark, sf_small):
     assert stored.exceptAll(via_cols).count() == 0
 
 
-def test_sql_functions_reference_vectors(spark):
+def test_sql_functions_unit_vectors(spark):
     register_sql_functions(spark, prefix="sw_")
     r = spark.sql(
         "SELECT sw_lifecycle_stage(0.25D, 0.21D, 0.44D, 0.78D), sw_lifecycle_stage(0.86D, -0.34D, -0.12D, 0.18D), "
