@@ -1,14 +1,14 @@
-"""Dashboard datasets derived from the marts (M8..M13) and the raw-zone
-inventory (S8). All are DataFrames; nothing is collected to the driver.
+"""Dashboard datasets derived from the marts (M8..M13). All are
+DataFrames; nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions import fixed, human_size, iso_date, percent, thousands
+from ..functions import fixed, iso_date, percent, thousands
 from .marts import risk_order
 
 
@@ -157,23 +157,6 @@ def project_summary(history: DataFrame) -> DataFrame:
     )
 
 
-def raw_zone_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """S8: file count, total bytes and readable size of a raw zone.
-
-    Lists files through the ``binaryFile`` source without reading content
-    (only ``path``/``length`` are selected), so listing is distributed and
-    no file body is loaded.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path).select("path", "length")
-    return files.agg(
-        F.count(F.lit(1)).alias("raw_file_count"),
-        F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("raw_bytes"),
-    ).withColumn("raw_dataset_size", human_size("raw_bytes"))
-
-
 # --- M13: summary report ----------------------------------------------------
 
 def summary_report(

@@ -24,7 +24,7 @@ from ..functions import (
 from ..operators import insights, marts, monthly, quality
 from ..session import scratch_path
 from ..sinks.writers import write_jsonl
-from ..sources import adapters, jsonl
+from ..sources import adapters, jsonl, raw_zone
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,7 +201,7 @@ def q_summary_top_risk(spark, sf_dir):
 
 
 def q_raw_zone_inventory(spark, sf_dir):
-    return insights.raw_zone_inventory(spark, sf_dir, "*.parquet")
+    return raw_zone.raw_zone_inventory(spark, sf_dir, "*.parquet")
 
 
 QUERIES: dict[str, Query] = {

@@ -14,12 +14,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagewise import schemas as SC
-from stagewise.operators import insights, marts, monthly
+from stagewise.operators import marts, monthly
 from stagewise.plans import pipeline
 from stagewise.plans.registry import m0 as build_m0
 from stagewise.plans.registry import write_raw_zone
 from stagewise.sinks import writers
 from stagewise.sources import jsonl
+from stagewise.sources import raw_zone as zone_listing
 
 
 def _write_lines(path: str, rows: list[dict | str]) -> None:
@@ -110,7 +111,7 @@ def test_partition_pruned_read(spark, raw_zone):
 
 
 def test_raw_zone_inventory(spark, raw_zone):
-    (r,) = insights.raw_zone_inventory(spark, raw_zone).collect()
+    (r,) = zone_listing.raw_zone_inventory(spark, raw_zone).collect()
     files = [p for p in glob.glob(f"{raw_zone}/**/*", recursive=True) if os.path.isfile(p)]
     assert r.raw_file_count == len(files)
     assert r.raw_bytes == sum(os.path.getsize(p) for p in files)
