@@ -1,6 +1,6 @@
 """Derive the four lifecycle datasets from the TPC-H-style parquet tables.
 
-The same expressions exist as SQL for the DuckDB oracle (``oracle/sql.py``).
+The same expressions exist as SQL for the DuckDB oracle (``stagewise_oracle/sql.py``).
 Each adapter reads only the columns it needs; its filters reach the parquet
 scan as pushed filters.
 
