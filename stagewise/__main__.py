@@ -66,6 +66,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             p.add_argument("--dest", required=True)
         if name == "payload":
             p.add_argument("--dest", required=True)
+            p.add_argument("--raw", help="raw zone root, adds the raw-zone inventory section")
 
     args = ap.parse_args(argv)
     own_session = spark is None
@@ -112,7 +113,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             for row in dashboard.summary_report(marts).orderBy("line_no").toLocalIterator():
                 print(row.line)
         elif args.command == "payload":
-            dashboard.dashboard_payload(marts).write.mode("overwrite").json(args.dest)
+            dashboard.dashboard_payload(marts, args.raw).write.mode("overwrite").json(args.dest)
             print(args.dest)
     if own_session:
         spark.stop()

@@ -199,7 +199,7 @@ def summary_report(
 
 PAYLOAD_SECTIONS = (
     "overview", "monthly_trends", "stage_sentiment", "category_health", "lifecycle_distribution",
-    "product_risk_scores", "alerts", "stage_transitions", "filter_options", "project_summary",
+    "product_risk_scores", "alerts", "stage_transitions", "filter_options", "project_summary", "raw_zone",
 )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import insights
 from ..schemas import MARTS
 from ..sinks.writers import read_mart
+from ..sources.raw_zone import raw_zone_inventory
 
 
 def load_marts(
@@ -52,10 +53,11 @@ def _overview(marts: dict[str, DataFrame]) -> DataFrame:
     return marts["dashboard_overview"].limit(1)
 
 
-def dashboard_sections(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def dashboard_sections(marts: dict[str, DataFrame], raw_root: str | None = None) -> dict[str, DataFrame]:
+    """All dashboard datasets; with ``raw_root`` also the raw-zone inventory."""
     history = marts["product_stage_history"]
     risk = marts["product_risk_scores"]
-    return {
+    sections = {
         "overview": _overview(marts),
         "monthly_trends": marts["monthly_trends"],
         "stage_sentiment": marts["stage_sentiment"],
@@ -67,11 +69,14 @@ def dashboard_sections(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "filter_options": insights.filter_options(history, risk),
         "project_summary": insights.project_summary(history),
     }
+    if raw_root:
+        sections["raw_zone"] = raw_zone_inventory(history.sparkSession, raw_root)
+    return sections
 
 
-def dashboard_payload(marts: dict[str, DataFrame]) -> DataFrame:
+def dashboard_payload(marts: dict[str, DataFrame], raw_root: str | None = None) -> DataFrame:
     """``(section, row_json)`` rows of the dashboard, from stored marts."""
-    return insights.dashboard_payload(dashboard_sections(marts))
+    return insights.dashboard_payload(dashboard_sections(marts, raw_root))
 
 
 def summary_report(marts: dict[str, DataFrame]) -> DataFrame:

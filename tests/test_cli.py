@@ -22,10 +22,12 @@ def test_cli_end_to_end(spark, sf_small, tmp_dir, capsys):
     assert main(["export", "--marts", out, "--table", "category_health", "--dest", f"{tmp_dir}/csv"], spark=spark) == 0
     assert glob.glob(f"{tmp_dir}/csv/part-*.csv")
 
-    assert main(["payload", "--marts", out, "--dest", f"{tmp_dir}/payload"], spark=spark) == 0
+    assert main(["payload", "--marts", out, "--dest", f"{tmp_dir}/payload", "--raw", sf_small], spark=spark) == 0
     rows = [json.loads(line) for f in glob.glob(f"{tmp_dir}/payload/part-*.json") for line in open(f)]
     sections = {r["section"] for r in rows}
-    assert {"ready", "overview", "alerts", "stage_transitions", "filter_options"} <= sections
+    assert {"ready", "overview", "alerts", "stage_transitions", "filter_options", "raw_zone"} <= sections
+    (zone,) = [json.loads(r["row_json"]) for r in rows if r["section"] == "raw_zone"]
+    assert zone["raw_file_count"] >= 3 and zone["raw_bytes"] > 0
 
 
 def test_dashboard_from_stored_marts_equals_direct(spark, sf_small, tmp_dir):
