@@ -125,6 +125,19 @@ MEASURES = (
 )
 
 
+def _join_visible(df: DataFrame) -> DataFrame:
+    """Blank the measures of groups with a NULL key.
+
+    In the join-based definition a NULL ``product_id`` or ``month`` never
+    matches the equi-join back to the per-source aggregates, so such a group
+    keeps its key but gets zero-filled measures. The fused plan keeps that.
+    """
+    keyed = F.col("product_id").isNotNull() & F.col("month").isNotNull()
+    return df.select(
+        *[F.when(keyed, F.col(c)).alias(c) if c in MEASURES else F.col(c) for c in df.columns]
+    )
+
+
 def _zero_filled(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Select ``columns`` (default: all) with the null/NaN fill applied."""
     out = []
@@ -208,7 +221,7 @@ def monthly_aggregate(facts: DataFrame) -> DataFrame:
 
 
 def monthly_fused(products: DataFrame, orders: DataFrame, reviews: DataFrame, inventory: DataFrame) -> DataFrame:
-    agg = monthly_aggregate(monthly_facts(orders, reviews, inventory))
+    agg = _join_visible(monthly_aggregate(monthly_facts(orders, reviews, inventory)))
     # Catalogue join after aggregation: the fact side is already reduced to
     # one row per (product, month). AQE broadcasts the catalogue when its
     # measured size is under the threshold, else keeps a shuffle join.

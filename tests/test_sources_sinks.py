@@ -207,3 +207,24 @@ def test_payload_json(spark, sf_small):
     assert len(sections["product_risk_scores"]) == 25
     assert len(sections["stage_transitions"]) == 8
     assert "product_stage_history" not in sections
+
+
+def test_null_keys_follow_join_semantics(spark, raw_zone):
+    """Groups with a NULL product or month keep their key and get zero
+    measures (they cannot match the equi-joins); fused == joined."""
+    d = jsonl.read_raw_zone(spark, raw_zone)
+    args = (d["products"], d["orders"], d["reviews"], d["inventory"])
+    fused = monthly.monthly_fused(*args)
+    joined = monthly.monthly_joined(*args).select(*fused.columns)
+    assert fused.exceptAll(joined).count() == 0 and joined.exceptAll(fused).count() == 0
+    nulls = fused.filter(F.col("product_id").isNull() | F.col("month").isNull()).collect()
+    assert len(nulls) == 2 and all(r.order_count == 0 and r.review_count == 0 and r.revenue == 0.0 for r in nulls)
+
+
+def test_stream_null_keys_match_batch(spark, raw_zone, tmp_dir):
+    from stagewise.streaming import refresh
+
+    got = refresh.incremental_monthly_metrics(spark, raw_zone, f"{tmp_dir}/state")
+    d = jsonl.read_raw_zone(spark, raw_zone)
+    want = monthly.monthly_metrics(d["products"], d["orders"], d["reviews"], d["inventory"])
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
