@@ -84,3 +84,20 @@ def test_overview_after_append_shows_one_row(spark, sf_small, tmp_dir):
     assert stored["dashboard_overview"].count() == 2
     assert dashboard.dashboard_sections(stored)["overview"].count() == 1
     assert dashboard.summary_report(stored).count() == 5 + 12
+
+
+def test_module_entry_point_in_fresh_process(sf_small, tmp_dir):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=root)
+    run = subprocess.run(
+        [sys.executable, "-m", "stagewise", "--master", "local[2]", "pipeline", "--tables", sf_small,
+         "--out", f"{tmp_dir}/cli"],
+        capture_output=True, text=True, timeout=600, env=env, cwd=tmp_dir,
+    )
+    assert run.returncode == 0, run.stderr[-2000:]
+    assert "dashboard_overview" in run.stdout
+    assert glob.glob(f"{tmp_dir}/cli/product_stage_history/part-*.parquet")
