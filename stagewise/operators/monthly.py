@@ -175,8 +175,9 @@ def monthly_joined(products: DataFrame, orders: DataFrame, reviews: DataFrame, i
 def monthly_facts(orders: DataFrame, reviews: DataFrame, inventory: DataFrame) -> DataFrame:
     """Union of the three sources as one narrow fact stream.
 
-    Marker columns (``_o``, ``_r``, ``_i``) are 1 on rows of their source and
-    NULL elsewhere; counting them tells which sources a group has.
+    Marker columns ``_o`` and ``_r`` are 1 on order and review rows and NULL
+    elsewhere; counting them gives the order and review counts of a group
+    (inventory only contributes averages).
     """
     o = orders.select(
         "product_id",
@@ -199,7 +200,6 @@ def monthly_facts(orders: DataFrame, reviews: DataFrame, inventory: DataFrame) -
         F.col("stock_on_hand").cast("double").alias("stock_on_hand"),
         F.col("stockout_hours").cast("double").alias("stockout_hours"),
         F.col("sell_through_pct").cast("double").alias("sell_through_pct"),
-        F.lit(1).alias("_i"),
     )
     return o.unionByName(r, allowMissingColumns=True).unionByName(i, allowMissingColumns=True)
 
