@@ -5,7 +5,7 @@ Prints ONE JSON line. ``value`` is the end-to-end batch pipeline time
 Each query in ``queries`` is timed separately by running its full plan into
 Spark's ``noop`` sink (no driver collect). ``naive_pipeline`` times the naive
 form of the same job (Python UDFs, three joins, no persisted fact table,
-driver collects) over ``BENCH_NAIVE_REPS`` runs (default 1; 0 skips it).
+driver collects) over ``BENCH_NAIVE_REPS`` runs (default: same as BENCH_REPS; 0 skips it).
 """
 
 from __future__ import annotations
@@ -76,7 +76,7 @@ def main() -> None:
     pipeline_sec = round(pipe_runs[len(pipe_runs) // 2], 3)
     queries["pipeline_end_to_end"] = pipeline_sec
 
-    naive_reps = int(os.environ.get("BENCH_NAIVE_REPS", "1"))
+    naive_reps = int(os.environ.get("BENCH_NAIVE_REPS", str(reps)))
     if naive_reps > 0:
         naive_runs = sorted(timed(lambda: naive.run_naive(adapters.datasets(spark, sf_dir))) for _ in range(naive_reps))
         queries["naive_pipeline"] = round(naive_runs[len(naive_runs) // 2], 3)
