@@ -17,6 +17,9 @@ import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
+# Python workers (only the naive baseline's UDFs run there) inherit this from
+# the JVM started below, so they can import the package from any cwd.
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYTHONPATH", "")) if p)
 
 from stagewise.plans import naive, pipeline  # noqa: E402
 from stagewise.plans.registry import QUERIES  # noqa: E402
