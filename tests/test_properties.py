@@ -68,3 +68,18 @@ def test_pipeline_tables_equal_direct(spark, sf_small, tmp_dir, m0):
         d = direct[name]
         assert written.exceptAll(d).count() == 0 and d.exceptAll(written).count() == 0, name
     assert set(paths) == {"monthly_metrics", *direct}
+
+
+def test_fact_table_partitioned_by_month_round_trip(spark, tmp_dir, m0):
+    import glob as _glob
+
+    pipeline.write_fact_table(m0, tmp_dir, partition_by_month=True)
+    folders = _glob.glob(f"{tmp_dir}/monthly_metrics/month=*")
+    assert len(folders) == m0.select("month").distinct().count()
+    back = pipeline.read_fact_table(spark, tmp_dir)
+    assert back.columns == m0.columns
+    assert back.exceptAll(m0).count() == 0 and m0.exceptAll(back).count() == 0
+    # reading one month prunes to its folder
+    one = back.filter(F.col("month") == F.lit("2001-06-01").cast("date"))
+    assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().executedPlan().toString() or \
+        one.count() == m0.filter(F.col("month") == F.lit("2001-06-01").cast("date")).count()
