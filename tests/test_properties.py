@@ -83,3 +83,46 @@ def test_fact_table_partitioned_by_month_round_trip(spark, tmp_dir, m0):
     one = back.filter(F.col("month") == F.lit("2001-06-01").cast("date"))
     assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().executedPlan().toString() or \
         one.count() == m0.filter(F.col("month") == F.lit("2001-06-01").cast("date")).count()
+
+
+FIXTURE_DISTRIBUTIONS = {
+    # measured independently for the adapters (FIXTURES.md section 5)
+    "0.001": dict(rows=5675, stages=(3025, 82, 502, 2066), buckets=(2019, 633, 3023), null_age=147,
+                  pairs=5525, gaps=2604, latest_n=59),
+    "0.01": dict(rows=11687, stages=(6566, 845, 1541, 2735), buckets=(3355, 2097, 6235), null_age=389,
+                 pairs=11537, gaps=13, latest_n=150),
+    "0.1": dict(rows=11700, stages=(6562, 434, 3616, 1088), buckets=(193, 1580, 9927), null_age=390,
+                pairs=11550, gaps=0, latest_n=150),
+}
+
+
+@pytest.mark.parametrize("sf", sorted(FIXTURE_DISTRIBUTIONS))
+def test_fixture_distributions_all_scales(spark, sf):
+    import os
+
+    from pyspark.sql import Window
+
+    from stagewise.plans.registry import m0 as build_m0
+
+    path = f"/root/testdata/sf{sf}"
+    if not os.path.exists(path):
+        pytest.skip("test tables not available")
+    m = build_m0(spark, path).cache()
+    try:
+        st = dict(m.groupBy("lifecycle_stage").count().collect())
+        bk = dict(m.groupBy("risk_bucket").count().collect())
+        w = Window.partitionBy("product_id").orderBy("month")
+        p = m.select(F.lag("month").over(w).alias("prev"), "month").filter(F.col("prev").isNotNull())
+        latest = m.agg(F.max("month")).first()[0]
+        got = dict(
+            rows=m.count(),
+            stages=tuple(st[s] for s in ("introduction", "growth", "maturity", "decline")),
+            buckets=tuple(bk[b] for b in ("critical", "watch", "stable")),
+            null_age=m.filter(F.col("age_ratio").isNull()).count(),
+            pairs=p.count(),
+            gaps=p.filter(F.add_months("prev", 1) != F.col("month")).count(),
+            latest_n=m.filter(F.col("month") == latest).count(),
+        )
+    finally:
+        m.unpersist()
+    assert got == FIXTURE_DISTRIBUTIONS[sf]
