@@ -1,0 +1 @@
+"""Operators: monthly fact table, marts, dashboard datasets, data-quality reports."""

@@ -1,0 +1 @@
+"""Plans: the batch pipeline, dashboard reads, registered queries, benchmark baseline."""

@@ -1,0 +1 @@
+"""Sinks: Parquet/JDBC marts, CSV export, JSON-lines raw zone."""

@@ -1,0 +1 @@
+"""Streaming: incremental refresh with Structured Streaming."""

@@ -1,0 +1 @@
+"""DuckDB SQL that restates every registered query (the correctness oracle)."""
