@@ -101,3 +101,17 @@ def test_module_entry_point_in_fresh_process(sf_small, tmp_dir):
     assert run.returncode == 0, run.stderr[-2000:]
     assert "dashboard_overview" in run.stdout
     assert glob.glob(f"{tmp_dir}/cli/product_stage_history/part-*.parquet")
+
+
+def test_cli_refresh_then_report(spark, sf_small, tmp_dir, capsys):
+    from stagewise.plans.registry import write_raw_zone
+
+    raw = write_raw_zone(spark, sf_small, f"{tmp_dir}/raw")
+    args = ["refresh", "--raw", raw, "--state", f"{tmp_dir}/state", "--out", f"{tmp_dir}/out",
+            "--max-files-per-trigger", "50", "--compact"]
+    assert main(args, spark=spark) == 0
+    assert glob.glob(f"{tmp_dir}/state/compacted/upto=*")
+    capsys.readouterr()
+    assert main(["report", "--marts", f"{tmp_dir}/out"], spark=spark) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert lines[0] == "Latest month: 2001-06-01" and len(lines) == 17
