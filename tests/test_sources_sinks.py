@@ -228,3 +228,17 @@ def test_stream_null_keys_match_batch(spark, raw_zone, tmp_dir):
     d = jsonl.read_raw_zone(spark, raw_zone)
     want = monthly.monthly_metrics(d["products"], d["orders"], d["reviews"], d["inventory"])
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_replace_is_all_or_nothing(spark, small_marts, tmp_dir):
+    good = small_marts["monthly_trends"]
+    n = good.count()
+    writers.write_mart(good, tmp_dir, "monthly_trends", "replace")
+    failing = good.withColumn("revenue", F.when(F.col("units_sold") >= 0, F.raise_error(F.lit("boom"))))
+    with pytest.raises(Exception):
+        writers.write_mart(failing, tmp_dir, "monthly_trends", "replace")
+    # the failed replace left the previous version in place
+    assert writers.read_mart(spark, tmp_dir, "monthly_trends").count() == n
+    early = good.filter(F.col("month") < F.lit("1996-01-01").cast("date"))
+    writers.write_mart(early, tmp_dir, "monthly_trends", "replace")
+    assert writers.read_mart(spark, tmp_dir, "monthly_trends").count() == early.count() < n
