@@ -9,6 +9,7 @@ Mart writes are independent jobs and are submitted concurrently.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.marts import MART_BUILDERS
 from ..operators.monthly import monthly_metrics
 from ..schemas import MONTHLY_METRICS
-from ..sinks.writers import write_mart, write_mart_jdbc
+from ..sinks.writers import swap_in, write_mart, write_mart_jdbc
 from ..sources import adapters, jsonl
 
 FACT_TABLE = "monthly_metrics"
 
 
-def write_fact_table(metrics: DataFrame, out_root: str, partition_by_month: bool = False) -> str:
-    path = f"{out_root.rstrip('/')}/{FACT_TABLE}"
+def write_fact_table(
+    metrics: DataFrame, out_root: str, partition_by_month: bool = False, atomic: bool = True
+) -> str:
+    """Write the fact table; with ``atomic`` it is staged and swapped in (see
+    :func:`stagewise.sinks.writers.write_mart`)."""
+    root = out_root.rstrip("/")
+    path = f"{root}/{FACT_TABLE}"
+    version = uuid.uuid4().hex
+    target = f"{root}/_staging/{FACT_TABLE}-{version}" if atomic else path
     writer = metrics.write.mode("overwrite")
     if partition_by_month:
         # Range partitioning on (month, product): each task holds a contiguous
@@ -31,7 +39,9 @@ def write_fact_table(metrics: DataFrame, out_root: str, partition_by_month: bool
         # holding a third of the rows is split over several tasks.
         metrics = metrics.repartitionByRange("month", "product_id")
         writer = metrics.write.mode("overwrite").partitionBy("month")
-    writer.parquet(path)
+    writer.parquet(target)
+    if atomic:
+        swap_in(metrics.sparkSession, target, path, f"{root}/_retired/{FACT_TABLE}-{version}")
     return path
 
 
