@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.marts import MART_BUILDERS
 from ..operators.monthly import monthly_metrics
 from ..schemas import MONTHLY_METRICS
-from ..sinks.writers import swap_in, write_mart, write_mart_jdbc
+from ..sinks.writers import can_swap, swap_in, write_mart, write_mart_jdbc
 from ..sources import adapters, jsonl
 
 FACT_TABLE = "monthly_metrics"
@@ -31,6 +31,7 @@ def write_fact_table(
     root = out_root.rstrip("/")
     path = f"{root}/{FACT_TABLE}"
     version = uuid.uuid4().hex
+    atomic = atomic and can_swap(metrics.sparkSession)
     target = f"{root}/_staging/{FACT_TABLE}-{version}" if atomic else path
     writer = metrics.write.mode("overwrite")
     if partition_by_month:
