@@ -28,6 +28,8 @@ from stagewise.sources import adapters  # noqa: E402
 
 HEADLINE = (
     "monthly_metrics",
+    "monthly_fused",
+    "monthly_joined",
     "mart_overview",
     "mart_monthly_trends",
     "mart_stage_sentiment",
