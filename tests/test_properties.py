@@ -126,3 +126,22 @@ def test_fixture_distributions_all_scales(spark, sf):
     finally:
         m.unpersist()
     assert got == FIXTURE_DISTRIBUTIONS[sf]
+
+
+ADAPTER_COUNTS = {  # products / sales / reviews / inventory rows (FIXTURES.md section 5)
+    "0.001": (145, 5_696, 2_445, 2_866),
+    "0.01": (145, 57_005, 25_331, 28_443),
+    "0.1": (145, 569_464, 253_824, 284_837),
+}
+
+
+@pytest.mark.parametrize("sf", sorted(ADAPTER_COUNTS))
+def test_adapter_row_counts(spark, sf):
+    import os
+
+    path = f"/root/testdata/sf{sf}"
+    if not os.path.exists(path):
+        pytest.skip("test tables not available")
+    d = adapters.datasets(spark, path)
+    got = tuple(d[n].count() for n in ("products", "orders", "reviews", "inventory"))
+    assert got == ADAPTER_COUNTS[sf]
