@@ -16,7 +16,6 @@ Mapping (fixed values of the test fixture):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # --- fixed values of the fixture mapping -----------------------------------
 PRODUCT_MODULUS = 150
@@ -43,40 +42,37 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _product_id(key: str) -> F.Column:
-    return F.concat(F.lit("P"), F.lpad((F.col(key) % PRODUCT_MODULUS).cast("string"), 5, "0"))
+def _pid(key: str) -> str:
+    return f"concat('P', lpad(cast({key} % {PRODUCT_MODULUS} as string), 5, '0'))"
 
 
-def _cutoff() -> F.Column:
-    return F.lit(ACTIVITY_CUTOFF).cast("timestamp_ntz")
+_BEFORE_CUTOFF = f"< timestamp_ntz'{ACTIVITY_CUTOFF}'"
 
 
+# The projections below are the FIXTURES.md expressions, as SQL text.
+
 def products(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
     part = part if part is not None else _table(spark, sf_dir, "part")
-    return part.filter(F.col("p_partkey") < CATALOG_MAX_PARTKEY).select(
-        F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 5, "0")).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.lower("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-        F.expr(
-            f"cast(cast('{LAUNCH_EPOCH}' as date) + cast((p_partkey * 37) % 2600 as int) as date)"
-        ).alias("launch_date"),
-        (F.lit(800) + F.col("p_size") * F.lit(28)).cast("int").alias("expected_lifecycle_days"),
+    return part.filter(f"p_partkey < {CATALOG_MAX_PARTKEY}").selectExpr(
+        "concat('P', lpad(cast(p_partkey as string), 5, '0')) AS product_id",
+        "p_name AS product_name",
+        "lower(p_type) AS category",
+        "p_brand AS brand",
+        f"cast(cast('{LAUNCH_EPOCH}' as date) + cast((p_partkey * 37) % 2600 as int) as date) AS launch_date",
+        "cast(800 + p_size * 28 as int) AS expected_lifecycle_days",
     )
 
 
 def sales(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     li = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
-    return li.filter(F.col("l_shipdate") < _cutoff()).select(
-        _product_id("l_partkey").alias("product_id"),
-        F.col("l_shipdate").alias("order_ts"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.expr(
-            "cast(cast((cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint))"
-            " as decimal(12,0)) * cast(0.01 as decimal(3,2)) as decimal(14,2))"
-        ).alias("unit_price"),
-        F.col("l_discount").cast("decimal(4,2)").alias("discount_pct"),
-        ((F.col("l_returnflag") == F.lit("R")) & (F.col("l_orderkey") % 4 == 0)).alias("returned_flag"),
+    return li.filter(f"l_shipdate {_BEFORE_CUTOFF}").selectExpr(
+        f"{_pid('l_partkey')} AS product_id",
+        "l_shipdate AS order_ts",
+        "cast(l_quantity as int) AS quantity",
+        "cast(cast((cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)) as decimal(12,0))"
+        " * cast(0.01 as decimal(3,2)) as decimal(14,2)) AS unit_price",
+        "cast(l_discount as decimal(4,2)) AS discount_pct",
+        "(l_returnflag = 'R' AND l_orderkey % 4 = 0) AS returned_flag",
     )
 
 
@@ -85,37 +81,29 @@ def reviews(
 ) -> DataFrame:
     li = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
     od = orders if orders is not None else _table(spark, sf_dir, "orders")
-    li = li.filter(F.col("l_linenumber") <= REVIEW_MAX_LINENUMBER)
-    od = od.filter(F.col("o_orderdate") < _cutoff())
-    # orders is keyed by o_orderkey: the join cannot fan out, and both sides
-    # are shuffled on the order key (no hot key by construction).
-    joined = li.select("l_orderkey", "l_partkey", "l_linenumber").join(
-        od.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey"
-    )
-    seed = (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17) % 1401
-    return joined.select(
-        _product_id("l_partkey").alias("product_id"),
-        F.col("o_orderdate").alias("review_ts"),
-        (F.lit(1) + F.expr("((l_orderkey * 31 + l_linenumber * 17) % 1401) div 281")).cast("int").alias("rating"),
-        ((seed - 600).cast("decimal(5,0)") * F.lit(0.001).cast("decimal(4,3)"))
-        .cast("decimal(7,3)").alias("sentiment_score"),
+    # orders is keyed by o_orderkey: the join cannot fan out, and no order
+    # key is hot (at most a handful of lines per order).
+    lines = li.filter(f"l_linenumber <= {REVIEW_MAX_LINENUMBER}").select("l_orderkey", "l_partkey", "l_linenumber")
+    dated = od.filter(f"o_orderdate {_BEFORE_CUTOFF}").selectExpr("o_orderkey AS l_orderkey", "o_orderdate")
+    seed = "((l_orderkey * 31 + l_linenumber * 17) % 1401)"
+    return lines.join(dated, "l_orderkey").selectExpr(
+        f"{_pid('l_partkey')} AS product_id",
+        "o_orderdate AS review_ts",
+        f"cast(1 + {seed} div 281 as int) AS rating",
+        f"cast(cast({seed} - 600 as decimal(5,0)) * cast(0.001 as decimal(4,3)) as decimal(7,3)) AS sentiment_score",
     )
 
 
 def inventory(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     li = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
-    return li.filter((F.col("l_linestatus") == F.lit("F")) & (F.col("l_shipdate") < _cutoff())).select(
-        _product_id("l_partkey").alias("product_id"),
-        F.to_date("l_shipdate").alias("snapshot_date"),
-        ((F.col("l_suppkey") * 97 + F.col("l_orderkey")) % 500).cast("int").alias("stock_on_hand"),
-        (
-            ((F.col("l_orderkey") * 13 + F.col("l_linenumber")) % 3600).cast("decimal(5,0)")
-            * F.lit(0.01).cast("decimal(3,2)")
-        ).cast("decimal(7,2)").alias("stockout_hours"),
-        (
-            ((F.col("l_orderkey") * 29 + F.col("l_suppkey")) % 890 + 80).cast("decimal(5,0)")
-            * F.lit(0.001).cast("decimal(4,3)")
-        ).cast("decimal(7,3)").alias("sell_through_pct"),
+    return li.filter(f"l_linestatus = 'F' AND l_shipdate {_BEFORE_CUTOFF}").selectExpr(
+        f"{_pid('l_partkey')} AS product_id",
+        "cast(l_shipdate as date) AS snapshot_date",
+        "cast((l_suppkey * 97 + l_orderkey) % 500 as int) AS stock_on_hand",
+        "cast(cast((l_orderkey * 13 + l_linenumber) % 3600 as decimal(5,0)) * cast(0.01 as decimal(3,2))"
+        " as decimal(7,2)) AS stockout_hours",
+        "cast(cast((l_orderkey * 29 + l_suppkey) % 890 + 80 as decimal(5,0)) * cast(0.001 as decimal(4,3))"
+        " as decimal(7,3)) AS sell_through_pct",
     )
 
 
