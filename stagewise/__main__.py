@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     """Run one command. A caller-owned ``spark`` session is used and kept open."""
     ap = argparse.ArgumentParser(prog="stagewise", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     ap.add_argument("--master", help="Spark master (default: from spark-submit / environment)")
+    ap.add_argument("--cluster", action="store_true", help="apply session.CLUSTER_CONF (large-cluster settings)")
     sub = ap.add_subparsers(dest="command", required=True)
 
     p = sub.add_parser("pipeline", help="build the fact table and the marts")
@@ -70,7 +71,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     args = ap.parse_args(argv)
     own_session = spark is None
-    spark = spark or build_session(args.master)
+    if spark is None:
+        from .session import CLUSTER_CONF
+
+        spark = build_session(args.master, conf=CLUSTER_CONF if args.cluster else None)
     jdbc = _jdbc(args)
 
     if args.command == "pipeline":
