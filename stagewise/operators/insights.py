@@ -205,7 +205,7 @@ PAYLOAD_SECTIONS = (
 
 def dashboard_payload(sections: dict[str, DataFrame]) -> DataFrame:
     """``(section, row_json)`` rows for the bounded dashboard sections plus a
-    ``ready`` row (true when the overview has a row with a latest month).
+    ``ready`` row (true when the overview table has a row).
 
     Dates serialise as ISO ``yyyy-MM-dd``; DECIMAL and DOUBLE as JSON numbers.
     The full stage history is not part of the payload: it stays a table.
@@ -223,7 +223,7 @@ def dashboard_payload(sections: dict[str, DataFrame]) -> DataFrame:
         )
     overview = sections["overview"]
     ready = overview.agg(
-        F.to_json(F.struct((F.count(F.col("latest_month")) > 0).alias("ready"))).alias("row_json")
+        F.to_json(F.struct((F.count(F.lit(1)) > 0).alias("ready"))).alias("row_json")
     ).select(F.lit("ready").alias("section"), "row_json")
     out = ready
     for p in parts:
