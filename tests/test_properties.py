@@ -145,3 +145,20 @@ def test_adapter_row_counts(spark, sf):
     d = adapters.datasets(spark, path)
     got = tuple(d[n].count() for n in ("products", "orders", "reviews", "inventory"))
     assert got == ADAPTER_COUNTS[sf]
+
+
+def test_failed_run_keeps_previous_outputs(spark, sf_small, tmp_dir, data):
+    from stagewise.sinks import writers
+
+    pipeline.run_from_tables(spark, sf_small, tmp_dir)
+    before_fact = pipeline.read_fact_table(spark, tmp_dir)
+    n_fact = before_fact.count()
+    n_hist = writers.read_mart(spark, tmp_dir, "product_stage_history").count()
+    broken = dict(data)
+    broken["orders"] = data["orders"].withColumn(
+        "quantity", F.when(F.col("quantity") > 0, F.raise_error(F.lit("source failure"))).cast("int")
+    )
+    with pytest.raises(Exception):
+        pipeline.run_pipeline(spark, broken, tmp_dir)
+    assert pipeline.read_fact_table(spark, tmp_dir).count() == n_fact
+    assert writers.read_mart(spark, tmp_dir, "product_stage_history").count() == n_hist
