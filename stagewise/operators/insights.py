@@ -12,6 +12,15 @@ from ..functions import fixed, iso_date, percent, thousands
 from .marts import risk_order
 
 
+def with_position(df: DataFrame, order: list[F.Column]) -> DataFrame:
+    """Add ``_position`` (1, 2, ...) in ``order``.
+
+    Only used on bounded dashboard sections (top-k outputs, marts with one row
+    per month, category or stage), so one ordering window per section is small.
+    """
+    return df.withColumn("_position", F.row_number().over(Window.orderBy(*order)))
+
+
 def _present(col: str) -> F.Column:
     """Python truthiness of a text/date value: not NULL and not empty."""
     c = F.col(col)
@@ -20,7 +29,7 @@ def _present(col: str) -> F.Column:
 
 # --- M8: stage transitions -------------------------------------------------
 
-def stage_transitions(history: DataFrame, limit: int = K.TRANSITION_LIMIT) -> DataFrame:
+def stage_transitions(history: DataFrame, limit: int = K.TRANSITION_LIMIT, positioned: bool = False) -> DataFrame:
     """Most frequent (previous stage -> stage) pairs of consecutive rows per
     product, including self-transitions.
 
@@ -43,11 +52,11 @@ def stage_transitions(history: DataFrame, limit: int = K.TRANSITION_LIMIT) -> Da
         F.count(F.lit(1)).alias("product_count"),
         F.min(F.struct("_first_month", "product_id", "month")).alias("_first_seen"),
     )
-    return (
-        counted.orderBy(F.col("product_count").desc(), F.col("_first_seen").asc())
-        .limit(limit)
-        .select("from_stage", "to_stage", "product_count")
-    )
+    order = [F.col("product_count").desc(), F.col("_first_seen").asc()]
+    top = counted.orderBy(*order).limit(limit)
+    if positioned:
+        return with_position(top, order).select("from_stage", "to_stage", "product_count", "_position")
+    return top.select("from_stage", "to_stage", "product_count")
 
 
 # --- M9: alerts -------------------------------------------------------------
@@ -56,6 +65,7 @@ def alerts(
     risk_scores: DataFrame,
     limit: int = K.ALERT_LIMIT,
     unknown_category: str = K.UNKNOWN_CATEGORY,
+    positioned: bool = False,
 ) -> DataFrame:
     """First-match alert rules over the top-risk table, first ``limit`` in
     risk order: risk >= 70 (high from 80), else return rate >= 25%, else
@@ -87,7 +97,7 @@ def alerts(
         .when(return_rule, F.concat(F.lit("Return rate "), percent(rr, 1), sep, category, sep, month))
         .when(sentiment_rule, F.concat(F.lit("Sentiment Δ "), fixed(sd, 3), sep, category, sep, month))
     )
-    return (
+    top = (
         risk_scores.select(
             title.alias("title"), metric.alias("metric"), severity.alias("severity"), detail.alias("detail"),
             "risk_score", "revenue", "product_id",
@@ -95,13 +105,16 @@ def alerts(
         .filter(F.col("title").isNotNull())
         .orderBy(*risk_order())
         .limit(limit)
-        .select("title", "metric", "severity", "detail")
     )
+    cols = ["title", "metric", "severity", "detail"]
+    if positioned:
+        return with_position(top, risk_order()).select(*cols, "_position")
+    return top.select(*cols)
 
 
 # --- M10: filter options ----------------------------------------------------
 
-def filter_options(history: DataFrame, risk_scores: DataFrame) -> DataFrame:
+def filter_options(history: DataFrame, risk_scores: DataFrame, positioned: bool = False) -> DataFrame:
     """Long form ``(option, value)``: months (newest first), categories,
     brands, lifecycle stages, risk buckets, and the default month.
 
@@ -139,12 +152,15 @@ def filter_options(history: DataFrame, risk_scores: DataFrame) -> DataFrame:
         F.col("option"),
     )
     stage_rank = F.array_position(F.array(*[F.lit(s) for s in K.STAGES]), F.col("value"))
-    return out.orderBy(
+    order = [
         option_rank,
         F.when(F.col("option") == "months", F.col("value")).desc(),
         F.when(F.col("option") == "lifecycle_stages", stage_rank),
         F.col("value"),
-    )
+    ]
+    if positioned:
+        return with_position(out, order)
+    return out.orderBy(*order)
 
 
 # --- M11: project summary ---------------------------------------------------
@@ -204,27 +220,33 @@ PAYLOAD_SECTIONS = (
 
 
 def dashboard_payload(sections: dict[str, DataFrame]) -> DataFrame:
-    """``(section, row_json)`` rows for the bounded dashboard sections plus a
-    ``ready`` row (true when the overview table has a row).
+    """``(section, position, row_json)`` rows for the bounded dashboard
+    sections plus a ``ready`` row (true when the overview table has a row).
 
-    Dates serialise as ISO ``yyyy-MM-dd``; DECIMAL and DOUBLE as JSON numbers.
-    The full stage history is not part of the payload: it stays a table.
+    A section that carries ``_position`` keeps it (its list order); other
+    sections have NULL positions. Dates serialise as ISO ``yyyy-MM-dd``;
+    DECIMAL and DOUBLE as JSON numbers; NULL as ``null`` (fields are kept). The full stage history is not part of
+    the payload: it stays a table.
     """
     parts = []
     for name in PAYLOAD_SECTIONS:
         if name not in sections:
             continue
         df = sections[name]
+        fields = [F.col(c) for c in df.columns if c != "_position"]
+        position = F.col("_position") if "_position" in df.columns else F.lit(None)
         parts.append(
             df.select(
                 F.lit(name).alias("section"),
-                F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"dateFormat": "yyyy-MM-dd"}).alias("row_json"),
+                position.cast("int").alias("position"),
+                F.to_json(F.struct(*fields), {"dateFormat": "yyyy-MM-dd", "ignoreNullFields": "false"})
+                .alias("row_json"),
             )
         )
     overview = sections["overview"]
     ready = overview.agg(
         F.to_json(F.struct((F.count(F.lit(1)) > 0).alias("ready"))).alias("row_json")
-    ).select(F.lit("ready").alias("section"), "row_json")
+    ).select(F.lit("ready").alias("section"), F.lit(1).alias("position"), "row_json")
     out = ready
     for p in parts:
         out = out.unionByName(p)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import insights
 from ..schemas import MARTS
-from ..sinks.writers import read_mart
+from ..sinks.writers import mart_order, read_mart
 from ..sources.raw_zone import raw_zone_inventory
 
 
@@ -53,30 +54,47 @@ def _overview(marts: dict[str, DataFrame]) -> DataFrame:
     return marts["dashboard_overview"].limit(1)
 
 
-def dashboard_sections(marts: dict[str, DataFrame], raw_root: str | None = None) -> dict[str, DataFrame]:
-    """All dashboard datasets; with ``raw_root`` also the raw-zone inventory."""
+def dashboard_sections(
+    marts: dict[str, DataFrame], raw_root: str | None = None, positioned: bool = False
+) -> dict[str, DataFrame]:
+    """All dashboard datasets; with ``raw_root`` also the raw-zone inventory.
+
+    ``positioned`` adds ``_position`` to each section: the list order a
+    dashboard shows (the marts' reading order, the alert/transition/option
+    order; 1 for single-row sections).
+    """
     history = marts["product_stage_history"]
     risk = marts["product_risk_scores"]
+
+    def listed(name: str, df: DataFrame) -> DataFrame:
+        if not positioned:
+            return df
+        order = mart_order(name)
+        return insights.with_position(df, order) if order else df.withColumn("_position", F.lit(1))
+
+    def single(df: DataFrame) -> DataFrame:
+        return df.withColumn("_position", F.lit(1)) if positioned else df
+
     sections = {
-        "overview": _overview(marts),
-        "monthly_trends": marts["monthly_trends"],
-        "stage_sentiment": marts["stage_sentiment"],
-        "category_health": marts["category_health"],
-        "lifecycle_distribution": marts["lifecycle_distribution"],
-        "product_risk_scores": risk,
-        "alerts": insights.alerts(risk),
-        "stage_transitions": insights.stage_transitions(history),
-        "filter_options": insights.filter_options(history, risk),
-        "project_summary": insights.project_summary(history),
+        "overview": listed("dashboard_overview", _overview(marts)),
+        "monthly_trends": listed("monthly_trends", marts["monthly_trends"]),
+        "stage_sentiment": listed("stage_sentiment", marts["stage_sentiment"]),
+        "category_health": listed("category_health", marts["category_health"]),
+        "lifecycle_distribution": listed("lifecycle_distribution", marts["lifecycle_distribution"]),
+        "product_risk_scores": listed("product_risk_scores", risk),
+        "alerts": insights.alerts(risk, positioned=positioned),
+        "stage_transitions": insights.stage_transitions(history, positioned=positioned),
+        "filter_options": insights.filter_options(history, risk, positioned=positioned),
+        "project_summary": single(insights.project_summary(history)),
     }
     if raw_root:
-        sections["raw_zone"] = raw_zone_inventory(history.sparkSession, raw_root)
+        sections["raw_zone"] = single(raw_zone_inventory(history.sparkSession, raw_root))
     return sections
 
 
 def dashboard_payload(marts: dict[str, DataFrame], raw_root: str | None = None) -> DataFrame:
-    """``(section, row_json)`` rows of the dashboard, from stored marts."""
-    return insights.dashboard_payload(dashboard_sections(marts, raw_root))
+    """``(section, position, row_json)`` rows of the dashboard, from marts."""
+    return insights.dashboard_payload(dashboard_sections(marts, raw_root, positioned=True))
 
 
 def summary_report(marts: dict[str, DataFrame]) -> DataFrame:

@@ -172,22 +172,9 @@ def q_incremental_refresh(spark, sf_dir):
 
 
 def q_payload(spark, sf_dir):
-    metrics = m0(spark, sf_dir)
-    history = marts.product_stage_history(metrics)
-    risk = marts.product_risk_scores(metrics)
-    sections = {
-        "overview": marts.dashboard_overview(metrics),
-        "monthly_trends": marts.monthly_trends(metrics),
-        "stage_sentiment": marts.stage_sentiment(metrics),
-        "category_health": marts.category_health(metrics),
-        "lifecycle_distribution": marts.lifecycle_distribution(metrics),
-        "product_risk_scores": risk,
-        "alerts": insights.alerts(risk),
-        "stage_transitions": insights.stage_transitions(history),
-        "filter_options": insights.filter_options(history, risk),
-        "project_summary": insights.project_summary(history),
-    }
-    return insights.dashboard_payload(sections)
+    from .dashboard import dashboard_payload
+
+    return dashboard_payload(marts.build_marts(m0(spark, sf_dir)))
 
 
 def q_filter_options(spark, sf_dir):

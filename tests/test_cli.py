@@ -115,3 +115,36 @@ def test_cli_refresh_then_report(spark, sf_small, tmp_dir, capsys):
     assert main(["report", "--marts", f"{tmp_dir}/out"], spark=spark) == 0
     lines = capsys.readouterr().out.strip().splitlines()
     assert lines[0] == "Latest month: 2001-06-01" and len(lines) == 17
+
+
+def test_payload_positions_follow_list_order(spark, sf_small):
+    from stagewise.operators import insights, marts
+    from stagewise.plans.registry import QUERIES, m0
+
+    rows = QUERIES["payload_rows_json"](spark, sf_small).collect()
+    by_section: dict[str, list] = {}
+    for r in rows:
+        by_section.setdefault(r.section, []).append((r.position, json.loads(r.row_json)))
+    ordered = {k: [obj for _, obj in sorted(v, key=lambda t: t[0])] for k, v in by_section.items()}
+    assert all(p is not None for v in by_section.values() for p, _ in v)
+    for k, v in by_section.items():
+        assert sorted(p for p, _ in v) == list(range(1, len(v) + 1)), k
+
+    months = [o["month"] for o in ordered["monthly_trends"]]
+    assert months == sorted(months)
+    risk = [(o["risk_score"], o["revenue"]) for o in ordered["product_risk_scores"]]
+    assert risk == sorted(risk, key=lambda t: (-t[0], -t[1]))
+    metrics = m0(spark, sf_small)
+    history, top = marts.product_stage_history(metrics), marts.product_risk_scores(metrics)
+    assert [tuple(o.values()) for o in ordered["alerts"]] == [tuple(r) for r in insights.alerts(top).collect()]
+    assert [tuple(o.values()) for o in ordered["stage_transitions"]] == \
+        [tuple(r) for r in insights.stage_transitions(history).collect()]
+    assert [(o["option"], o["value"]) for o in ordered["filter_options"]] == \
+        [tuple(r) for r in insights.filter_options(history, top).collect()]
+
+
+def test_payload_keeps_null_fields(spark, tmp_dir):
+    rows = dashboard.dashboard_payload(dashboard.load_marts(spark, f"{tmp_dir}/nothing")).collect()
+    (default,) = [json.loads(r.row_json) for r in rows if r.section == "filter_options"
+                  and json.loads(r.row_json)["option"] == "default_month"]
+    assert default == {"option": "default_month", "value": None}
