@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, packing, quality, sharding, url_filter
+from . import ann, bpe, chat, jaccard, language, packing, quality, sharding, url_filter
 from .common import table
 
 
@@ -12,10 +12,13 @@ def _over(name, fn):
 
 QUERIES = {
     "op1_url_filter": _over("pages", url_filter.url_filter_query),
+    "op2_collision_ann": _over("embeddings", ann.ann_query),
     "op3_host_quality": _over("documents", quality.quality_query),
     "op4_hilbert_sharding": _over("documents", sharding.sharding_query),
+    "op6_language_fusion": _over("documents", language.language_query),
     "op7_bpe_automaton": _over("documents", bpe.bpe_query),
     "op8_chat_trees": _over("conversations", chat.chat_query),
+    "op9_jaccard_forest": _over("documents", jaccard.jaccard_query),
     "op10_packing": _over("documents", packing.packing_query),
 }
 
