@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, jaccard, language, packing, quality, sharding, url_filter
+from . import ann, bpe, chat, jaccard, language, line_dedup, packing, quality, sharding, url_filter
 from .common import table
 
 
@@ -15,6 +15,7 @@ QUERIES = {
     "op2_collision_ann": _over("embeddings", ann.ann_query),
     "op3_host_quality": _over("documents", quality.quality_query),
     "op4_hilbert_sharding": _over("documents", sharding.sharding_query),
+    "op5_line_minhash": _over("documents", line_dedup.line_query),
     "op6_language_fusion": _over("documents", language.language_query),
     "op7_bpe_automaton": _over("documents", bpe.bpe_query),
     "op8_chat_trees": _over("conversations", chat.chat_query),

@@ -110,6 +110,14 @@ def bloom_blocks(keys: DataFrame, column: str, n_blocks: int) -> DataFrame:
     return masked.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
+def bloom_hit(key: Column, n_blocks: int) -> tuple[Column, Column]:
+    """The block of a key, and whether the words of that block (``w0`` ..) let it pass."""
+    passed = F.lit(True)
+    for i, m in enumerate(_masks(key)):
+        passed = passed & (F.col(f"w{i}").bitwiseAND(m) == m)
+    return _block(key, n_blocks), passed
+
+
 def listed_among(rows: DataFrame, column: str, listed: DataFrame, bits_a_key: int = BITS_A_KEY) -> DataFrame:
     """``rows`` with boolean ``listed``: whether ``column`` is a value of the distinct one-column table ``listed``.
 
@@ -121,12 +129,8 @@ def listed_among(rows: DataFrame, column: str, listed: DataFrame, bits_a_key: in
     n_blocks = max(1, math.ceil(listed.count() * bits_a_key / (64 * WORDS)))
     blocks = bloom_blocks(listed, name, n_blocks).withColumnRenamed("block", "_filter_block")
     key = F.col(column)
-    probed = rows.withColumn("_block", _block(key, n_blocks)).join(
-        blocks, F.col("_block") == F.col("_filter_block"), "left"
-    )
-    passed = F.lit(True)
-    for i, m in enumerate(_masks(key)):
-        passed = passed & (F.col(f"w{i}").bitwiseAND(m) == m)
+    at, passed = bloom_hit(key, n_blocks)
+    probed = rows.withColumn("_block", at).join(blocks, F.col("_block") == F.col("_filter_block"), "left")
     probed = probed.withColumn("_possible", F.coalesce(passed & key.isNotNull(), F.lit(False)))
     exact = listed.select(F.col(name).alias("_listed_key"))
     # Rows that the filter rejects get a null key, which no join row meets and no shuffle needs.
