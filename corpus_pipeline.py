@@ -1,10 +1,14 @@
-"""A training corpus from ``documents``: STAGES in order, each reading what its predecessor kept."""
+"""A training corpus from ``documents``: STAGES in order, each working on all that its predecessor kept.
+
+Every stage takes (spark, docs, sf_dir). All but the last return the columns
+of ``documents``; the last one returns packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stagewise.llm import packing, quality
+from stagewise.llm import jaccard, language, line_dedup, packing, quality
 from stagewise.llm.common import stored, table
 
 
@@ -12,16 +16,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.keep_identified(docs)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packing_query(docs)
 
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("language_id", language_id),
+    ("line_dedup", dedup_lines),
+    ("near_duplicates", near_duplicates),
     ("packing", pack),
 ]
 
-#: SQL can't express the stages from line dedup on; they are tested against brute force.
+#: SQL can't express the MinHash stages and the tokenizer; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 

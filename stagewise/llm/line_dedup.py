@@ -4,35 +4,38 @@ A line is the set of its overlapping 12-byte shingles. One pass over the texts
 makes the signature of every distinct line: each shingle hash falls into one
 of BINS bins and the smallest of a bin is kept, so the aggregation itself is
 the MinHash and runs before any shuffle. Two bins make a band. Lines that
-share a band are compared: all pairs of a small bucket, else all members with
-the bucket's smallest line, the unmatched ones again among themselves, until
-none is left. The exact Jaccard similarity decides. Union-find joins the links
-to components and the first occurrence of each component stays.
+share a band are compared: every member of a bucket with its first HUBS lines
+(all pairs of a small bucket), those that match none of them again among
+themselves, until none is left. Pairs that share two bands or more meet the
+exact Jaccard similarity, which decides. Union-find joins the links to
+components and the first occurrence of each component stays.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 from .components import components
 from .url_filter import BITS_A_KEY, WORDS, bloom_blocks, bloom_hit
 
-BINS = 12
+BINS = 16
 BLANK = " \t\r\x0b\x0c"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``small``: buckets up to this size are compared pair by pair. ``filter_blocks``: a filter of up to
-    this many 40-byte blocks is broadcast; with more the lines are joined without it."""
+    """``hubs``: lines of a bucket that all others are compared with in a round. ``bands``: a pair must share
+    so many to be verified. ``filter_blocks``: a filter of up to this many 40-byte blocks is broadcast;
+    with more the lines are joined without it."""
 
     shingle: int = 12
     percent: int = 80
-    small: int = 6
+    hubs: int = 8
+    bands: int = 2
     filter_blocks: int = 1_000_000
 
 
@@ -75,7 +78,7 @@ def signatures(lines: DataFrame, s: Settings) -> DataFrame:
     """h1, h2, n (occurrences), bands and an id of every distinct line."""
     rows = lines.select("h1", "h2", "line", F.explode(_starts(F.col("line"), s)).alias("at"))
     rows = rows.select("h1", "h2", "at", shingle_at(F.col("line"), F.col("at"), s).alias("s"))
-    rows = rows.withColumn("bin", F.pmod(F.col("s"), F.lit(BINS)))
+    rows = rows.withColumn("bin", F.shiftrightunsigned("s", 60))
     out = rows.groupBy("h1", "h2").agg(
         F.sum((F.col("at") == 1).cast("long")).alias("n"),
         *[F.min(F.when(F.col("bin") == k, F.col("s"))).alias(f"m{k}") for k in range(BINS)],
@@ -110,38 +113,29 @@ def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
 
 
 def links(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Verified links (a, b) among the members of each bucket; ``texts``: id, line."""
-    spark = members.sparkSession
-    good = spark.createDataFrame([], "a long, b long")
+    """Verified links (a, b) among the members of each bucket; ``texts``: id, line, bands."""
+    good = members.sparkSession.createDataFrame([], "a long, b long")
     left = members
-    texts = texts.select(F.col("id").alias("_id"), "line")
+    by_id = Window.partitionBy("_bucket").orderBy("hub")
     while True:
-        sizes = left.groupBy(F.col("bucket").alias("_bucket")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("id").alias("hub")
-        ).where("n > 1")
-        met = left.join(sizes, F.col("bucket") == F.col("_bucket"))
-        few = F.col("n") <= s.small
-        by_hub = met.where(~few & (F.col("id") != F.col("hub"))).select("bucket", "id", F.col("hub").alias("other"))
-        small = met.where(few).select("bucket", "id")
-        by_pair = small.join(
-            small.select(F.col("bucket").alias("_b"), F.col("id").alias("other")),
-            (F.col("bucket") == F.col("_b")) & (F.col("other") < F.col("id")),
-        ).select(F.lit(None).cast("long").alias("bucket"), "id", "other")
-        pairs = stored(by_hub.unionByName(by_pair), "line-pairs")
+        hubs = left.select(F.col("bucket").alias("_bucket"), F.col("id").alias("hub"))
+        hubs = hubs.withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= s.hubs).drop("_n")
+        pairs = left.join(hubs, (F.col("bucket") == F.col("_bucket")) & (F.col("hub") < F.col("id")))
+        pairs = stored(pairs.select("bucket", "id", "hub"), "line-pairs")
         if pairs.isEmpty():
             return good
-        both = (
-            pairs.select("id", "other").distinct()
-            .join(texts.withColumnRenamed("line", "line_a"), F.col("id") == F.col("_id")).drop("_id")
-            .join(texts.withColumnRenamed("line", "line_b"), F.col("other") == F.col("_id")).drop("_id")
-        )
-        sets = both.select("id", "other", shingles(F.col("line_a"), s).alias("x"), shingles(F.col("line_b"), s).alias("y"))
-        new = stored(sets.where(similar(F.col("x"), F.col("y"), s)).select(F.col("id").alias("a"), F.col("other").alias("b")), "line-links")
+        both = pairs.select("id", "hub").distinct()
+        for side, key in (("a", "id"), ("b", "hub")):
+            own = texts.select(F.col("id").alias("_id"), F.col("line").alias(f"line_{side}"), F.col("bands").alias(f"bands_{side}"))
+            both = both.join(own, F.col(key) == F.col("_id")).drop("_id")
+        both = both.where(F.size(F.array_intersect("bands_a", "bands_b")) >= F.least(F.lit(s.bands), F.size("bands_a"), F.size("bands_b")))
+        sets = both.select("id", "hub", shingles(F.col("line_a"), s).alias("x"), shingles(F.col("line_b"), s).alias("y"))
+        new = stored(sets.where(similar(F.col("x"), F.col("y"), s)).select(F.col("id").alias("a"), F.col("hub").alias("b")), "line-links")
         good = good.unionByName(new)
-        again = pairs.where("bucket IS NOT NULL").join(
-            new, (F.col("id") == F.col("a")) & (F.col("other") == F.col("b")), "left_anti"
-        )
-        left = stored(again.select("bucket", "id"), "line-rest")
+        # A bucket with no more than the hubs is done. Of others the lines stay that are no hub and match none.
+        met = pairs.join(new, (F.col("id") == F.col("a")) & (F.col("hub") == F.col("b")), "left")
+        rest = met.groupBy("bucket", "id").agg(F.count(F.lit(1)).alias("n"), F.count("a").alias("matched"))
+        left = stored(rest.where((F.col("n") >= s.hubs) & (F.col("matched") == 0)).select("bucket", "id"), "line-rest")
 
 
 def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -159,7 +153,8 @@ def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     )
     wanted = stored(wanted.where("fuzzy OR n > 1").drop("n"), "line-wanted")
     seen = stored(occurrences(lines, wanted, s), "line-occurrences")
-    texts = stored(seen.where("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line")), "line-texts")
+    texts = seen.where("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line"))
+    texts = stored(texts.join(found.select("id", "bands"), "id"), "line-texts")
     roots = components(links(members, texts, s)).withColumnRenamed("node", "_id")
     of = seen.drop("line").join(roots, F.col("id") == F.col("_id"), "left")
     of = of.withColumn("root", F.coalesce("root", "id")).drop("_id", "id")
