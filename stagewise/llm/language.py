@@ -124,13 +124,10 @@ def text_evidence(rows: DataFrame, model: np.ndarray, settings: Settings) -> Dat
     return rows.mapInArrow(run, T.StructType(list(rows.schema) + fields))
 
 
-def _argmax(scores: dict[str, Column]) -> Column:
-    """Name of the largest score, ties to the first."""
-    top = F.greatest(*scores.values())
-    out = F.lit(None).cast("string")
-    for name, s in reversed(list(scores.items())):
-        out = F.when(s == top, F.lit(name)).otherwise(out)
-    return out
+def _argmax(scores: Column, names: tuple[str, ...]) -> Column:
+    """Name of the largest of an array of scores, ties to the first."""
+    place = F.array_position(scores, F.array_max(scores)).cast("int")
+    return F.element_at(F.array(*[F.lit(x) for x in names]), place)
 
 
 def identified(
@@ -155,7 +152,7 @@ def identified(
         F.col(f"row.{text}").alias("text"),
     )
     scored = text_evidence(rows, model, s).drop("text")
-    scored = scored.withColumn("text_language", _argmax({x: F.col(f"t_{x}") for x in langs}))
+    scored = scored.withColumn("text_language", _argmax(F.array(*[F.col(f"t_{x}") for x in langs]), langs))
     scored = stored(scored.withColumn("text_language", F.when(F.col("n_grams") > 0, F.col("text_language"))), "language")
 
     is_lang = {x: F.coalesce(F.col("text_language") == x, F.lit(False)).cast("long") for x in langs}
@@ -172,28 +169,26 @@ def identified(
     said = (*langs, "other")
 
     def declared_evidence(x: str) -> Column:
-        total = sum(told.get((d, x), 0) for d in said)
-        out = F.lit(0.0)
-        for d in said:
-            out = F.when(F.col("declared") == d, float(np.log((told.get((d, x), 0) + 1) / (total + len(said))))).otherwise(out)
-        return out
+        total = sum(told.get((d, x), 0) for d in said) + len(said)
+        known = F.array(*[F.lit(float(np.log((told.get((d, x), 0) + 1) / total))) for d in said])
+        place = F.array_position(F.array(*[F.lit(d) for d in said]), F.col("declared")).cast("int")
+        return F.coalesce(F.get(known, place - 1), F.lit(0.0))
 
     out = scored.join(priors, scored["host"].eqNullSafe(priors["_host"]), "left").drop("_host")
     own = {x: F.coalesce(F.col("text_language") == x, F.lit(False)).cast("long") for x in langs}
-    n_suffix = sum((F.col(f"s_{x}") - own[x] for x in langs), F.lit(0))
-    n_host = sum((F.col(f"h_{x}") - own[x] for x in langs), F.lit(0))
-    post = {}
+    in_suffix = sum((F.col(f"s_{x}") - own[x] for x in langs), F.lit(0))
+    in_host = sum((F.col(f"h_{x}") - own[x] for x in langs), F.lit(0))
+    post = []
     for x in langs:  # counts without the document itself
-        at_suffix = (F.col(f"s_{x}") - own[x] + s.strength * corpus[x]) / (n_suffix + s.strength)
-        at_host = (F.col(f"h_{x}") - own[x] + s.strength * at_suffix) / (n_host + s.strength)
-        post[x] = F.col(f"t_{x}") + declared_evidence(x) + F.log(at_host * (1 - s.unknown_prior))
-    post[UNKNOWN] = F.col(f"t_{UNKNOWN}") + F.lit(float(np.log(s.unknown_prior / (len(langs) + 1))))
-    out = out.select("*", *[p.alias(f"p_{x}") for x, p in post.items()])
-    mine = {x: F.col(f"p_{x}") for x in post}
-    top = F.greatest(*mine.values())
-    confidence = 1 / sum((F.exp(p - top) for p in mine.values()), F.lit(0.0))
+        at_suffix = (F.col(f"s_{x}") - own[x] + s.strength * corpus[x]) / (F.col("_suffix") + s.strength)
+        at_host = (F.col(f"h_{x}") - own[x] + s.strength * at_suffix) / (F.col("_host") + s.strength)
+        post.append(F.col(f"t_{x}") + declared_evidence(x) + F.log(at_host * (1 - s.unknown_prior)))
+    post.append(F.col(f"t_{UNKNOWN}") + F.lit(float(np.log(s.unknown_prior / (len(langs) + 1)))))
+    out = out.withColumn("_suffix", in_suffix).withColumn("_host", in_host).withColumn("_post", F.array(*post))
+    top = F.array_max("_post")
+    confidence = 1 / F.aggregate("_post", F.lit(0.0), lambda a, p: a + F.exp(p - top))
     has = F.col("n_grams") > 0
-    out = out.withColumn("language", F.when(has, _argmax(mine)).otherwise(UNKNOWN))
+    out = out.withColumn("language", F.when(has, _argmax(F.col("_post"), (*langs, UNKNOWN))).otherwise(UNKNOWN))
     out = out.withColumn("confidence", F.when(has, F.round(confidence, 6)).otherwise(0.0))
     kept = (F.col("language") != UNKNOWN) & (F.col("confidence") >= s.min_confidence)
     return out.withColumn("kept", kept).select(

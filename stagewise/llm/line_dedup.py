@@ -3,11 +3,12 @@
 A line is the set of its overlapping 12-byte shingles. One pass over the texts
 makes the signature of every distinct line: each shingle hash falls into one
 of BINS bins and the smallest of a bin is kept, so the aggregation itself is
-the MinHash and runs before any shuffle. Two bins make a band. Lines that
-share a band are compared: every member of a bucket with its first HUBS lines
-(all pairs of a small bucket), those that match none of them again among
-themselves, until none is left. Pairs that share two bands or more meet the
-exact Jaccard similarity, which decides. Union-find joins the links to
+the MinHash and runs before any shuffle. The bins lie on a 4 x 4 grid whose
+rows, columns and diagonals, four bins each, are the bands. Lines that share a
+band are compared: every member of a bucket with its first lines (all pairs of
+a small bucket); those that match none of them are dealt to finer buckets by
+more bins and compared there, until none is left. Pairs with enough equal bins
+meet the exact Jaccard similarity, which decides. Union-find joins the links to
 components and the first occurrence of each component stays.
 """
 
@@ -23,19 +24,27 @@ from .components import components
 from .url_filter import BITS_A_KEY, WORDS, bloom_blocks, bloom_hit
 
 BINS = 16
+#: Rows, columns and (wrapped) diagonals of the grid of bins: two bands share one bin at most.
+BANDS = (
+    *[[4 * r + c for c in range(4)] for r in range(4)],
+    *[[4 * r + c for r in range(4)] for c in range(4)],
+    *[[4 * r + (r + c) % 4 for r in range(4)] for c in range(4)],
+)
 BLANK = " \t\r\x0b\x0c"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``hubs``: lines of a bucket that all others are compared with in a round. ``bands``: a pair must share
-    so many to be verified. ``filter_blocks``: a filter of up to this many 40-byte blocks is broadcast;
+    """``hubs``: lines of a bucket that all others are compared with in a round; from the fourth on twice
+    as many each time, and no finer keys. ``finer``: keys that an unmatched line gets in each earlier
+    round, each of two more bins. ``equal``: a pair must agree in so many bins to be verified. ``filter_blocks``: a filter of up to this many 40-byte blocks is broadcast;
     with more the lines are joined without it."""
 
     shingle: int = 12
     percent: int = 80
     hubs: int = 8
-    bands: int = 2
+    finer: int = 4
+    equal: int = 9
     filter_blocks: int = 1_000_000
 
 
@@ -83,19 +92,25 @@ def signatures(lines: DataFrame, s: Settings) -> DataFrame:
         F.sum((F.col("at") == 1).cast("long")).alias("n"),
         *[F.min(F.when(F.col("bin") == k, F.col("s"))).alias(f"m{k}") for k in range(BINS)],
     )
-    bands = []
-    for k in range(0, BINS, 2):
-        a, b = F.col(f"m{k}"), F.col(f"m{k + 1}")
-        key = F.xxhash64(F.lit(k), F.coalesce(a, F.lit(0)), F.coalesce(b, F.lit(0)))
-        bands.append(F.when(a.isNotNull() | b.isNotNull(), key))
-    return out.select("h1", "h2", "n", F.array_compact(F.array(*bands)).alias("bands")).withColumn(
-        "id", F.monotonically_increasing_id()
-    )
+    sig = F.array(*[F.coalesce(F.col(f"m{k}").bitwiseAND(0x7FFFFFFF).cast("int"), F.lit(0)) for k in range(BINS)])
+    return out.select("h1", "h2", "n", sig.alias("sig")).withColumn("id", F.monotonically_increasing_id())
+
+
+def _bands(sig: Column) -> Column:
+    """One key for each band that isn't empty."""
+    bins = [F.get(sig, k) for k in range(BINS)]
+    keys = []
+    for k, band in enumerate(BANDS):
+        some = bins[band[0]] != 0
+        for b in band[1:]:
+            some = some | (bins[b] != 0)
+        keys.append(F.when(some, F.xxhash64(F.lit(k), *[bins[b] for b in band])))
+    return F.array_compact(F.array(*keys))
 
 
 def bucket_members(found: DataFrame) -> DataFrame:
     """(bucket, id) of the lines that share a band with another line."""
-    met = found.select("id", F.explode("bands").alias("bucket"))
+    met = found.select("id", F.explode(_bands(F.col("sig"))).alias("bucket"))
     shared = met.groupBy(F.col("bucket").alias("_bucket")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     return met.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "id")
 
@@ -113,29 +128,44 @@ def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
 
 
 def links(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Verified links (a, b) among the members of each bucket; ``texts``: id, line, bands."""
+    """Verified links (a, b) among the members of each bucket; ``texts``: id, line, sig."""
     good = members.sparkSession.createDataFrame([], "a long, b long")
-    left = members
+    left, n_hubs, turn = members, s.hubs, 0
     by_id = Window.partitionBy("_bucket").orderBy("hub")
+    same = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
     while True:
         hubs = left.select(F.col("bucket").alias("_bucket"), F.col("id").alias("hub"))
-        hubs = hubs.withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= s.hubs).drop("_n")
+        hubs = hubs.withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= n_hubs).drop("_n")
         pairs = left.join(hubs, (F.col("bucket") == F.col("_bucket")) & (F.col("hub") < F.col("id")))
         pairs = stored(pairs.select("bucket", "id", "hub"), "line-pairs")
         if pairs.isEmpty():
             return good
         both = pairs.select("id", "hub").distinct()
+        for side, key in (("a", "id"), ("b", "hub")):  # signatures first: most pairs need no text
+            own = texts.select(F.col("id").alias("_id"), F.col("sig").alias(f"sig_{side}"))
+            both = both.join(own, F.col(key) == F.col("_id")).drop("_id")
+        both = both.where(same >= s.equal).drop("sig_a", "sig_b")
         for side, key in (("a", "id"), ("b", "hub")):
-            own = texts.select(F.col("id").alias("_id"), F.col("line").alias(f"line_{side}"), F.col("bands").alias(f"bands_{side}"))
+            own = texts.select(F.col("id").alias("_id"), F.col("line").alias(f"line_{side}"))
             both = both.join(own, F.col(key) == F.col("_id")).drop("_id")
-        both = both.where(F.size(F.array_intersect("bands_a", "bands_b")) >= F.least(F.lit(s.bands), F.size("bands_a"), F.size("bands_b")))
         sets = both.select("id", "hub", shingles(F.col("line_a"), s).alias("x"), shingles(F.col("line_b"), s).alias("y"))
         new = stored(sets.where(similar(F.col("x"), F.col("y"), s)).select(F.col("id").alias("a"), F.col("hub").alias("b")), "line-links")
         good = good.unionByName(new)
         # A bucket with no more than the hubs is done. Of others the lines stay that are no hub and match none.
         met = pairs.join(new, (F.col("id") == F.col("a")) & (F.col("hub") == F.col("b")), "left")
         rest = met.groupBy("bucket", "id").agg(F.count(F.lit(1)).alias("n"), F.count("a").alias("matched"))
-        left = stored(rest.where((F.col("n") >= s.hubs) & (F.col("matched") == 0)).select("bucket", "id"), "line-rest")
+        rest = rest.where((F.col("n") >= n_hubs) & (F.col("matched") == 0)).select("bucket", "id")
+        turn += 1
+        if turn <= 3:
+            own = texts.select(F.col("id").alias("_id"), "sig")
+            keys = [
+                F.xxhash64("bucket", F.lit(k), F.get("sig", (4 * turn + k) % BINS), F.get("sig", (5 * turn + k + 6) % BINS))
+                for k in range(s.finer)
+            ]
+            rest = rest.join(own, F.col("id") == F.col("_id")).select(F.explode(F.array(*keys)).alias("bucket"), "id")
+        else:
+            n_hubs *= 2
+        left = stored(rest, "line-rest")
 
 
 def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -154,7 +184,7 @@ def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     wanted = stored(wanted.where("fuzzy OR n > 1").drop("n"), "line-wanted")
     seen = stored(occurrences(lines, wanted, s), "line-occurrences")
     texts = seen.where("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line"))
-    texts = stored(texts.join(found.select("id", "bands"), "id"), "line-texts")
+    texts = stored(texts.join(found.select("id", "sig"), "id"), "line-texts")
     roots = components(links(members, texts, s)).withColumnRenamed("node", "_id")
     of = seen.drop("line").join(roots, F.col("id") == F.col("_id"), "left")
     of = of.withColumn("root", F.coalesce("root", "id")).drop("_id", "id")
