@@ -21,15 +21,13 @@ def catalog_duplicates(products: DataFrame) -> DataFrame:
     )
 
 
-def orphan_products(metrics: DataFrame) -> DataFrame:
+def orphan_products(metrics: DataFrame, products: DataFrame) -> DataFrame:
     """Products with activity but no catalogue row, with their active span.
 
-    A row without a catalogue match has no launch date and no expected life,
-    so ``expected_lifecycle_days`` is NULL exactly for those rows.
+    A product whose catalogue row has empty attributes is no orphan.
     """
     return (
-        metrics.filter(F.col("product_name").isNull() & F.col("expected_lifecycle_days").isNull()
-                       & F.col("launch_date").isNull())
+        metrics.join(products.select("product_id"), "product_id", "left_anti")
         .groupBy("product_id")
         .agg(
             F.min("month").alias("first_month"),

@@ -38,12 +38,20 @@ def m0(spark: SparkSession, sf_dir: str, fused: bool = True) -> DataFrame:
     return monthly.monthly_metrics(d["products"], d["orders"], d["reviews"], d["inventory"], fused=fused)
 
 
+def stored_m0(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table, written once to shared scratch: what reads it twice (current month, several marts) scans it."""
+    path = scratch_path(spark, "fact")
+    metrics = m0(spark, sf_dir)
+    metrics.write.parquet(path)
+    return spark.read.schema(metrics.schema).parquet(path)
+
+
 def _history(spark, sf_dir):
     return marts.product_stage_history(m0(spark, sf_dir))
 
 
 def _risk(spark, sf_dir):
-    return marts.product_risk_scores(m0(spark, sf_dir))
+    return marts.product_risk_scores(stored_m0(spark, sf_dir))
 
 
 # --- raw zone round trip -----------------------------------------------------
@@ -174,16 +182,16 @@ def q_incremental_refresh(spark, sf_dir):
 def q_payload(spark, sf_dir):
     from .dashboard import dashboard_payload
 
-    return dashboard_payload(marts.build_marts(m0(spark, sf_dir)))
+    return dashboard_payload(marts.build_marts(stored_m0(spark, sf_dir)))
 
 
 def q_filter_options(spark, sf_dir):
-    metrics = m0(spark, sf_dir)
+    metrics = stored_m0(spark, sf_dir)
     return insights.filter_options(marts.product_stage_history(metrics), marts.product_risk_scores(metrics))
 
 
 def q_summary_top_risk(spark, sf_dir):
-    metrics = m0(spark, sf_dir)
+    metrics = stored_m0(spark, sf_dir)
     return insights.summary_report(marts.dashboard_overview(metrics), marts.product_risk_scores(metrics))
 
 
@@ -224,13 +232,13 @@ QUERIES: dict[str, Query] = {
     "monthly_fused": q_monthly_fused,
     "monthly_metrics": lambda spark, sf_dir: m0(spark, sf_dir),
     "latest_month": lambda spark, sf_dir: monthly.latest_month(m0(spark, sf_dir)),
-    "current_month_rows": lambda spark, sf_dir: monthly.current_rows(m0(spark, sf_dir)),
+    "current_month_rows": lambda spark, sf_dir: monthly.current_rows(stored_m0(spark, sf_dir)),
     # marts
-    "mart_overview": lambda spark, sf_dir: marts.dashboard_overview(m0(spark, sf_dir)),
+    "mart_overview": lambda spark, sf_dir: marts.dashboard_overview(stored_m0(spark, sf_dir)),
     "mart_monthly_trends": lambda spark, sf_dir: marts.monthly_trends(m0(spark, sf_dir)),
     "mart_stage_sentiment": lambda spark, sf_dir: marts.stage_sentiment(m0(spark, sf_dir)),
-    "mart_category_health": lambda spark, sf_dir: marts.category_health(m0(spark, sf_dir)),
-    "mart_lifecycle_distribution": lambda spark, sf_dir: marts.lifecycle_distribution(m0(spark, sf_dir)),
+    "mart_category_health": lambda spark, sf_dir: marts.category_health(stored_m0(spark, sf_dir)),
+    "mart_lifecycle_distribution": lambda spark, sf_dir: marts.lifecycle_distribution(stored_m0(spark, sf_dir)),
     "mart_product_risk_scores": _risk,
     "mart_product_stage_history": _history,
     # dashboard datasets
@@ -242,7 +250,9 @@ QUERIES: dict[str, Query] = {
     "payload_rows_json": q_payload,
     # data quality
     "catalog_duplicates": lambda spark, sf_dir: quality.catalog_duplicates(inputs(spark, sf_dir)["products"]),
-    "orphan_products": lambda spark, sf_dir: quality.orphan_products(m0(spark, sf_dir)),
+    "orphan_products": lambda spark, sf_dir: quality.orphan_products(
+        m0(spark, sf_dir), inputs(spark, sf_dir)["products"]
+    ),
     # streaming
     "incremental_refresh": q_incremental_refresh,
 }

@@ -99,8 +99,8 @@ MART_ORDER: dict[str, list[tuple[str, bool]]] = {
     "dashboard_overview": [],
     "monthly_trends": [("month", True)],
     "stage_sentiment": [("month", True), ("lifecycle_stage", True)],
-    "category_health": [("revenue", False)],
-    "lifecycle_distribution": [("product_count", False)],
+    "category_health": [("revenue", False), ("category", True)],
+    "lifecycle_distribution": [("product_count", False), ("lifecycle_stage", True)],
     "product_risk_scores": [("risk_score", False), ("revenue", False), ("product_id", True)],
     "product_stage_history": [("month", True), ("product_id", True)],
 }

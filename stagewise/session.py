@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -66,9 +67,9 @@ def build_session(
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) when the
-    cluster names one. Only when none is set (local runs, tests) does it set
-    a fresh temporary folder.
+    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir). Where none
+    is set, a local session gets a fresh temporary folder; a cluster session
+    raises, since a machine-local folder isn't seen by the other machines.
     """
     try:
         sc = spark.sparkContext
@@ -79,6 +80,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         configured = tempfile.mkdtemp(prefix="stagewise-scratch-")
     if sc is None:
         return configured

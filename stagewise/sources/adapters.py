@@ -1,16 +1,12 @@
 """Derive the four lifecycle datasets from the TPC-H-style parquet tables.
 
 The same expressions exist as SQL for the DuckDB oracle (``stagewise_oracle/sql.py``).
-Each adapter reads only the columns it needs; its filters reach the parquet
-scan as pushed filters.
+Each adapter reads only the columns it needs.
 
 Mapping (fixed values of the test fixture):
-  * 150 products ``P00000``..``P00149`` from ``l_partkey % 150``; the
-    catalogue is ``part`` rows with ``p_partkey < 145``, so 145..149 are
-    products with activity but no catalogue row;
-  * activity is cut at 2001-07-01 so the latest month is complete;
-  * sales = line items; reviews = the first three lines of an order, dated
-    by the order; inventory snapshots = finished (``F``) line items.
+  * one product per ``part`` row; every line item belongs to its own part;
+  * sales = line items; reviews = line items dated by their order; inventory
+    snapshots = line items. No row of a table is left out.
 """
 
 from __future__ import annotations
@@ -18,11 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # --- fixed values of the fixture mapping -----------------------------------
-PRODUCT_MODULUS = 150
-CATALOG_MAX_PARTKEY = 145  # exclusive
-ACTIVITY_CUTOFF = "2001-07-01 00:00:00"
 LAUNCH_EPOCH = "1994-06-01"
-REVIEW_MAX_LINENUMBER = 3
+PRODUCT_ID_DIGITS = 12
 
 
 # Declared read schemas (only the columns the adapters use): no schema
@@ -43,18 +36,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pid(key: str) -> str:
-    return f"concat('P', lpad(cast({key} % {PRODUCT_MODULUS} as string), 5, '0'))"
-
-
-_BEFORE_CUTOFF = f"< timestamp_ntz'{ACTIVITY_CUTOFF}'"
+    return f"concat('P', lpad(cast({key} as string), {PRODUCT_ID_DIGITS}, '0'))"
 
 
 # The projections below are the FIXTURES.md expressions, as SQL text.
 
 def products(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
     part = part if part is not None else _table(spark, sf_dir, "part")
-    return part.filter(f"p_partkey < {CATALOG_MAX_PARTKEY}").selectExpr(
-        "concat('P', lpad(cast(p_partkey as string), 5, '0')) AS product_id",
+    return part.selectExpr(
+        f"{_pid('p_partkey')} AS product_id",
         "p_name AS product_name",
         "lower(p_type) AS category",
         "p_brand AS brand",
@@ -65,7 +55,7 @@ def products(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) ->
 
 def sales(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     li = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
-    return li.filter(f"l_shipdate {_BEFORE_CUTOFF}").selectExpr(
+    return li.selectExpr(
         f"{_pid('l_partkey')} AS product_id",
         "l_shipdate AS order_ts",
         "cast(l_quantity as int) AS quantity",
@@ -83,8 +73,8 @@ def reviews(
     od = orders if orders is not None else _table(spark, sf_dir, "orders")
     # orders is keyed by o_orderkey: the join cannot fan out, and no order
     # key is hot (at most a handful of lines per order).
-    lines = li.filter(f"l_linenumber <= {REVIEW_MAX_LINENUMBER}").select("l_orderkey", "l_partkey", "l_linenumber")
-    dated = od.filter(f"o_orderdate {_BEFORE_CUTOFF}").selectExpr("o_orderkey AS l_orderkey", "o_orderdate")
+    lines = li.select("l_orderkey", "l_partkey", "l_linenumber")
+    dated = od.selectExpr("o_orderkey AS l_orderkey", "o_orderdate")
     seed = "((l_orderkey * 31 + l_linenumber * 17) % 1401)"
     return lines.join(dated, "l_orderkey").selectExpr(
         f"{_pid('l_partkey')} AS product_id",
@@ -96,7 +86,7 @@ def reviews(
 
 def inventory(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     li = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
-    return li.filter(f"l_linestatus = 'F' AND l_shipdate {_BEFORE_CUTOFF}").selectExpr(
+    return li.selectExpr(
         f"{_pid('l_partkey')} AS product_id",
         "cast(l_shipdate as date) AS snapshot_date",
         "cast((l_suppkey * 97 + l_orderkey) % 500 as int) AS stock_on_hand",
@@ -111,7 +101,7 @@ def datasets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """``{"products", "orders", "reviews", "inventory"}`` from the parquet tables.
 
     Each table is resolved once; every dataset still gets its own scan with
-    its own pushed filters and pruned columns.
+    its own pruned columns.
     """
     lineitem = _table(spark, sf_dir, "lineitem")
     return {

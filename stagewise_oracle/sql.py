@@ -14,20 +14,17 @@ def rhu(expr: str, n: int) -> str:
 
 
 def pid(key: str) -> str:
-    return f"('P' || lpad(CAST({key} % 150 AS VARCHAR), 5, '0'))"
-
-
-CUTOFF = "TIMESTAMP '2001-07-01 00:00:00'"
+    return f"('P' || lpad(CAST({key} AS VARCHAR), 12, '0'))"
 
 ADAPTERS = f"""
 dim_products AS (
-  SELECT 'P' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS product_id,
+  SELECT {pid('p_partkey')} AS product_id,
          p_name AS product_name,
          lower(p_type) AS category,
          p_brand AS brand,
          CAST(CAST('1994-06-01' AS DATE) + CAST((p_partkey * 37) % 2600 AS INTEGER) AS DATE) AS launch_date,
          CAST(800 + p_size * 28 AS INTEGER) AS expected_lifecycle_days
-  FROM part WHERE p_partkey < 145
+  FROM part
 ),
 f_sales AS (
   SELECT {pid('l_partkey')} AS product_id,
@@ -37,7 +34,7 @@ f_sales AS (
               * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2)) AS unit_price,
          CAST(l_discount AS DECIMAL(4,2)) AS discount_pct,
          (l_returnflag = 'R' AND l_orderkey % 4 = 0) AS returned_flag
-  FROM lineitem WHERE l_shipdate < {CUTOFF}
+  FROM lineitem
 ),
 f_reviews AS (
   SELECT {pid('l.l_partkey')} AS product_id,
@@ -46,7 +43,6 @@ f_reviews AS (
          CAST(CAST((l.l_orderkey * 31 + l.l_linenumber * 17) % 1401 - 600 AS DECIMAL(5,0))
               * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(7,3)) AS sentiment_score
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_linenumber <= 3 AND o.o_orderdate < {CUTOFF}
 ),
 f_inventory AS (
   SELECT {pid('l_partkey')} AS product_id,
@@ -56,7 +52,7 @@ f_inventory AS (
               * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(7,2)) AS stockout_hours,
          CAST(CAST((l_orderkey * 29 + l_suppkey) % 890 + 80 AS DECIMAL(5,0))
               * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(7,3)) AS sell_through_pct
-  FROM lineitem WHERE l_linestatus = 'F' AND l_shipdate < {CUTOFF}
+  FROM lineitem
 )"""
 
 MONTHLY = f"""
@@ -393,7 +389,7 @@ def oracle_queries() -> dict[str, str]:
         "orphan_products": q(
             "SELECT product_id, min(month) AS first_month, max(month) AS last_month, count(*) AS active_months, "
             "CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM m0 "
-            "WHERE product_name IS NULL AND expected_lifecycle_days IS NULL AND launch_date IS NULL "
+            "WHERE NOT EXISTS (SELECT 1 FROM dim_products p WHERE p.product_id = m0.product_id) "
             "GROUP BY product_id"
         ),
         # ---- streaming refresh (result equals the batch fact table) ----

@@ -157,8 +157,17 @@ def test_orphan_report(data):
     from stagewise.operators import quality
 
     m = monthly.monthly_metrics(*data)
-    rows = [tuple(r) for r in quality.orphan_products(m).collect()]
+    rows = [tuple(r) for r in quality.orphan_products(m, data[0]).collect()]
     assert rows == [("B", D(2024, 3, 1), D(2024, 3, 1), 1, 5.55)]
+    # a catalogue row with empty attributes is no orphan
+    bare = data[0].limit(1).select(*[
+        F.lit("B").alias(f.name) if f.name == "product_id" else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in data[0].schema
+    ])
+    known = data[0].unionByName(bare)
+    m = monthly.monthly_metrics(known, *data[1:])
+    assert m.filter("product_id = 'B' AND product_name IS NULL").count() == 1
+    assert quality.orphan_products(m, known).count() == 0
 
 
 def test_stockout_ratio_not_clamped(spark):

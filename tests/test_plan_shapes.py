@@ -42,8 +42,6 @@ def test_partial_aggregation_before_shuffle(m0_plan):
 def test_scans_push_filters_and_prune_columns(m0_plan):
     scans = re.findall(r"Scan parquet.*?ReadSchema: (struct<[^>]*>)", m0_plan, re.S)
     assert len(scans) == 5
-    pushed = re.findall(r"PushedFilters: \[(.*)\]", m0_plan)
-    assert len(pushed) == 5 and all(p.strip() for p in pushed)
     # no scan reads all 11 lineitem columns
     assert all(s.count(":") < 11 for s in scans)
 
@@ -58,9 +56,28 @@ def test_no_python_in_registered_plans(spark, sf_small):
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
 
 
-def test_current_month_is_a_subquery_not_a_driver_value(spark, sf_small):
-    text = plan_text(QUERIES["mart_overview"](spark, sf_small))
-    assert "Subquery" in text or "subquery" in text
+@pytest.mark.parametrize("name", ["mart_overview", "current_month_rows", "alerts", "filter_options",
+                                  "summary_top_risk", "payload_rows_json"])
+def test_fact_table_is_computed_once(spark, sf_small, name):
+    # the query reads the stored fact table; no raw table is scanned again for the current month
+    text = plan_text(QUERIES[name](spark, sf_small))
+    assert "lineitem.parquet" not in text and "part.parquet" not in text
+    assert "/fact-" in text
+
+
+def test_large_catalogue_is_joined_by_sort_merge(spark, sf_small):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = QUERIES["monthly_metrics"](spark, sf_small)
+        assert df.count() == 8404
+        text = plan_text(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
 
 
 def test_top_k_is_take_ordered(spark, sf_small):

@@ -203,7 +203,7 @@ def test_payload_json(spark, sf_small):
         sections.setdefault(r.section, []).append(json.loads(r.row_json))
     assert sections["ready"] == [{"ready": True}]
     (ov,) = sections["overview"]
-    assert ov["latest_month"] == "2001-06-01" and isinstance(ov["revenue"], float)
+    assert ov["latest_month"] == "2001-11-01" and isinstance(ov["revenue"], float)
     assert len(sections["product_risk_scores"]) == 25
     assert len(sections["stage_transitions"]) == 8
     assert "product_stage_history" not in sections
