@@ -17,7 +17,7 @@ def test_cli_end_to_end(spark, sf_small, tmp_dir, capsys):
 
     assert main(["report", "--marts", out], spark=spark) == 0
     lines = capsys.readouterr().out.strip().splitlines()
-    assert lines[0] == "Latest month: 2001-11-01" and lines[4] == "Top Risk Products" and len(lines) == 17
+    assert lines[0] == "Latest month: 2001-11-01" and lines[4] == "Top Risk Products" and len(lines) == 5 + 8
 
     assert main(["export", "--marts", out, "--table", "category_health", "--dest", f"{tmp_dir}/csv"], spark=spark) == 0
     assert glob.glob(f"{tmp_dir}/csv/part-*.csv")
@@ -61,7 +61,7 @@ def test_pipeline_to_jdbc_and_dashboard_from_jdbc(spark, sf_small, tmp_dir):
     assert paths["product_risk_scores"].endswith("#product_risk_scores")
     stored = dashboard.load_marts(spark, jdbc_url=url, jdbc_properties=props)
     assert stored["product_stage_history"].count() == 8404
-    assert stored["product_risk_scores"].count() == 25
+    assert stored["product_risk_scores"].count() == 8
     assert dashboard.dashboard_sections(stored)["alerts"].count() == 10
     # append inserts again
     pipeline.run_from_tables(spark, sf_small, tmp_dir, mode="append", jdbc_url=url, jdbc_properties=props)
@@ -114,7 +114,7 @@ def test_cli_refresh_then_report(spark, sf_small, tmp_dir, capsys):
     capsys.readouterr()
     assert main(["report", "--marts", f"{tmp_dir}/out"], spark=spark) == 0
     lines = capsys.readouterr().out.strip().splitlines()
-    assert lines[0] == "Latest month: 2001-11-01" and len(lines) == 17
+    assert lines[0] == "Latest month: 2001-11-01" and len(lines) == 5 + 8
 
 
 def test_payload_positions_follow_list_order(spark, sf_small):

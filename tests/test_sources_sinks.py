@@ -156,7 +156,7 @@ def test_csv_export(spark, small_marts, tmp_dir):
         rows = list(csv.DictReader(fh))
     assert list(rows[0].keys()) == SC.MARTS["product_risk_scores"].fieldNames()
     scores = [float(r["risk_score"]) for r in rows]
-    assert len(rows) == 25 and scores == sorted(scores, reverse=True)
+    assert len(rows) == 8 and scores == sorted(scores, reverse=True)
     with pytest.raises(ValueError, match="Unsupported"):
         writers.export_csv(small_marts, "product_stage_history", f"{tmp_dir}/x")
     empty = {"monthly_trends": small_marts["monthly_trends"].filter(F.lit(False))}
@@ -204,7 +204,7 @@ def test_payload_json(spark, sf_small):
     assert sections["ready"] == [{"ready": True}]
     (ov,) = sections["overview"]
     assert ov["latest_month"] == "2001-11-01" and isinstance(ov["revenue"], float)
-    assert len(sections["product_risk_scores"]) == 25
+    assert len(sections["product_risk_scores"]) == 8
     assert len(sections["stage_transitions"]) == 8
     assert "product_stage_history" not in sections
 
