@@ -59,7 +59,7 @@ class Words(dict):
     """Word -> 64-bit hash, remembered up to a bound."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h

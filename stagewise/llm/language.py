@@ -163,6 +163,7 @@ def identified(
     all_ = sum(whole[x] or 0 for x in langs)
     corpus = {x: ((whole[x] or 0) + 1) / (all_ + len(langs)) for x in langs}
     priors = hosts.join(suffixes, F.col("suffix") == F.col("_suffix")).withColumnRenamed("host", "_host").drop("_suffix")
+    priors = stored(priors, "host-priors")  # of known size: a small one is broadcast and no text is shuffled
 
     pairs = scored.where("text_language IS NOT NULL AND declared IS NOT NULL").groupBy("declared", "text_language").count()
     told = {(r["declared"], r["text_language"]): r["count"] for r in pairs.collect()}  # (languages + 1) x languages

@@ -29,7 +29,9 @@ WINDOW = 4096
 END_ID = 2
 #: Remainders of a group: one group leaves one or a few windows with slack.
 GROUP = 20_000
-CACHE = 400_000
+CACHE = 250_000
+#: Texts whose words are looked up together.
+TEXTS = 3_000
 
 
 class WordIds:
@@ -77,8 +79,6 @@ class WordIds:
         texts = pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), "\n", " ")
         lists = pc.split_pattern(texts, " ")
         strings = lists.flatten().dictionary_encode()
-        if not len(strings):
-            return
         ids = self._ids_of(strings.dictionary.to_pylist())
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
@@ -113,7 +113,9 @@ def pieces(
         words = _loaded(vocabulary if "/" in vocabulary else vocabulary_path(vocabulary))
         for b in batches:
             at, start, length, crc, total, ids = [], [], [], [], [], []
-            for k, raw in enumerate(words.encode_all(b.column("text"))):
+            texts = b.column("text")
+            slices = (texts.slice(k, TEXTS) for k in range(0, len(texts), TEXTS))
+            for k, raw in enumerate(x for some in slices for x in words.encode_all(some)):
                 raw += tail
                 n = len(raw) // 4
                 for s in range(0, n, window):
@@ -132,6 +134,7 @@ def pieces(
                 cols.append(pa.array(ids, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
+        pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids

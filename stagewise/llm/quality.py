@@ -162,7 +162,8 @@ def judged(docs: DataFrame, host: str = "source", limits: HostLimits | None = No
     counted = with_counts(docs if carry else docs.select("doc_id", F.col(host), "text"))
     wanted = [F.col("row")] if carry else [F.col("row.doc_id").alias("doc_id")]
     counted = stored(counted.select(*wanted, F.col(f"row.{host}").alias("_host"), *COUNTS), "quality")
-    hosts = host_verdicts(counted, "_host", limits).select("host", "host_failed")
+    # Stored, so that Spark knows its size: a small one is broadcast and no text is shuffled.
+    hosts = stored(host_verdicts(counted, "_host", limits).select("host", "host_failed"), "host-verdicts")
     out = counted.join(hosts, counted["_host"].eqNullSafe(hosts["host"]), "left").drop("host")
     out = out.withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed"))
