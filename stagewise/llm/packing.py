@@ -29,7 +29,7 @@ WINDOW = 4096
 END_ID = 2
 #: Remainders of a group: one group leaves one or a few windows with slack.
 GROUP = 20_000
-CACHE = 250_000
+CACHE = 150_000
 #: Texts whose words are looked up together.
 TEXTS = 3_000
 
@@ -56,8 +56,8 @@ class WordIds:
         known, older = self._known, self._older
         new = [s for s in strings if s not in known and s not in older]
         found = {}
-        for k in range(0, len(new), 50_000):
-            some = new[k : k + 50_000]
+        for k in range(0, len(new), 10_000):
+            some = new[k : k + 10_000]
             for s, e in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 found[s] = np.asarray(e.ids, "<u4").tobytes()
         out = []
