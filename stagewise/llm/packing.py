@@ -29,9 +29,10 @@ WINDOW = 4096
 END_ID = 2
 #: Remainders of a group: one group leaves one or a few windows with slack.
 GROUP = 20_000
-CACHE = 150_000
-#: Texts whose words are looked up together.
-TEXTS = 3_000
+#: Strings that a Python worker remembers, in two halves of this size; fewer need less memory and more time.
+REMEMBERED = 400_000
+#: Texts whose strings are looked up together.
+TEXTS = 10_000
 
 
 class WordIds:
@@ -42,9 +43,10 @@ class WordIds:
     by one: once for each batch, and not at all while they are remembered.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        self._remembered = remembered
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
@@ -56,8 +58,8 @@ class WordIds:
         known, older = self._known, self._older
         new = [s for s in strings if s not in known and s not in older]
         found = {}
-        for k in range(0, len(new), 10_000):
-            some = new[k : k + 10_000]
+        for k in range(0, len(new), 20_000):
+            some = new[k : k + 20_000]
             for s, e in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 found[s] = np.asarray(e.ids, "<u4").tobytes()
         out = []
@@ -70,7 +72,7 @@ class WordIds:
                 if len(s) < 64:
                     known[s] = ids
             out.append(ids)
-        if len(known) >= CACHE:
+        if len(known) >= self._remembered:
             self._older, self._known = known, {}
         return out
 
@@ -95,12 +97,13 @@ class WordIds:
 
 
 @lru_cache(maxsize=2)
-def _loaded(path: str) -> WordIds:
-    return WordIds(path)
+def _loaded(path: str, remembered: int) -> WordIds:
+    return WordIds(path, remembered)
 
 
 def pieces(
-    docs: DataFrame, vocabulary: str = "word_bpe_49k.json", window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False
+    docs: DataFrame, vocabulary: str = "word_bpe_49k.json", window: int = WINDOW, end_id: int = END_ID,
+    with_ids: bool = False, remembered: int = REMEMBERED, texts_at_once: int = TEXTS,
 ) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens (and ids) of each piece: whole windows, then the remainder.
 
@@ -110,11 +113,11 @@ def pieces(
     tail = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _loaded(vocabulary if "/" in vocabulary else vocabulary_path(vocabulary))
+        words = _loaded(vocabulary if "/" in vocabulary else vocabulary_path(vocabulary), remembered)
         for b in batches:
             at, start, length, crc, total, ids = [], [], [], [], [], []
             texts = b.column("text")
-            slices = (texts.slice(k, TEXTS) for k in range(0, len(texts), TEXTS))
+            slices = (texts.slice(k, texts_at_once) for k in range(0, len(texts), texts_at_once))
             for k, raw in enumerate(x for some in slices for x in words.encode_all(some)):
                 raw += tail
                 n = len(raw) // 4
