@@ -62,10 +62,10 @@ def test_pipeline_to_jdbc_and_dashboard_from_jdbc(spark, sf_small, tmp_dir):
     stored = dashboard.load_marts(spark, jdbc_url=url, jdbc_properties=props)
     assert stored["product_stage_history"].count() == 8404
     assert stored["product_risk_scores"].count() == 8
-    assert dashboard.dashboard_sections(stored)["alerts"].count() == 10
+    assert dashboard.dashboard_sections(stored)["alerts"].count() == 4
     # append inserts again
     pipeline.run_from_tables(spark, sf_small, tmp_dir, mode="append", jdbc_url=url, jdbc_properties=props)
-    assert spark.read.jdbc(url, "monthly_trends", properties=props).count() == 2 * 78
+    assert spark.read.jdbc(url, "monthly_trends", properties=props).count() == 2 * 83
 
 
 def test_missing_marts_give_empty_sections(spark, tmp_dir):
