@@ -41,7 +41,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL can't express the MinHash stages and the tokenizer; tests/llm compares the stages with brute force.
+#: SQL can't express the MinHash stages and the tokenizer; tests/llm compares their operators with brute force.
 ORACLE_SQL = None
 
 
