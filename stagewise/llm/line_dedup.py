@@ -1,25 +1,30 @@
-"""Fuzzy line deduplication by MinHash (operator 5), DataFrame functions only.
+"""Fuzzy line deduplication by MinHash (operator 5).
 
 A line is the set of its overlapping 12-byte shingles. One pass over the texts
-makes the signature of every distinct line: each shingle hash falls into one
-of BINS bins and the smallest of a bin is kept, so the aggregation itself is
-the MinHash and runs before any shuffle. The bins lie on a 4 x 4 grid whose
+makes the signature of every line: each shingle hash falls into one of BINS
+bins and the smallest of a bin is kept. The bins lie on a 4 x 4 grid whose
 rows, columns and diagonals, four bins each, are the bands. Lines that share a
-band are compared: every member of a bucket with its first lines (all pairs of
-a small bucket); those that match none of them are dealt to finer buckets by
-more bins and compared there, until none is left. Pairs with enough equal bins
+band are compared: every member of a bucket with its first lines; of those
+that match none of them, a few are compared in full and many are dealt to
+finer buckets by more bins, until none is left. Pairs with enough equal bins
 meet the exact Jaccard similarity, which decides. Union-find joins the links to
 components and the first occurrence of each component stays.
+
+Shingle hashing and verification are numpy in Arrow batches (README has the
+figures of the form with generated code); all else is DataFrame functions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 from .components import components
 from .url_filter import BITS_A_KEY, WORDS, bloom_blocks, bloom_hit
 
@@ -31,40 +36,99 @@ BANDS = (
     *[[4 * r + (r + c) % 4 for r in range(4)] for c in range(4)],
 )
 BLANK = " \t\r\x0b\x0c"
+#: Odd multipliers of the polynomial over a shingle's bytes and of the final mixing.
+STEP, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+#: Bytes that are hashed together: bounds a task's memory, however long a line is.
+CHUNK = 1 << 20
 
 
 @dataclass(frozen=True)
 class Settings:
     """``hubs``: lines of a bucket that all others are compared with in a round; from the fourth on twice
-    as many each time, and no finer keys. ``finer``: keys that an unmatched line gets in each earlier
-    round, each of two more bins. ``equal``: a pair must agree in so many bins to be verified. ``filter_blocks``: a filter of up to this many 40-byte blocks is broadcast;
-    with more the lines are joined without it."""
+    as many each time, and no finer keys. ``small``: so many unmatched lines of a bucket are compared in
+    full. ``finer``: keys that an unmatched line of a larger one gets in each earlier round, each of two
+    more bins. ``equal``: a pair must agree in so many bins to be verified. ``filter_blocks``: a filter of
+    up to this many 40-byte blocks is broadcast; with more the lines are joined without it."""
 
     shingle: int = 12
     percent: int = 80
     hubs: int = 8
+    small: int = 32
     finer: int = 4
     equal: int = 9
     filter_blocks: int = 1_000_000
 
 
-def shingle_at(line: Column, at: Column, s: Settings) -> Column:
-    return F.xxhash64(F.substring(line, at, F.lit(s.shingle)))
-
-
-def _starts(line: Column, s: Settings) -> Column:
-    """Places of the shingles of a binary line; a shorter line is one shingle."""
-    return F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(line) - F.lit(s.shingle - 1)))
-
-
-def shingles(line: Column, s: Settings) -> Column:
-    return F.array_distinct(F.transform(_starts(line, s), lambda i: shingle_at(line, i, s)))
-
-
-def similar(a: Column, b: Column, s: Settings) -> Column:
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(MIX)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(MIX)
+    return h ^ (h >> np.uint64(32))
+
+
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of each ``width`` bytes in a row of ``data`` (of all its bytes, if fewer)."""
+    values = data.astype(np.uint64) + np.uint64(1)
+    width = min(width, len(data))
+    out, done, part, size, power = None, 0, values, 1, STEP
+    while True:  # powers of two of the width, smallest first; each is put before what is done
+        if width & size:
+            if out is None:
+                out = part
+            else:
+                n = len(data) - size - done + 1
+                out = part[:n] * np.uint64(pow(STEP, done, 1 << 64)) + out[size : size + n]
+            done += size
+        if done == width:
+            return _mixed(out)
+        part = part[: len(part) - size] * np.uint64(power) + part[size:]
+        size, power = 2 * size, power * power % (1 << 64)
+
+
+def line_bins(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
+    """The signature of each line (data[offsets[k]:offsets[k + 1]], not empty): smallest hash of each bin, 0 for none."""
+    n = len(offsets) - 1
+    out = np.full(n * BINS, 1 << 31, np.int64)
+
+    def add(line: np.ndarray, h: np.ndarray) -> None:
+        at = line * BINS + (h >> np.uint64(60)).astype(np.int64)
+        np.minimum.at(out, at, ((h >> np.uint64(29)) & np.uint64(0x7FFFFFFE)).astype(np.int64) + 1)
+
+    for low in range(int(offsets[0]), int(offsets[-1]), CHUNK):
+        high = min(low + CHUNK, int(offsets[-1]))
+        a, b = np.searchsorted(offsets, [low, high - 1], "right") - 1
+        own = np.minimum(offsets[a + 1 : b + 2], high) - np.maximum(offsets[a : b + 1], low)
+        line = np.repeat(np.arange(a, b + 1), own)
+        some = data[low : high + width - 1]
+        if len(some) >= width:
+            h = window_hashes(some, width)
+            line = line[: len(h)]
+            whole = offsets[line + 1] - np.arange(low, low + len(line)) >= width
+            add(line[whole], h[: len(line)][whole])
+    lengths = np.diff(offsets)
+    for size in range(1, width):
+        short = np.flatnonzero(lengths == size)
+        for k in range(0, len(short), CHUNK):
+            some = short[k : k + CHUNK]
+            values = data[offsets[some][:, None] + np.arange(size)].astype(np.uint64) + np.uint64(1)
+            powers = np.array([pow(STEP, size - 1 - j, 1 << 64) for j in range(size)], np.uint64)
+            add(some, _mixed((values * powers).sum(1, dtype=np.uint64)))
+    out[out == 1 << 31] = 0
+    return out.reshape(n, BINS)
+
+
+def shingle_set(line: bytes, width: int) -> np.ndarray:
+    """The distinct shingle hashes of a line, sorted."""
+    h = np.sort(window_hashes(np.frombuffer(line, np.uint8), width))
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether the exact Jaccard similarity of two shingle sets is at least the threshold."""
-    common = F.size(F.array_intersect(a, b))
-    return 100 * common >= s.percent * (F.size(a) + F.size(b) - common)
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = np.sort(np.concatenate([a, b]))
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * common >= percent * (len(a) + len(b) - common)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -84,15 +148,22 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def signatures(lines: DataFrame, s: Settings) -> DataFrame:
-    """h1, h2, n (occurrences), bands and an id of every distinct line."""
-    rows = lines.select("h1", "h2", "line", F.explode(_starts(F.col("line"), s)).alias("at"))
-    rows = rows.select("h1", "h2", "at", shingle_at(F.col("line"), F.col("at"), s).alias("s"))
-    rows = rows.withColumn("bin", F.shiftrightunsigned("s", 60))
-    out = rows.groupBy("h1", "h2").agg(
-        F.sum((F.col("at") == 1).cast("long")).alias("n"),
-        *[F.min(F.when(F.col("bin") == k, F.col("s"))).alias(f"m{k}") for k in range(BINS)],
-    )
-    sig = F.array(*[F.coalesce(F.col(f"m{k}").bitwiseAND(0x7FFFFFFF).cast("int"), F.lit(0)) for k in range(BINS)])
+    """h1, h2, n (occurrences), signature and an id of every distinct line."""
+    ship(lines.sparkSession)
+    width, pairs = s.shingle, range(BINS // 2)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            line = b.column("line").cast(pa.large_binary())
+            offsets = np.frombuffer(line.buffers()[1], np.int64)[line.offset : line.offset + len(line) + 1]
+            bins = line_bins(np.frombuffer(line.buffers()[2] or b"", np.uint8), offsets, width) if len(line) else np.zeros((0, BINS), np.int64)
+            two = [pa.array(bins[:, 2 * k] | bins[:, 2 * k + 1] << 32) for k in pairs]  # equal lines, equal pairs of bins
+            yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), *two], names=["h1", "h2", *[f"p{k}" for k in pairs]])
+
+    schema = "h1 long, h2 long, " + ", ".join(f"p{k} long" for k in pairs)
+    rows = lines.select("h1", "h2", "line").mapInArrow(run, schema)
+    out = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), *[F.min(f"p{k}").alias(f"p{k}") for k in pairs])
+    sig = F.array(*[x.cast("int") for k in pairs for x in (F.col(f"p{k}").bitwiseAND(0x7FFFFFFF), F.shiftright(f"p{k}", 32))])
     return out.select("h1", "h2", "n", sig.alias("sig")).withColumn("id", F.monotonically_increasing_id())
 
 
@@ -127,17 +198,38 @@ def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     return met.select("doc_id", "text_hash", "pos", "id", F.when(F.col("fuzzy"), F.col("line")).alias("line"))
 
 
+def verified(pairs: DataFrame, s: Settings) -> DataFrame:
+    """(a, b) of the pairs (id, hub, line_a, line_b) that are similar enough."""
+    width, percent = s.shingle, s.percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, known = None, None
+        for batch in batches:
+            ids, hubs, x, y = (batch.column(c) for c in ("id", "hub", "line_a", "line_b"))
+            keep = []
+            for k, h in enumerate(hubs.to_pylist()):
+                if h != hub:
+                    hub, known = h, shingle_set(y[k].as_py(), width)
+                if similar(shingle_set(x[k].as_py(), width), known, percent):
+                    keep.append(k)
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([ids.take(at), hubs.take(at)], names=["a", "b"])
+
+    return pairs.select("id", "hub", "line_a", "line_b").mapInArrow(run, "a long, b long")
+
+
 def links(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """Verified links (a, b) among the members of each bucket; ``texts``: id, line, sig."""
     good = members.sparkSession.createDataFrame([], "a long, b long")
-    left, n_hubs, turn = members, s.hubs, 0
+    left, n_hubs, turn = members.withColumn("most", F.lit(s.hubs)), s.hubs, 0
     by_id = Window.partitionBy("_bucket").orderBy("hub")
     same = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
     while True:
-        hubs = left.select(F.col("bucket").alias("_bucket"), F.col("id").alias("hub"))
-        hubs = hubs.withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= n_hubs).drop("_n")
+        hubs = left.select(F.col("bucket").alias("_bucket"), F.col("id").alias("hub"), F.col("most").alias("_most"))
+        hubs = hubs.withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= max(n_hubs, s.small))
+        hubs = hubs.where("_n <= _most").drop("_n", "_most")
         pairs = left.join(hubs, (F.col("bucket") == F.col("_bucket")) & (F.col("hub") < F.col("id")))
-        pairs = stored(pairs.select("bucket", "id", "hub"), "line-pairs")
+        pairs = stored(pairs.select("bucket", "id", "hub", "most"), "line-pairs")
         if pairs.isEmpty():
             return good
         both = pairs.select("id", "hub").distinct()
@@ -148,24 +240,28 @@ def links(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
         for side, key in (("a", "id"), ("b", "hub")):
             own = texts.select(F.col("id").alias("_id"), F.col("line").alias(f"line_{side}"))
             both = both.join(own, F.col(key) == F.col("_id")).drop("_id")
-        sets = both.select("id", "hub", shingles(F.col("line_a"), s).alias("x"), shingles(F.col("line_b"), s).alias("y"))
-        new = stored(sets.where(similar(F.col("x"), F.col("y"), s)).select(F.col("id").alias("a"), F.col("hub").alias("b")), "line-links")
+        new = stored(verified(both, s), "line-links")
         good = good.unionByName(new)
-        # A bucket with no more than the hubs is done. Of others the lines stay that are no hub and match none.
+        # A bucket with no more than the lines compared is done. Of others the lines stay that are no hub and match none.
         met = pairs.join(new, (F.col("id") == F.col("a")) & (F.col("hub") == F.col("b")), "left")
-        rest = met.groupBy("bucket", "id").agg(F.count(F.lit(1)).alias("n"), F.count("a").alias("matched"))
-        rest = rest.where((F.col("n") >= n_hubs) & (F.col("matched") == 0)).select("bucket", "id")
+        rest = met.groupBy("bucket", "id", "most").agg(F.count(F.lit(1)).alias("n"), F.count("a").alias("matched"))
+        rest = stored(rest.where("n >= most AND matched = 0").select("bucket", "id"), "line-rest")
+        if rest.isEmpty():
+            return good
         turn += 1
+        n_hubs = s.hubs if turn <= 3 else 2 * n_hubs
+        sizes = rest.groupBy(F.col("bucket").alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+        rest = rest.join(sizes, F.col("bucket") == F.col("_bucket")).drop("_bucket")
+        few = rest.where(F.col("_n") <= s.small).select("bucket", "id", F.lit(s.small).alias("most"))
+        many = rest.where(F.col("_n") > s.small).select("bucket", "id")
         if turn <= 3:
             own = texts.select(F.col("id").alias("_id"), "sig")
             keys = [
                 F.xxhash64("bucket", F.lit(k), F.get("sig", (4 * turn + k) % BINS), F.get("sig", (5 * turn + k + 6) % BINS))
                 for k in range(s.finer)
             ]
-            rest = rest.join(own, F.col("id") == F.col("_id")).select(F.explode(F.array(*keys)).alias("bucket"), "id")
-        else:
-            n_hubs *= 2
-        left = stored(rest, "line-rest")
+            many = many.join(own, F.col("id") == F.col("_id")).select(F.explode(F.array(*keys)).alias("bucket"), "id")
+        left = stored(few.unionByName(many.withColumn("most", F.lit(n_hubs))), "line-rest")
 
 
 def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
