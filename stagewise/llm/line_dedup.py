@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ BANDS = (
     *[[4 * r + c for r in range(4)] for c in range(4)],
     *[[4 * r + (r + c) % 4 for r in range(4)] for c in range(4)],
 )
+#: Bins of the finer keys of each round: so many draws of six, eight and ten bins.
+FINER = [[Random(f"{n} {k}").sample(range(BINS), n) for k in range(32)] for n in (6, 8, 10)]
 BLANK = " \t\r\x0b\x0c"
 #: Odd multipliers of the polynomial over a shingle's bytes and of the final mixing.
 STEP, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -44,17 +47,15 @@ CHUNK = 1 << 20
 
 @dataclass(frozen=True)
 class Settings:
-    """``hubs``: lines of a bucket that all others are compared with in a round; from the fourth on twice
-    as many each time, and no finer keys. ``small``: so many unmatched lines of a bucket are compared in
-    full. ``finer``: keys that an unmatched line of a larger one gets in each earlier round, each of two
-    more bins. ``equal``: a pair must agree in so many bins to be verified. ``filter_blocks``: a filter of
+    """``hubs``: lines of a bucket that all others are compared with in a round; once the finer keys are
+    used up, twice as many each time. ``small``: so many unmatched lines of a bucket are compared in
+    full. ``equal``: a pair must agree in so many bins to be verified. ``filter_blocks``: a filter of
     up to this many 40-byte blocks is broadcast; with more the lines are joined without it."""
 
     shingle: int = 12
     percent: int = 80
     hubs: int = 8
     small: int = 32
-    finer: int = 4
     equal: int = 9
     filter_blocks: int = 1_000_000
 
@@ -249,18 +250,15 @@ def links(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
         if rest.isEmpty():
             return good
         turn += 1
-        n_hubs = s.hubs if turn <= 3 else 2 * n_hubs
+        n_hubs = s.hubs if turn <= len(FINER) else 2 * n_hubs
         sizes = rest.groupBy(F.col("bucket").alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
         rest = rest.join(sizes, F.col("bucket") == F.col("_bucket")).drop("_bucket")
         few = rest.where(F.col("_n") <= s.small).select("bucket", "id", F.lit(s.small).alias("most"))
         many = rest.where(F.col("_n") > s.small).select("bucket", "id")
-        if turn <= 3:
+        if turn <= len(FINER):  # a line gets its finer keys once, however many of its buckets are too large
             own = texts.select(F.col("id").alias("_id"), "sig")
-            keys = [
-                F.xxhash64("bucket", F.lit(k), F.get("sig", (4 * turn + k) % BINS), F.get("sig", (5 * turn + k + 6) % BINS))
-                for k in range(s.finer)
-            ]
-            many = many.join(own, F.col("id") == F.col("_id")).select(F.explode(F.array(*keys)).alias("bucket"), "id")
+            keys = [F.xxhash64(F.lit(turn), F.lit(k), *[F.get("sig", b) for b in bins]) for k, bins in enumerate(FINER[turn - 1])]
+            many = many.select("id").distinct().join(own, F.col("id") == F.col("_id")).select(F.explode(F.array(*keys)).alias("bucket"), "id")
         left = stored(few.unionByName(many.withColumn("most", F.lit(n_hubs))), "line-rest")
 
 
