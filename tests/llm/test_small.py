@@ -247,6 +247,21 @@ def test_lines(docs, spark):
     assert line_dedup.line_query(docs.limit(0)).count() == 0
 
 
+def test_line_bins_do_not_depend_on_chunks(monkeypatch):
+    draw = np.random.default_rng(5)
+    lines = [draw.integers(0, 256, n).astype(np.uint8).tobytes() for n in [1, 5, 11, 12, 13, 50, 300] * 20]
+    data = np.frombuffer(b"".join(lines), np.uint8)
+    offsets = np.cumsum([0, *map(len, lines)])
+    whole = line_dedup.line_bins(data, offsets, 12)
+    alone = [line_dedup.line_bins(np.frombuffer(x, np.uint8), np.array([0, len(x)]), 12)[0] for x in lines]
+    assert (whole == np.array(alone)).all() and (line_dedup.line_bins(data, offsets[3:], 12) == whole[3:]).all()
+    for chunk in (7, 64):
+        monkeypatch.setattr(line_dedup, "CHUNK", chunk)
+        assert (line_dedup.line_bins(data, offsets, 12) == whole).all()
+    for x in lines:
+        assert len(line_dedup.shingle_set(x, 12)) == len({x[i : i + 12] for i in range(max(1, len(x) - 11))})
+
+
 def test_languages_of_small_rows(docs, spark):
     got = {r.doc_id: r for r in language.identified(docs).collect()}
     assert (got[3].language, got[3].kept, got[4].language) == ("und", False, "und")
