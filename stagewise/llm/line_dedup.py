@@ -3,14 +3,15 @@
 A line is the set of its overlapping 12-byte shingles. One pass over the texts
 makes the signature of every line: each shingle hash falls into one of BINS
 bins and the smallest of a bin is kept. The bins lie on a 4 x 4 grid whose
-rows, columns and diagonals, four bins each, are the bands. Lines that share a
-band are compared: every member of a bucket with its first lines; of those
-that match none of them, a few are compared in full and many are dealt to
-finer buckets by more bins, until none is left. Pairs with enough equal bins
-meet the exact Jaccard similarity, which decides. Union-find joins the links to
-components and the first occurrence of each component stays.
-
-Shingle hashing and verification are numpy in Arrow batches (README has the
+rows, columns and diagonals, four bins each, are the bands. All lines that
+share a band are compared: a large bucket is split into blocks and every pair
+of blocks is a unit of work, so no pair is left out and none is emitted. Pairs
+with enough equal bins meet the exact Jaccard similarity, which decides, unless
+the unit's links join them already; a unit returns a spanning forest.
+Union-find joins the links to components and the first occurrence of each
+component stays.
+
+Shingle hashing, pairs and verification are numpy in Arrow batches (README has the
 figures of the form with generated code); all else is DataFrame functions.
 """
 
@@ -18,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +36,6 @@ BANDS = (
     *[[4 * r + c for r in range(4)] for c in range(4)],
     *[[4 * r + (r + c) % 4 for r in range(4)] for c in range(4)],
 )
-#: Bins of the finer keys of each round: so many draws of six, eight and ten bins.
-FINER = [[Random(f"{n} {k}").sample(range(BINS), n) for k in range(32)] for n in (6, 8, 10)]
 BLANK = " \t\r\x0b\x0c"
 #: Odd multipliers of the polynomial over a shingle's bytes and of the final mixing.
 STEP, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -47,15 +45,18 @@ CHUNK = 1 << 20
 
 @dataclass(frozen=True)
 class Settings:
-    """``hubs``: lines of a bucket that all others are compared with in a round; once the finer keys are
-    used up, twice as many each time. ``small``: so many unmatched lines of a bucket are compared in
-    full. ``equal``: a pair must agree in so many bins to be verified. ``filter_blocks``: a filter of
+    """``hubs``: lines of a large unit whose pairs are verified first, as their links make others needless.
+    ``small``: pairs of a unit of up to so many lines are listed, of a larger one they are a matrix.
+    ``block``, ``block_bytes``: lines of a block and their bytes, about; larger buckets are split, not cut.
+    ``equal``: a pair must agree in so many bins to be verified. ``filter_blocks``: a filter of
     up to this many 40-byte blocks is broadcast; with more the lines are joined without it."""
 
     shingle: int = 12
     percent: int = 80
     hubs: int = 8
     small: int = 32
+    block: int = 1024
+    block_bytes: int = 2_000_000
     equal: int = 9
     filter_blocks: int = 1_000_000
 
@@ -149,7 +150,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def signatures(lines: DataFrame, s: Settings) -> DataFrame:
-    """h1, h2, n (occurrences), signature and an id of every distinct line."""
+    """h1, h2, n (occurrences), size in bytes, signature and an id of every distinct line."""
     ship(lines.sparkSession)
     width, pairs = s.shingle, range(BINS // 2)
 
@@ -159,17 +160,18 @@ def signatures(lines: DataFrame, s: Settings) -> DataFrame:
             offsets = np.frombuffer(line.buffers()[1], np.int64)[line.offset : line.offset + len(line) + 1]
             bins = line_bins(np.frombuffer(line.buffers()[2] or b"", np.uint8), offsets, width) if len(line) else np.zeros((0, BINS), np.int64)
             two = [pa.array(bins[:, 2 * k] | bins[:, 2 * k + 1] << 32) for k in pairs]  # equal lines, equal pairs of bins
-            yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), *two], names=["h1", "h2", *[f"p{k}" for k in pairs]])
+            size = pa.array(np.diff(offsets))
+            yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), size, *two], names=["h1", "h2", "size", *[f"p{k}" for k in pairs]])
 
-    schema = "h1 long, h2 long, " + ", ".join(f"p{k} long" for k in pairs)
+    schema = "h1 long, h2 long, size long, " + ", ".join(f"p{k} long" for k in pairs)
     rows = lines.select("h1", "h2", "line").mapInArrow(run, schema)
-    out = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), *[F.min(f"p{k}").alias(f"p{k}") for k in pairs])
+    out = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("size"), *[F.min(f"p{k}").alias(f"p{k}") for k in pairs])
     sig = F.array(*[x.cast("int") for k in pairs for x in (F.col(f"p{k}").bitwiseAND(0x7FFFFFFF), F.shiftright(f"p{k}", 32))])
-    return out.select("h1", "h2", "n", sig.alias("sig")).withColumn("id", F.monotonically_increasing_id())
+    return out.select("h1", "h2", "n", "size", sig.alias("sig")).withColumn("id", F.monotonically_increasing_id())
 
 
 def _bands(sig: Column) -> Column:
-    """One key for each band that isn't empty."""
+    """One key for each band, null for an empty one."""
     bins = [F.get(sig, k) for k in range(BINS)]
     keys = []
     for k, band in enumerate(BANDS):
@@ -177,14 +179,15 @@ def _bands(sig: Column) -> Column:
         for b in band[1:]:
             some = some | (bins[b] != 0)
         keys.append(F.when(some, F.xxhash64(F.lit(k), *[bins[b] for b in band])))
-    return F.array_compact(F.array(*keys))
+    return F.array(*keys)
 
 
-def bucket_members(found: DataFrame) -> DataFrame:
-    """(bucket, id) of the lines that share a band with another line."""
-    met = found.select("id", F.explode(_bands(F.col("sig"))).alias("bucket"))
-    shared = met.groupBy(F.col("bucket").alias("_bucket")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    return met.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "id")
+def bucket_members(found: DataFrame, s: Settings) -> DataFrame:
+    """(bucket, band, blocks, id) of the lines that share a band with another line; ``blocks`` of the bucket."""
+    met = found.select("id", "size", F.posexplode(_bands(F.col("sig"))).alias("band", "bucket")).where("bucket IS NOT NULL")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / s.block), F.ceil(F.sum("size") / s.block_bytes)).cast("int")
+    shared = met.groupBy(F.col("bucket").alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"), blocks.alias("blocks")).where("_n > 1")
+    return met.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "band", "blocks", "id")
 
 
 def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
@@ -199,67 +202,201 @@ def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     return met.select("doc_id", "text_hash", "pos", "id", F.when(F.col("fuzzy"), F.col("line")).alias("line"))
 
 
-def verified(pairs: DataFrame, s: Settings) -> DataFrame:
-    """(a, b) of the pairs (id, hub, line_a, line_b) that are similar enough."""
-    width, percent = s.shingle, s.percent
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, known = None, None
-        for batch in batches:
-            ids, hubs, x, y = (batch.column(c) for c in ("id", "hub", "line_a", "line_b"))
-            keep = []
-            for k, h in enumerate(hubs.to_pylist()):
-                if h != hub:
-                    hub, known = h, shingle_set(y[k].as_py(), width)
-                if similar(shingle_set(x[k].as_py(), width), known, percent):
-                    keep.append(k)
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([ids.take(at), hubs.take(at)], names=["a", "b"])
-
-    return pairs.select("id", "hub", "line_a", "line_b").mapInArrow(run, "a long, b long")
-
-
-def links(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Verified links (a, b) among the members of each bucket; ``texts``: id, line, sig."""
-    good = members.sparkSession.createDataFrame([], "a long, b long")
-    left, n_hubs, turn = members.withColumn("most", F.lit(s.hubs)), s.hubs, 0
-    by_id = Window.partitionBy("_bucket").orderBy("hub")
-    same = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
-    while True:
-        hubs = left.select(F.col("bucket").alias("_bucket"), F.col("id").alias("hub"), F.col("most").alias("_most"))
-        hubs = hubs.withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= max(n_hubs, s.small))
-        hubs = hubs.where("_n <= _most").drop("_n", "_most")
-        pairs = left.join(hubs, (F.col("bucket") == F.col("_bucket")) & (F.col("hub") < F.col("id")))
-        pairs = stored(pairs.select("bucket", "id", "hub", "most"), "line-pairs")
-        if pairs.isEmpty():
-            return good
-        both = pairs.select("id", "hub").distinct()
-        for side, key in (("a", "id"), ("b", "hub")):  # signatures first: most pairs need no text
-            own = texts.select(F.col("id").alias("_id"), F.col("sig").alias(f"sig_{side}"))
-            both = both.join(own, F.col(key) == F.col("_id")).drop("_id")
-        both = both.where(same >= s.equal).drop("sig_a", "sig_b")
-        for side, key in (("a", "id"), ("b", "hub")):
-            own = texts.select(F.col("id").alias("_id"), F.col("line").alias(f"line_{side}"))
-            both = both.join(own, F.col(key) == F.col("_id")).drop("_id")
-        new = stored(verified(both, s), "line-links")
-        good = good.unionByName(new)
-        # A bucket with no more than the lines compared is done. Of others the lines stay that are no hub and match none.
-        met = pairs.join(new, (F.col("id") == F.col("a")) & (F.col("hub") == F.col("b")), "left")
-        rest = met.groupBy("bucket", "id", "most").agg(F.count(F.lit(1)).alias("n"), F.count("a").alias("matched"))
-        rest = stored(rest.where("n >= most AND matched = 0").select("bucket", "id"), "line-rest")
-        if rest.isEmpty():
-            return good
-        turn += 1
-        n_hubs = s.hubs if turn <= len(FINER) else 2 * n_hubs
-        sizes = rest.groupBy(F.col("bucket").alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-        rest = rest.join(sizes, F.col("bucket") == F.col("_bucket")).drop("_bucket")
-        few = rest.where(F.col("_n") <= s.small).select("bucket", "id", F.lit(s.small).alias("most"))
-        many = rest.where(F.col("_n") > s.small).select("bucket", "id")
-        if turn <= len(FINER):  # a line gets its finer keys once, however many of its buckets are too large
-            own = texts.select(F.col("id").alias("_id"), "sig")
-            keys = [F.xxhash64(F.lit(turn), F.lit(k), *[F.get("sig", b) for b in bins]) for k, bins in enumerate(FINER[turn - 1])]
-            many = many.select("id").distinct().join(own, F.col("id") == F.col("_id")).select(F.explode(F.array(*keys)).alias("bucket"), "id")
-        left = stored(few.unionByName(many.withColumn("most", F.lit(n_hubs))), "line-rest")
+def units(members: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
+    """(bucket, i, j, right, band, id, sig): lines of every bucket, dealt to the pairs (i, j) of its blocks."""
+    mine = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
+    met = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    i, j = F.least("mine", "other"), F.greatest("mine", "other")
+    met = met.select("bucket", i.alias("i"), j.alias("j"), (F.col("mine") == j).alias("right"), "band", F.col("id").alias("_id"))
+    return met.join(found.select("id", "sig"), F.col("_id") == F.col("id")).select("bucket", "i", "j", "right", "band", "id", "sig")
+
+
+def _whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole units, which come sorted by (bucket, i, j), and where each unit starts (and the last one ends)."""
+    left: list[pa.RecordBatch] = []
+    last = None
+
+    def table() -> tuple[pa.Table, np.ndarray]:
+        out = pa.Table.from_batches(left).combine_chunks()
+        keys = [out.column(c).to_numpy() for c in ("bucket", "i", "j")]
+        new = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], 0)) + 1
+        return out, np.concatenate([[0], new, [out.num_rows]])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys = [b.column(c).to_numpy() for c in ("bucket", "i", "j")]
+        new = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], 0)) + 1
+        if left and tuple(k[0] for k in keys) != last:
+            yield table()
+            left = []
+        at = int(new[-1]) if len(new) else 0
+        if at:
+            left.append(b.slice(0, at))
+            yield table()
+            left = []
+        left.append(b.slice(at))
+        last = tuple(k[-1] for k in keys)
+    if left:
+        yield table()
+
+
+def _listed_pairs(sig: np.ndarray, starts: np.ndarray, band: np.ndarray, right: np.ndarray, cross: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (a, b) of the pairs of small units that agree in enough bins and share no band before the unit's."""
+    size = np.diff(starts)
+    end = np.repeat(np.where(size <= s.small, starts[1:], 0), size)  # none of a large unit
+    found = []
+    for step in range(1, s.small):
+        a = np.flatnonzero(np.arange(step, len(end) + step) < end)
+        if not len(a):
+            break
+        a = a[~cross[a] | (right[a] != right[a + step])]
+        for k in range(0, len(a), CHUNK // BINS):
+            x = a[k : k + CHUNK // BINS]
+            same = sig[x] == sig[x + step]
+            enough = same.sum(1) >= s.equal
+            x, same = x[enough], same[enough]
+            first = np.full(len(x), len(BANDS))
+            for t in range(len(BANDS) - 1, -1, -1):
+                first[same[:, BANDS[t]].all(1) & sig[x][:, BANDS[t]].any(1)] = t
+            x = x[first == band[x]]
+            found.append((x, x + step))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((b, a))
+    return a[order], b[order]
+
+
+def _pair_matrix(sig: np.ndarray, band: int, right: np.ndarray, cross: bool, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of a large unit: its rows on either side and whether each pair counts."""
+    x, y = (np.flatnonzero(~right), np.flatnonzero(right)) if cross else (np.arange(len(sig)),) * 2
+    same = [sig[x, k][:, None] == sig[y, k][None, :] for k in range(BINS)]
+    pairs = np.sum(same, 0, dtype=np.uint8) >= s.equal
+    if not cross:
+        pairs &= np.triu(np.ones_like(pairs), 1)
+    for t, bins in enumerate(BANDS[: band + 1]):
+        shared = same[bins[0]] & same[bins[1]] & same[bins[2]] & same[bins[3]] & sig[x][:, bins].any(1)[:, None]
+        pairs &= shared if t == band else ~shared
+    return x, y, pairs
+
+
+def _unit_columns(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Signatures, bands, sides and whether a row's unit is of two blocks."""
+    sig = table.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, BINS)
+    return sig, table.column("band").to_numpy(), table.column("right").to_numpy(), table.column("i").to_numpy() != table.column("j").to_numpy()
+
+
+def _needed(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    """Rows of a unit with a pair that counts there."""
+    for table, starts in _whole_units(batches):
+        sig, band, right, cross = _unit_columns(table)
+        used = np.zeros(len(sig), bool)
+        a, b = _listed_pairs(sig, starts, band, right, cross, s)
+        used[a] = used[b] = True
+        for k in np.flatnonzero(np.diff(starts) > s.small):
+            low, high = starts[k], starts[k + 1]
+            x, y, pairs = _pair_matrix(sig[low:high], band[low], right[low:high], cross[low], s)
+            used[low + x[pairs.any(1)]] = True
+            used[low + y[pairs.any(0)]] = True
+        if used.any():
+            yield from table.take(pa.array(np.flatnonzero(used))).combine_chunks().to_batches()
+
+
+def _similar_pairs(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray, pairs: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs are similar enough, by products of 0/1 matrices."""
+    size = np.array([len(k) for k in sets])
+    at = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    row = np.repeat(np.arange(len(sets)), size)
+    often = np.bincount(at)
+    shared = often[at] > 1
+    at, row = (np.cumsum(often > 1) - 1)[at[shared]], row[shared]
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    common = np.zeros(pairs.shape, np.int32)
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, 2048):
+        a, b = np.searchsorted(at, (start, start + 2048))
+        has = np.zeros((len(sets), 2048), np.float32)
+        has[row[a:b], at[a:b] - start] = 1
+        common += (has[x] @ has[y].T).astype(np.int32)
+    return pairs & (100 * common.astype(np.int64) >= percent * (size[x][:, None] + size[y][None, :] - common))
+
+
+def _forest(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray, pairs: np.ndarray, s: Settings) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs (rows ``x`` by ``y``) that are similar enough."""
+    root, out, pairs = np.arange(len(sets)), [], pairs.copy()
+
+    def link(a: int, others: np.ndarray) -> None:
+        others = others[root[others] != root[a]]
+        roots, at = np.unique(root[others], return_index=True)
+        out.extend((a, int(b)) for b in others[at])
+        root[np.isin(root, roots)] = root[a]
+
+    def checked(k: int) -> None:
+        a = int(x[k])
+        others = y[pairs[k] & (root[y] != root[a])]
+        link(a, others[[similar(sets[a], sets[b], s.percent) for b in others]] if len(others) else others)
+        pairs[k] = False
+
+    for _ in range(s.hubs):
+        checked(int(pairs.sum(1).argmax()))
+        pairs &= root[x][:, None] != root[y][None, :]
+    if np.count_nonzero(pairs) >= 8 * len(sets):
+        pairs = _similar_pairs(sets, x, y, pairs, s.percent)
+        for k in np.flatnonzero(pairs.any(1)):
+            link(int(x[k]), y[pairs[k]])
+    else:
+        for k in np.flatnonzero(pairs.any(1)):
+            checked(int(k))
+    return out
+
+
+def _linked(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    """(a, b) of a spanning forest of every unit's links; a row has its line."""
+    for table, starts in _whole_units(batches):
+        sig, band, right, cross = _unit_columns(table)
+        lines, ids = table.column("line"), table.column("id").to_numpy()
+        found: list[tuple[int, int]] = []
+        root: dict[int, int] = {}
+        sets: dict[int, np.ndarray] = {}
+
+        def top(k: int, root: dict[int, int] = root) -> int:
+            while k in root:
+                k = root[k]
+            return k
+
+        until, rows = 0, starts[1:]
+        for a, b in zip(*(p.tolist() for p in _listed_pairs(sig, starts, band, right, cross, s)), strict=True):
+            if a >= until:  # another unit
+                until, sets = rows[np.searchsorted(rows, a, "right")], {}
+            if (u := top(a)) == (v := top(b)):
+                continue
+            for k in (a, b):
+                if k not in sets:
+                    sets[k] = shingle_set(lines[k].as_py(), s.shingle)
+            if similar(sets[a], sets[b], s.percent):
+                root[max(u, v)] = min(u, v)
+                found.append((a, b))
+        for k in np.flatnonzero(np.diff(starts) > s.small):
+            low, high = starts[k], starts[k + 1]
+            x, y, pairs = _pair_matrix(sig[low:high], band[low], right[low:high], cross[low], s)
+            own = [shingle_set(z.as_py(), s.shingle) for z in lines.slice(low, high - low)]
+            found += [(low + a, low + b) for a, b in _forest(own, x, y, pairs, s)]
+        if found:
+            a, b = np.array(found).T
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+
+
+def links(members: DataFrame, found: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Verified links (a, b) that join the members of each bucket; ``texts``: id, line."""
+    key = ("bucket", "i", "j")
+    work = units(members, found, s)
+    schema = work.schema
+    work = work.repartition(*key).sortWithinPartitions(*key)
+    work = stored(work.mapInArrow(lambda b: _needed(b, s), schema), "line-units")
+    own = texts.select(F.col("id").alias("_id"), "line")
+    work = work.join(own, F.col("id") == F.col("_id")).drop("_id").repartition(*key).sortWithinPartitions(*key)
+    return stored(work.mapInArrow(lambda b: _linked(b, s), "a long, b long"), "line-links")
 
 
 def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -270,7 +407,7 @@ def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     s = settings or Settings()
     lines = lines_of(docs)
     found = stored(signatures(lines, s), "line-signatures")
-    members = stored(bucket_members(found), "line-buckets")
+    members = stored(bucket_members(found, s), "line-buckets")
     ids = members.select(F.col("id").alias("_id")).distinct()
     wanted = found.join(ids, F.col("id") == F.col("_id"), "left").select(
         "h1", "h2", "id", "n", F.col("_id").isNotNull().alias("fuzzy")
@@ -278,8 +415,7 @@ def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     wanted = stored(wanted.where("fuzzy OR n > 1").drop("n"), "line-wanted")
     seen = stored(occurrences(lines, wanted, s), "line-occurrences")
     texts = seen.where("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line"))
-    texts = stored(texts.join(found.select("id", "sig"), "id"), "line-texts")
-    roots = components(links(members, texts, s)).withColumnRenamed("node", "_id")
+    roots = components(links(members, found, texts, s)).withColumnRenamed("node", "_id")
     of = seen.drop("line").join(roots, F.col("id") == F.col("_id"), "left")
     of = of.withColumn("root", F.coalesce("root", "id")).drop("_id", "id")
     place = F.struct("doc_id", "text_hash", "pos")

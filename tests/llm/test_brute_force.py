@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -95,3 +96,30 @@ def test_pipeline_keeps_columns_and_packs_the_rest(spark, sf_small):
         docs = kept
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_small)
     assert pieces.select("doc_id").distinct().count() == docs.count()
+
+
+def test_no_pair_of_a_hot_line_bucket_is_left_out(spark):
+    draw = random.Random(3)
+    words = [bytes(draw.choices(range(97, 123), k=12)) for _ in range(20)]
+    lines = []
+    for _ in range(80):  # lines of a template, each with a copy near the threshold
+        line = bytearray(b"".join(words))
+        for k in draw.sample(range(20), 2):
+            line[12 * k : 12 * k + 12] = bytes(draw.choices(range(97, 123), k=12))
+        near = bytearray(line)
+        near[60] = near[150] = 35
+        lines += [bytes(line), bytes(near)]
+    draw.shuffle(lines)
+    bins = line_dedup.line_bins(np.frombuffer(b"".join(lines), np.uint8), np.arange(0, 240 * 160 + 1, 240), 12)
+    sets = [frozenset(x[k : k + 12] for k in range(229)) for x in lines]
+    met = [
+        (a, b)
+        for a, b in similar_pairs(sets)
+        if (same := bins[a] == bins[b]).sum() >= 9 and any(same[x].all() and bins[a][x].any() for x in line_dedup.BANDS)
+    ]
+    root = groups(len(lines), met)
+    want = {k for k in range(len(lines)) if root[k] != k}
+    df = spark.createDataFrame([(k, x.decode()) for k, x in enumerate(lines)], "doc_id long, text string")
+    for settings in ({"hubs": 1, "small": 2}, {"hubs": 1, "small": 8, "block": 16}):
+        rows = line_dedup.line_query(df, line_dedup.Settings(**settings)).collect()
+        assert {r.doc_id for r in rows if r.n_removed} == want, (settings, len(want))
