@@ -1,11 +1,12 @@
-"""N-gram Jaccard join with an LSH forest (operator 9).
+"""N-gram Jaccard join by fixed MinHash banding (operator 9), not by the LSH forest it is named after.
 
 A text is the set of its five-word shingles. Texts with equal sets form one
-class. Each class has a MinHash label in every tree of the forest; sorted
-labels are a prefix trie. Starting from whole labels, the matched prefix is
-shortened until the chance that a pair at the threshold meets in some tree
-reaches the target recall; pairs meeting at that depth are verified by their
-exact sets. A large trie node is split into blocks and every pair of blocks is
+class. Each class has a MinHash label in every tree, of which a prefix is the
+band key. Its length is fixed by the parameters alone: the longest at which the
+chance that a pair at the threshold meets in some tree reaches the target
+recall (six of eight parts). No label is sorted and no prefix is shortened by
+data or matches; the other label parts are computed and not used. Pairs with
+an equal key are verified by their exact sets. A large bucket is split into blocks and every pair of blocks is
 a unit of work, so no pair is left out and none is emitted: a unit returns
 link counts and a spanning forest of its links.
 """
