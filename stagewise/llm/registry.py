@@ -1,8 +1,10 @@
-"""Registered queries of the ten operators and their DuckDB SQL, where SQL can express them."""
+"""Registered queries of the operators and their DuckDB SQL, where SQL can express them."""
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, jaccard, language, line_dedup, packing, quality, sharding, url_filter
+from . import (
+    ann, audit, bpe, chat, jaccard, language, line_dedup, packing, quality, sharding, simhash, url_filter, whitening,
+)
 from .common import table
 
 
@@ -21,10 +23,14 @@ QUERIES = {
     "op8_chat_trees": _over("conversations", chat.chat_query),
     "op9_jaccard_forest": _over("documents", jaccard.jaccard_query),
     "op10_packing": _over("documents", packing.packing_query),
+    "op11_simhash_pigeonring": _over("documents", simhash.simhash_query),
+    "op12_embedding_whitening": _over("embeddings", whitening.whitening_query),
+    "op13_source_divergence": _over("documents", audit.audit_query),
 }
 
 ORACLE_SQL = {
     "op1_url_filter": url_filter.ORACLE,
     "op3_host_quality": quality.ORACLE,
     "op8_chat_trees": chat.ORACLE,
+    "op13_source_divergence": audit.ORACLE,
 }
