@@ -45,6 +45,7 @@ _FOLD = bytes(32 if b == 32 or 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b
 @dataclass(frozen=True)
 class Settings:
     """``chain``: segments in a join key (None: as many as the number of fingerprints calls for; the rows are the same).
+    ``task_keys``: keys that one task makes, about.
     ``block``: fingerprints of a bucket compared in one unit of work; larger buckets are split, not cut.
     ``small``: units of at most so many rows are compared together."""
 
@@ -53,6 +54,7 @@ class Settings:
     distance: int = 4
     segments: int = 5
     chain: int | None = None
+    task_keys: int = 1_000_000
     block: int = 1024
     small: int = 32
 
@@ -241,9 +243,11 @@ def _unit_links(table: pa.Table, starts: np.ndarray, s: Settings, length: int, m
 
 def links(fps: DataFrame, s: Settings) -> DataFrame:
     """(a, b): a spanning forest of the linked pairs of each unit; their union connects just what links connect."""
-    length = s.chain or chain_length(fps.count(), s)
+    n = fps.count()
+    length = s.chain or chain_length(n, s)
     ring = Ring.of(s)
     most = max(len(ring.patterns(k, length)) for k in range(s.segments))
+    fps = fps.repartition(max(1, -(-n * most * s.segments // s.task_keys)), "fp")  # few bytes, many keys
     order = ("key", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
