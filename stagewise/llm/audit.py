@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, stored
-from .perfect_hash import PerfectHash, build, key_hashes
+from .perfect_hash import PerfectHash, ShardedHash, build
 from .runs import whole_runs
 
 #: A term in UTF-8: letters A-Z, a-z and all characters beyond ASCII.
@@ -32,15 +32,13 @@ TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 _NO_TERM = re.compile(rb"[^A-Za-z\x80-\xff]")
 #: Shares are 1 + floor(UNIT * (count + 1) / (all counts + terms)): three digits to the base 1000.
 UNIT, BASE, DIGITS = 1_000_000_000, 1000, 3
-#: Spark's xxhash64() has this seed; it deals terms to shards.
-SHARD_SEED = 42
 
 
 @dataclass(frozen=True)
 class Settings:
     """``in_documents``: documents a kept term is in at least. ``ranks``: terms returned for a group.
     ``shard``: terms of a shard, about. ``round_bytes``: bound of what is broadcast at once.
-    ``held_terms``, ``held_tokens``, ``dense_slots``: what a task holds before it passes counts on.
+    ``held_terms``, ``held_tokens``: what a task holds before it passes counts on.
     ``block``: sources compared in one unit of work; languages with more are split, not cut.
     ``text_bytes``: a longer text is cut at the next character that is in no term."""
 
@@ -50,7 +48,6 @@ class Settings:
     round_bytes: int = 64_000_000
     held_terms: int = 300_000
     held_tokens: int = 500_000
-    dense_slots: int = 12_000_000
     block: int = 64
     text_bytes: int = 1 << 20
 
@@ -131,104 +128,101 @@ def hashed_shards(kept: DataFrame, s: Settings) -> DataFrame:
     return work.mapInArrow(run, schema)
 
 
-Hashes = dict[str, tuple[int, dict[int, PerfectHash]]]
+Hashes = dict[str, ShardedHash]
 
 
 def rounds(shards: DataFrame, s: Settings) -> Iterator[Hashes]:
-    """Per language its number of shards and some of its perfect hashes, in rounds of ``round_bytes`` at most, about."""
+    """Perfect hashes of every language that has some in the round; a round is ``round_bytes`` at most, about."""
     size = 8 * F.size("shifts") + F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a + F.length(k) + 8)
     total = shards.agg(F.sum(size)).first()[0] or 0
     n = -(-total * 5 // (s.round_bytes * 4))  # a fifth of room, as shards are dealt by hash
     for k in range(n):
-        found: Hashes = {}
+        found: dict[str, tuple[int, dict[int, PerfectHash]]] = {}
         for r in shards.where(F.pmod(F.xxhash64("lang", "shard"), F.lit(n)) == k).toLocalIterator():
             keys = pa.array(r["keys"], pa.large_binary())
             made = PerfectHash(r["seed"], np.array(r["shifts"], np.int64), keys)
             found.setdefault(r["lang"], (r["shards"], {}))[1][r["shard"]] = made
-        yield found
-
-
-def _places(words: list[bytes], hashes: tuple[int, dict[int, PerfectHash]]) -> tuple[np.ndarray, np.ndarray]:
-    """Shard and slot of each word, slot -1 for one that is not kept or not of this round."""
-    shards, made = hashes
-    shard = np.mod(key_hashes(words, SHARD_SEED).view(np.int64), shards)
-    slot, all_ = np.full(len(words), -1), pa.array(words, pa.large_binary())
-    order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-    for k in made:
-        at = order[cuts[k] : cuts[k + 1]]
-        if len(at):
-            slot[at] = made[k].slots(all_.take(pa.array(at)))
-    return shard, slot
+        yield {lang: ShardedHash.of(*x) for lang, x in found.items()}
 
 
 _COUNTS = "lang string, source string, shard int, slots array<int>, counts array<long>"
 
 
-def _count_rows(rows: list[tuple[str, str, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Dense counts of (lang, source, shard) as rows of the slots that are not zero."""
+def _count_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.string(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()))
-    for k in range(0, len(rows), 64):
-        cols: tuple[list, ...] = ([], [], [], [], [])
-        for lang, source, shard, dense in rows[k : k + 64]:
-            at = np.flatnonzero(dense)
-            for c, v in zip(cols, (lang, source, shard, at.astype(np.int32), dense[at]), strict=True):
-                c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["lang", "source", "shard", "slots", "counts"])
+    cols = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)], names=["lang", "source", "shard", "slots", "counts"]
+    )
 
 
 def recounted(rows: DataFrame, hashes: Hashes, s: Settings) -> DataFrame:
-    """Counts of every group's slots of a round's shards, as far as one task adds them up."""
+    """Counts of every group's slots of a round's shards, as far as one task adds them up: a row for each shard.
+
+    A task's rows are sorted by group, so it holds the slots of one language at a time.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(hashes)  # at most ``round_bytes``
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        held: dict[str, dict[str, Counter]] = {}
-        dense: dict[tuple[str, str, int], np.ndarray] = {}
-        tokens = slots_held = 0
+        group, slots_of = None, None
+        dense, touched = np.zeros(0, np.int64), []
+        held, tokens = Counter(), 0
+        ready: list[tuple] = []
 
         def added() -> None:
-            """The held terms into the slots of their groups."""
-            nonlocal slots_held
-            for lang, sources in held.items():
-                place: dict[bytes, int] = {}
-                ids = [np.fromiter((place.setdefault(w, len(place)) for w in c), np.int64, len(c)) for c in sources.values()]
-                shard, slot = _places(list(place), known[lang])
-                for (source, c), own in zip(sources.items(), ids, strict=True):
-                    n = np.fromiter(c.values(), np.int64, len(c))
-                    hit = slot[own] >= 0
-                    own, n = own[hit], n[hit]
-                    for k in np.unique(shard[own]).tolist():
-                        here = shard[own] == k
-                        key = (lang, source, k)
-                        if key not in dense:
-                            dense[key] = np.zeros(len(known[lang][1][k].keys), np.int64)
-                            slots_held += len(dense[key])
-                        dense[key][slot[own[here]]] += n[here]  # a word of a group is there once
+            """The held terms into the group's slots."""
+            nonlocal tokens
+            at = slots_of.places(list(held))
+            n = np.fromiter(held.values(), np.int64, len(held))
+            hit = at >= 0
+            dense[at[hit]] += n[hit]  # every term is held once
+            touched.append(at[hit])
             held.clear()
-
-        def passed_on() -> Iterator[pa.RecordBatch]:
-            nonlocal slots_held
-            yield from _count_rows([(*k, v) for k, v in dense.items()])
-            dense.clear()
-            slots_held = 0
+            tokens = 0
+
+        def passed_on() -> None:
+            at = np.unique(np.concatenate(touched))
+            n = dense[at]
+            dense[at] = 0
+            touched.clear()
+            shard = np.searchsorted(slots_of.first, at, "right") - 1  # the last of those that begin there is not empty
+            for k in np.unique(shard).tolist():
+                own = slice(*np.searchsorted(shard, (k, k + 1)))
+                ready.append((*group, k, (at[own] - slots_of.first[k]).astype(np.int32), n[own]))
 
         for b in batches:
             for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), b.column("text"), strict=True):
-                if lang not in known:
+                if group != (lang, source):
+                    if slots_of is not None:
+                        added()
+                        passed_on()
+                    if group is None or group[0] != lang:
+                        slots_of = known.get(lang)
+                        dense = np.zeros(0 if slots_of is None else len(slots_of.keys), np.int64)
+                    group = (lang, source)
+                if slots_of is None:
                     continue
                 for terms in terms_of(text.as_py(), s):
-                    held.setdefault(lang, {}).setdefault(source, Counter()).update(terms)
+                    held.update(terms)
                     tokens += len(terms)
                     if tokens > s.held_tokens:
                         added()
-                        tokens = 0
-                        if slots_held > s.dense_slots:
-                            yield from passed_on()
-        added()
-        yield from passed_on()
+                if len(ready) >= 64:
+                    yield _count_batch(ready)
+                    ready = []
+        if slots_of is not None:
+            added()
+            passed_on()
+        if ready:
+            yield _count_batch(ready)
+
+    return rows.sortWithinPartitions("lang", "source").mapInArrow(run, _COUNTS)
+
 
-    return rows.mapInArrow(run, _COUNTS)
+def _count_row(key: tuple[str, str, int], dense: np.ndarray) -> tuple:
+    at = np.flatnonzero(dense)
+    return (*key, at.astype(np.int32), dense[at])
 
 
 def merged(counts: DataFrame, by_source: bool) -> DataFrame:
@@ -244,14 +238,14 @@ def merged(counts: DataFrame, by_source: bool) -> DataFrame:
             for k, own in enumerate(zip(*(b.column(c).to_pylist() for c in ("lang", "source", "shard")), strict=True)):
                 if own != key:
                     if key is not None:
-                        yield from _count_rows([(*key, total)])
+                        yield _count_batch([_count_row(key, total)])
                     key, total = own, np.zeros(0, np.int64)
                 at = slots[k].values.to_numpy()
                 if len(at) and at[-1] >= len(total):
                     total = np.concatenate([total, np.zeros(int(at[-1]) + 1 - len(total), np.int64)])
                 total[at] += n[k].values.to_numpy()
         if key is not None:
-            yield from _count_rows([(*key, total)])
+            yield _count_batch([_count_row(key, total)])
 
     work = counts.select("lang", "source", "shard", "slots", "counts").repartition(*order[: 2 + by_source])
     return work.sortWithinPartitions(*order).mapInArrow(run, _COUNTS)

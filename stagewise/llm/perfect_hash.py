@@ -10,40 +10,35 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+#: Seed of the words' hashes, which is that of Spark's xxhash64() too; a set's own seed is mixed into them.
+HASH_SEED = 42
 #: Keys that share a displacement, on average.
 BUCKET = 4
 
 
 @dataclass(frozen=True)
 class PerfectHash:
-    """``seed`` of the key hash, ``shifts``: a displacement for each bucket, ``keys`` in the order of their slots."""
+    """``seed`` mixed into the hashes, ``shifts``: a displacement for each bucket, ``keys`` in the order of their slots."""
 
     seed: int
     shifts: np.ndarray
     keys: pa.Array
 
-    def slots(self, words: pa.Array, hashes: np.ndarray | None = None) -> np.ndarray:
-        """The slot of each word, -1 for one that is no key: the key stored at its slot is compared."""
-        n = len(self.keys)
-        if not n or not len(words):
-            return np.full(len(words), -1)
-        h = key_hashes(words.to_pylist(), self.seed) if hashes is None else hashes
-        bucket, first, second = _parts(h, n, len(self.shifts))
-        shift = self.shifts[bucket]
-        at = ((first + (shift // n).astype(np.uint64) * second + (shift % n).astype(np.uint64)) % np.uint64(n)).astype(np.int64)
-        same = pc.equal(self.keys.take(pa.array(at)), words.cast(self.keys.type))
-        return np.where(same.to_numpy(zero_copy_only=False), at, -1)
 
-
-def key_hashes(words: Sequence[bytes], seed: int) -> np.ndarray:
+def key_hashes(words: Sequence[bytes]) -> np.ndarray:
     h = xxhash.xxh64_intdigest
-    return np.fromiter((h(w, seed) for w in words), np.uint64, len(words))
+    return np.array([h(w, HASH_SEED) for w in words], np.uint64)
 
 
-def _parts(h: np.ndarray, n: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _parts(h: np.ndarray, seed: np.ndarray | int, n: np.ndarray | int, buckets: np.ndarray | int) -> tuple[np.ndarray, ...]:
     """Bucket, first place and step of each hash, from bits that overlap little."""
-    low = h & np.uint64(0xFFFFFFFF)
-    return ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64), low % np.uint64(n), (h >> np.uint64(20)) % np.uint64(n)
+    h = h + np.asarray(seed, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    h = h ^ (h >> np.uint64(31))
+    n, buckets = np.asarray(n, np.uint64), np.asarray(buckets, np.uint64)
+    parts = (h >> np.uint64(40)) % buckets, (h & np.uint64(0xFFFFFFFF)) % n, (h >> np.uint64(20)) % n
+    return tuple(p.astype(np.int64) for p in parts)
 
 
 def build(words: Sequence[bytes], attempts: int = 64) -> PerfectHash:
@@ -51,25 +46,27 @@ def build(words: Sequence[bytes], attempts: int = 64) -> PerfectHash:
 
     Buckets, the largest first, take the first displacement at which all their
     words fall on free slots; one-word buckets take the slots that are left.
+    Words with equal 64-bit hashes can't be told apart (for sets of some
+    thousand words, 1 in 10**12 sets has such) and raise an error.
     """
     n = len(words)
     if not n:
         return PerfectHash(0, np.zeros(1, np.int64), pa.array([], pa.large_binary()))
+    hashes = key_hashes(words)
     for seed in range(attempts):
-        made = _placed(key_hashes(words, seed), n)
+        made = _placed(hashes, seed, n)
         if made is not None:
             shifts, at = made
             keys = np.empty(n, object)
             keys[at] = list(words)
             return PerfectHash(seed, shifts, pa.array(keys.tolist(), pa.large_binary()))
-    raise ValueError("no perfect hash: the words are not distinct")
+    raise ValueError("no perfect hash: the words, or their hashes, are not distinct")
 
 
-def _placed(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray] | None:
+def _placed(h: np.ndarray, seed: int, n: int) -> tuple[np.ndarray, np.ndarray] | None:
     """Displacements and slots, or None if two words can't be told apart under this seed."""
     buckets = -(-n // BUCKET)
-    bucket, first, second = _parts(h, n, buckets)
-    first, second = first.astype(np.int64), second.astype(np.int64)
+    bucket, first, second = _parts(h, seed, n, buckets)
     order = np.argsort(bucket, kind="stable")
     starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
     size = np.diff(starts)
@@ -98,3 +95,48 @@ def _placed(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray] | None:
     at[own] = np.flatnonzero(~taken)
     shifts[single] = (at[own] - first[own]) % n
     return shifts, at
+
+
+@dataclass(frozen=True)
+class ShardedHash:
+    """Some of the ``shards`` perfect hashes of a set whose words are dealt to shards by hash.
+
+    By shard: ``size`` (0: not here), ``seed``, ``buckets``, and where its slots
+    (``first``) and displacements (``shift_at``) begin in ``keys`` and ``shifts``.
+    """
+
+    size: np.ndarray
+    seed: np.ndarray
+    buckets: np.ndarray
+    first: np.ndarray
+    shift_at: np.ndarray
+    shifts: np.ndarray
+    keys: pa.Array
+
+    @staticmethod
+    def of(shards: int, made: dict[int, PerfectHash]) -> ShardedHash:
+        empty = PerfectHash(0, np.zeros(0, np.int64), pa.array([], pa.large_binary()))
+        all_ = [made.get(k, empty) for k in range(shards)]
+        size, buckets = (np.array([len(x) for x in part], np.int64) for part in ([m.keys for m in all_], [m.shifts for m in all_]))
+        return ShardedHash(
+            size, np.array([m.seed for m in all_], np.int64), buckets, np.cumsum(size) - size, np.cumsum(buckets) - buckets,
+            np.concatenate([m.shifts for m in all_]), pa.concat_arrays([m.keys for m in all_]),
+        )
+
+    def places(self, words: Sequence[bytes]) -> np.ndarray:
+        """``first`` of its shard + slot of each word; -1 for one that is no key here: the key stored there is compared."""
+        h = key_hashes(words)
+        shard = np.mod(h.view(np.int64), len(self.size))
+        out = np.full(len(h), -1)
+        here = np.flatnonzero(self.size[shard] > 0)
+        if len(here):
+            shard = shard[here]
+            n = self.size[shard]
+            bucket, first, second = _parts(h[here], self.seed[shard], n, self.buckets[shard])
+            shift = self.shifts[self.shift_at[shard] + bucket]
+            at = self.first[shard] + (first + shift // n * second + shift % n) % n
+            given = pa.array(words, pa.large_binary())
+            same = pc.equal(self.keys.take(pa.array(at)), given if len(here) == len(h) else given.take(pa.array(here)))
+            same = same.to_numpy(zero_copy_only=False)
+            out[here[same]] = at[same]
+        return out

@@ -7,14 +7,13 @@ import string
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from stagewise.llm import audit, simhash, whitening
 from stagewise.llm.common import WORD
-from stagewise.llm.perfect_hash import build
+from stagewise.llm.perfect_hash import ShardedHash, build, key_hashes
 from stagewise.llm.runs import joined_rows
 from tests.llm.test_brute_force import groups, texts
 
@@ -207,7 +206,7 @@ def audit_rows():
 
 
 @pytest.mark.parametrize(
-    "settings", [{}, {"shard": 4, "block": 1, "round_bytes": 300}, {"held_terms": 5, "held_tokens": 7, "dense_slots": 20, "text_bytes": 10, "ranks": 200}]
+    "settings", [{}, {"shard": 4, "block": 1, "round_bytes": 300}, {"held_terms": 5, "held_tokens": 7, "text_bytes": 10, "ranks": 200}]
 )
 def test_audit_equals_brute_force(spark, settings):
     rows = audit_rows()
@@ -250,10 +249,19 @@ def test_shares_are_exact():
 def test_perfect_hash(n):
     words = [f"wörd{k}".encode() for k in range(n)]
     made = build(words)
-    got = made.slots(pa.array(words, pa.large_binary()))
-    assert sorted(got) == list(range(n))
-    strangers = pa.array([f"x{k}".encode() for k in range(200)], pa.large_binary())
-    assert (made.slots(strangers) == -1).all()
+    whole = ShardedHash.of(1, {0: made})
+    assert sorted(whole.places(words)) == list(range(n))
+    assert (whole.places([f"x{k}".encode() for k in range(200)]) == -1).all()
+
+
+def test_sharded_hash():
+    words = [f"wörd{k}".encode() for k in range(300)]
+    shard = np.mod(key_hashes(words).view(np.int64), 7)
+    made = {k: build([w for w, x in zip(words, shard, strict=True) if x == k]) for k in (0, 3, 6)}
+    some = ShardedHash.of(7, made)
+    at = some.places(words)
+    assert ((at >= 0) == np.isin(shard, [0, 3, 6])).all() and sorted(at[at >= 0]) == list(range(len(some.keys)))
+    assert (np.searchsorted(some.first, at[at >= 0], "right") - 1 == shard[at >= 0]).all()
 
 
 def test_perfect_hash_needs_distinct_words():
