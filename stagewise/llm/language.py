@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,8 @@ from .url_filter import url_host
 BITS = 15
 SPACE = 32
 UNKNOWN = "und"
+#: Bytes of a text worked on at a time: bounds a task's memory, however long a text is.
+CHUNK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -47,16 +50,15 @@ class Settings:
 _LETTERS = np.array([b if b >= 128 or 97 <= b <= 122 else SPACE for b in range(256)], np.uint32)
 
 
-def trigrams(text: str | None) -> np.ndarray:
-    """Buckets of the byte trigrams with two letters or more of the lower-cased text."""
+def trigrams(text: str | None) -> Iterator[np.ndarray]:
+    """Buckets of the byte trigrams with two letters or more of the lower-cased text, in pieces of CHUNK bytes."""
     raw = np.frombuffer(b" " + (text or "").lower().encode("utf-8", "replace") + b" ", np.uint8)
-    x = _LETTERS[raw]
-    if len(x) < 3:
-        return np.zeros(0, np.int64)
-    blank = (x == SPACE).astype(np.int8)
-    code = (x[:-2] << 16) | (x[1:-1] << 8) | x[2:]
-    code = code[blank[:-2] + blank[1:-1] + blank[2:] < 2]
-    return ((code * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64)
+    for k in range(0, len(raw) - 2, CHUNK):
+        x = _LETTERS[raw[k : k + CHUNK + 2]]
+        blank = (x == SPACE).astype(np.int8)
+        code = (x[:-2] << 16) | (x[1:-1] << 8) | x[2:]
+        code = code[blank[:-2] + blank[1:-1] + blank[2:] < 2]
+        yield ((code * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64)
 
 
 def _declared(value: Column, languages: tuple[str, ...]) -> Column:
@@ -83,7 +85,8 @@ def fit_text_model(docs: DataFrame, text: str, declared: str, settings: Settings
         total = np.zeros((len(langs), 1 << BITS), np.int64)
         for b in batches:
             for t, lang in zip(b.column("t"), b.column("l").to_pylist(), strict=True):
-                total[langs.index(lang)] += np.bincount(trigrams(t.as_py()), minlength=1 << BITS)
+                for grams in trigrams(t.as_py()):
+                    total[langs.index(lang)] += np.bincount(grams, minlength=1 << BITS)
         at, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(at, pa.int64()), pa.array(bucket, pa.int64()), pa.array(total[at, bucket])],
@@ -98,30 +101,28 @@ def fit_text_model(docs: DataFrame, text: str, declared: str, settings: Settings
     return np.concatenate([model, np.full((1 << BITS, 1), -BITS * np.log(2))], 1)
 
 
-def text_evidence(rows: DataFrame, model: np.ndarray, settings: Settings) -> DataFrame:
-    """``rows`` with n_grams and t_<language> for each language and "und": log likelihoods, the best one 0."""
+def text_evidence(text: Column, model: Broadcast[np.ndarray], settings: Settings) -> Column:
+    """A struct of n_grams and t_<language> for each language and "und": log likelihoods, the best one 0."""
     names = [f"t_{x}" for x in (*settings.languages, UNKNOWN)]
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(model.astype(np.float32))  # languages x buckets numbers
     weight = settings.text_weight
+    fields = [T.StructField("n_grams", T.LongType())] + [T.StructField(c, T.DoubleType()) for c in names]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for b in batches:
-            n, out = [], []
-            for t in b.column("text"):
-                g = trigrams(t.as_py())
-                score = table[g].sum(0, dtype=np.float64) * weight
-                n.append(len(g))
-                out.append(np.round(score - score.max(), 6))
-            got = np.array(out).reshape(-1, len(names))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(n, pa.int64()), *(pa.array(got[:, k]) for k in range(len(names)))],
-                names=[*b.schema.names, "n_grams", *names],
-            )
+    @F.arrow_udf(T.StructType(fields))
+    def run(texts: pa.Array) -> pa.Array:
+        table = model.value
+        n, out = [], []
+        for t in texts:
+            grams, score = 0, np.zeros(len(names))
+            for g in trigrams(t.as_py()):
+                grams += len(g)
+                score += table[g].sum(0, dtype=np.float64) * weight
+            n.append(grams)
+            out.append(np.round(score - score.max(), 6))
+        got = np.array(out).reshape(-1, len(names))
+        columns = [pa.array(n, pa.int64()), *(pa.array(got[:, k]) for k in range(len(names)))]
+        return pa.StructArray.from_arrays(columns, names=["n_grams", *names])
 
-    fields = [T.StructField("n_grams", T.LongType())] + [T.StructField(c, T.DoubleType()) for c in names]
-    return rows.mapInArrow(run, T.StructType(list(rows.schema) + fields))
+    return run(text)
 
 
 def _argmax(scores: Column, names: tuple[str, ...]) -> Column:
@@ -144,14 +145,14 @@ def identified(
     langs = s.languages
     ship(docs.sparkSession)
     model = fit_text_model(docs, text, declared, s)
-    rows = packed(docs).select(
+    shared = docs.sparkSession.sparkContext.broadcast(model.astype(np.float32))  # languages x buckets numbers
+    scored = packed(docs).select(
         *([F.col("row")] if carry else []),
         F.col("row.doc_id").alias("doc_id"),
         _declared(F.col(f"row.{declared}"), langs).alias("declared"),
         F.lower(F.col(f"row.{host}")).alias("host"),
-        F.col(f"row.{text}").alias("text"),
-    )
-    scored = text_evidence(rows, model, s).drop("text")
+        text_evidence(F.col(f"row.{text}"), shared, s).alias("_scores"),
+    ).select("*", "_scores.*").drop("_scores")  # Python gets the text alone, Spark keeps the row
     scored = scored.withColumn("text_language", _argmax(F.array(*[F.col(f"t_{x}") for x in langs]), langs))
     scored = stored(scored.withColumn("text_language", F.when(F.col("n_grams") > 0, F.col("text_language"))), "language")
 

@@ -9,7 +9,6 @@ fails when a shrunk rate is over its limit, and its verdict is joined back.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -78,23 +77,21 @@ def repeat_words(words: list[str]) -> int:
     return int(covered.sum())
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows = b.column(0)
-        texts = rows.field("text") if isinstance(rows, pa.StructArray) else rows
-        counts = [text_counts(x.as_py()) for x in texts]
-        cols = list(zip(*counts, strict=True)) or [()] * len(COUNTS)
-        yield pa.RecordBatch.from_arrays(
-            [*b.columns, *(pa.array(c, pa.int64()) for c in cols)], names=[*b.schema.names, *COUNTS]
-        )
+_COUNTED = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
+
+
+@F.arrow_udf(_COUNTED)
+def _counts(texts: pa.Array) -> pa.Array:
+    found = [text_counts(x.as_py()) for x in texts]
+    cols = list(zip(*found, strict=True)) or [()] * len(COUNTS)
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], names=list(COUNTS))
 
 
 def with_counts(docs: DataFrame) -> DataFrame:
-    """``row`` (the input's columns) and COUNTS of ``row.text``."""
+    """``row`` (the input's columns) and COUNTS of ``row.text``; Python gets the text alone, Spark keeps the row."""
     ship(docs.sparkSession)
     rows = packed(docs)
-    schema = T.StructType(list(rows.schema) + [T.StructField(c, T.LongType()) for c in COUNTS])
-    return rows.mapInArrow(_count_batches, schema)
+    return rows.select("row", _counts("row.text").alias("_counts")).select("row", "_counts.*")
 
 
 def base_failed() -> Column:
