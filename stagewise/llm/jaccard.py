@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, ship, stored
+from .common import WORD, packed, ship, stored
 from .components import components
 
 
@@ -358,11 +358,11 @@ def keep_one(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     stays = stays.select(F.col("class_id").alias("_class"), F.col("first.text_hash").alias("_first"), F.col("first.n").alias("n"))
     gone = several.join(stays, F.col("class_id") == F.col("_class")).where(~mine | (F.col("text_hash") != F.col("_first")))
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
-    left = docs.join(gone, same, "left_anti")
+    same = F.col("row.doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("row.text") == F.col("_hash"))
+    left = packed(docs).join(gone, same, "left_anti")
     repeated = stays.where("n > 1").select(F.col("_class").alias("_doc"), F.col("_first").alias("_hash"))
     repeated = stored(repeated, "repeated-rows")
     if repeated.isEmpty():
-        return left
-    once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, same, "left_anti").unionByName(once)
+        return left.select("row.*")
+    once = left.join(repeated, same, "left_semi").select("row.*").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, same, "left_anti").select("row.*").unionByName(once)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import packed, ship, stored
 from .components import components
 from .url_filter import BITS_A_KEY, WORDS, bloom_blocks, bloom_hit
 
@@ -145,7 +145,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
         "doc_id", "text_hash", "pos",
         F.col("line").cast("binary").alias("line"),
         F.xxhash64("line").alias("h1"),
-        F.xxhash64("line", F.lit(1)).alias("h2"),
+        F.xxhash64(F.lit(1), "line").alias("h2"),
     )
 
 
@@ -425,11 +425,11 @@ def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
 
 
 def _with_removals(docs: DataFrame, s: Settings | None) -> DataFrame:
-    """``docs`` with ``_removed`` (empty if nothing goes)."""
+    """``docs`` as ``row`` with ``_removed`` (empty if nothing goes)."""
     gone = stored(removals(docs.select("doc_id", "text"), s), "line-removals")
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
-    out = docs.join(gone, same, "left").drop("_doc", "_hash")
+    same = F.col("row.doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("row.text") == F.col("_hash"))
+    out = packed(docs).join(gone, same, "left").drop("_doc", "_hash")
     return out.withColumn("_removed", F.coalesce("_removed", F.expr("cast(array() as array<int>)")))
 
 
@@ -441,8 +441,8 @@ def line_query(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """
     out = _with_removals(docs.select("doc_id", "text"), settings)
     return out.select(
-        "doc_id",
-        F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
+        "row.doc_id",
+        F.coalesce(F.size(F.split("row.text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.size("_removed").cast("long").alias("n_removed"),
         F.col("_removed").alias("removed"),
     )
@@ -450,11 +450,11 @@ def line_query(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """The documents without the lines that go, in the input's columns (n_chars anew); one that loses every word goes."""
-    lines = F.split("text", "\n")
+    lines = F.split("row.text", "\n")
     places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
     less = F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
     touched = F.size("_removed") > 0
-    out = _with_removals(docs, settings).withColumn("_text", F.when(touched, less).otherwise(F.col("text")))
+    out = _with_removals(docs, settings).withColumn("_text", F.when(touched, less).otherwise(F.col("row.text")))
     out = out.where(~touched | (F.trim(F.col("_text"), F.lit(BLANK + "\n")) != ""))
-    new = {"text": F.col("_text"), "n_chars": F.when(touched, F.length("_text").cast("long")).otherwise(F.col("n_chars"))}
-    return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    new = {"text": F.col("_text"), "n_chars": F.when(touched, F.length("_text").cast("long")).otherwise(F.col("row.n_chars"))}
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])

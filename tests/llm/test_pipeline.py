@@ -1,0 +1,130 @@
+"""The stages of ``corpus_pipeline`` in plain Python on planted documents, and on odd inputs."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stagewise.llm import line_dedup
+from stagewise.llm.common import WORD
+from tests.llm.test_brute_force import groups, similar_pairs
+
+NAMES = ("_doc", "_hash", "_removed", "row", "_text", "root", "_host", "host", "kept", "_counts", "n_words", "language", "id")
+WORDS = {
+    "en": "the of and to in is that it was for on with as his they at be this from have or by one had not but what all were when".split(),
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach".split(),
+}
+
+
+def planted():
+    """(doc_id, text, lang, source): clean ones, copies, near copies, repeated lines, short and repetitive ones."""
+    draw = random.Random(11)
+
+    def prose(lang, n):
+        words = [draw.choice(WORDS[lang]) + draw.choice(["", "", draw.choice("abcdefgh") + draw.choice("aeiou")]) for _ in range(n)]
+        return "\n".join(" ".join(words[k : k + 15]) for k in range(0, n, 15))
+
+    rows = []
+    for i in range(60):
+        lang = draw.choice(["en", "de"])
+        rows.append((i, prose(lang, draw.randint(80, 200)), lang, f"s{i % 4}"))
+    for i in range(60, 70):  # equal texts: every line of a later one goes
+        rows.append((i, rows[i - 60][1], rows[i - 60][2], "copy"))
+    notice = "all rights of this notice are kept by the owner of the notice and by none but the owner"
+    for i in range(70, 75):  # a line that several documents share
+        rows.append((i, prose("en", 90) + "\n" + notice, "en", "s1"))
+    rows += [(75, "too short", "en", "s1"), (76, "again and again " * 40, "en", "s2"), (77, "", "en", "s2"), (78, None, None, None)]
+    for i in range(79, 84):  # one word of a document changed in every line: lines differ, shingles of five words mostly too
+        rows.append((i, "\n".join(x + " tail" for x in rows[i - 79][1].split("\n")), rows[i - 79][2], "near"))
+    return rows
+
+
+def plain_quality(rows):
+    out = []
+    for r in rows:
+        words = WORD.findall(r[1] or "")
+        tri = list(zip(words, words[1:], words[2:], strict=False))
+        twice = {k + j for k, x in enumerate(tri) if tri.count(x) > 1 for j in range(3)}
+        if len(words) >= 50 and 100 * len(twice) <= 50 * len(words):
+            out.append(r)
+    return out
+
+
+def plain_lines(rows):
+    seen = {}
+    for r in sorted(rows):
+        for k, line in enumerate(r[1].split("\n")):
+            if line.strip(line_dedup.BLANK):
+                seen.setdefault(line.strip(line_dedup.BLANK).encode(), []).append((r[0], k))
+    lines = sorted(seen, key=lambda x: min(seen[x]))
+    root = groups(len(lines), similar_pairs([frozenset(x[k : k + 12] for k in range(max(1, len(x) - 11))) for x in lines]))
+    members = {}
+    for k, r in enumerate(root):
+        members.setdefault(r, []).extend(seen[lines[k]])
+    gone = {o for m in members.values() for o in sorted(m)[1:]}
+    out = []
+    for r in rows:
+        text = r[1].split("\n")
+        left = [x for k, x in enumerate(text) if (r[0], k) not in gone]
+        if len(left) == len(text) or "".join(left).strip(line_dedup.BLANK):
+            out.append((r[0], "\n".join(left), *r[2:]))
+    return out
+
+
+def plain_jaccard(rows):
+    rows = sorted(rows)
+    words = [WORD.findall(r[1]) for r in rows]
+    sets = [frozenset(zip(*[w[k:] for k in range(5)], strict=False)) if len(w) >= 5 else frozenset([tuple(w)]) for w in words]
+    return [r for k, r in enumerate(rows) if groups(len(rows), similar_pairs(sets))[k] == k]
+
+
+def frame(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    df = df.withColumn("n_chars", F.length("text").cast("long"))
+    for name in NAMES:
+        df = df.withColumn(name, F.lit(f"own {name}"))
+    return df
+
+
+def test_stages_equal_plain_python(spark):
+    import corpus_pipeline
+
+    rows = planted()
+    docs = frame(spark, rows)
+    columns = docs.columns
+    plain = {"quality_rules": plain_quality, "language_id": list, "line_dedup": plain_lines, "near_duplicates": plain_jaccard}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stored(stage(spark, docs, ""), name)
+        before, rows = len(rows), plain[name](rows)
+        assert docs.columns == columns
+        got = sorted((r.doc_id, r.text, r.lang, r.source) for r in docs.collect())
+        assert got == sorted(rows), name
+        assert {"quality_rules": len(rows) == before - 4, "line_dedup": len(rows) <= before - 10}.get(name, True)
+    first = docs.first()
+    assert all(first[n] == f"own {n}" for n in NAMES)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    assert {r.doc_id for r in packed} == {r[0] for r in rows}
+
+
+@pytest.mark.parametrize("odd", ["empty", "nulls", "repeated"])
+def test_stages_on_odd_tables(spark, odd):
+    import corpus_pipeline
+
+    text = planted()[0][1]
+    rows = {"empty": [], "nulls": [(None, None, None, None), (None, text, "en", None)], "repeated": [(1, text, "en", "s")] * 3}[odd]
+    docs = first = frame(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stored(stage(spark, docs, ""), name)
+        assert docs.columns == first.columns
+    assert docs.count() == {"empty": 0, "nulls": 1, "repeated": 1}[odd]
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, "")
+    assert pieces.select("doc_id").distinct().count() == {"empty": 0, "nulls": 1, "repeated": 1}[odd]
+
+
+def test_the_hashes_of_a_line_are_independent(spark):
+    df = spark.createDataFrame([(1, "one line\nanother line")], "doc_id long, text string")
+    rows = line_dedup.lines_of(df).withColumn("of", F.xxhash64("line")).collect()
+    seeded = spark.range(1).select(*[F.xxhash64(F.lit(bytes(r.line)), F.lit(1)).alias(f"c{k}") for k, r in enumerate(rows)]).first()
+    assert all(r.h2 != seeded[k] and r.h2 != r.h1 == r.of for k, r in enumerate(rows))
