@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +42,24 @@ def ship(spark: SparkSession) -> None:
     sc._stagewise_shipped = True
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def released(run: Run) -> Run:
+    """``run`` for ``mapInArrow``, after which a worker gives its free memory back: it lives on beside other tasks."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            return
+
+    return whole
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the shared scratch folder and read back.
 

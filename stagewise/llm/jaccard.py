@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, packed, ship, stored
+from .common import WORD, packed, released, ship, stored
 from .components import components
 
 
@@ -136,7 +136,7 @@ def sketches(docs: DataFrame, s: Settings) -> DataFrame:
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, digest binary, keys array<long>")
+    return rows.mapInArrow(released(run), f"doc_id {kind}, text_hash long, digest binary, keys array<long>")
 
 
 def units(classes: DataFrame, s: Settings) -> DataFrame:
@@ -305,7 +305,7 @@ def joined(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     )
     classes = stored(classes, "classes")
     work = units(classes, s).repartition("unit").sortWithinPartitions("unit", "node", "i", "j")
-    work = stored(work.mapInArrow(_needed, _UNIT), "units")
+    work = stored(work.mapInArrow(released(_needed), _UNIT), "units")
     reps = classes.select(F.col("cid").alias("_cid"), "rep.doc_id", "rep.text_hash")
     wanted = work.select("cid").distinct().join(reps, F.col("cid") == F.col("_cid")).drop("_cid")
     source = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
@@ -314,7 +314,7 @@ def joined(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     ).select(F.col("cid").alias("_cid"), "text")
     checked = work.join(texts, F.col("cid") == F.col("_cid")).drop("_cid")
     checked = checked.repartition("unit").sortWithinPartitions("unit", "node", "i", "j")
-    links = stored(checked.mapInArrow(lambda b: _linked(b, s), "cid long, links long, root long"), "links")
+    links = stored(checked.mapInArrow(released(lambda b: _linked(b, s)), "cid long, links long, root long"), "links")
     degrees = links.groupBy(F.col("cid").alias("_cid")).agg(F.sum("links").alias("n_links"))
     roots = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     full = classes.select("digest", "cid", "text_class", "n_copies")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, ship, stored
+from .common import packed, released, ship, stored
 from .components import components
 from .url_filter import BITS_A_KEY, WORDS, bloom_blocks, bloom_hit
 
@@ -164,7 +164,7 @@ def signatures(lines: DataFrame, s: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), size, *two], names=["h1", "h2", "size", *[f"p{k}" for k in pairs]])
 
     schema = "h1 long, h2 long, size long, " + ", ".join(f"p{k} long" for k in pairs)
-    rows = lines.select("h1", "h2", "line").mapInArrow(run, schema)
+    rows = lines.select("h1", "h2", "line").mapInArrow(released(run), schema)
     out = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("size"), *[F.min(f"p{k}").alias(f"p{k}") for k in pairs])
     sig = F.array(*[x.cast("int") for k in pairs for x in (F.col(f"p{k}").bitwiseAND(0x7FFFFFFF), F.shiftright(f"p{k}", 32))])
     return out.select("h1", "h2", "n", "size", sig.alias("sig")).withColumn("id", F.monotonically_increasing_id())
@@ -393,10 +393,10 @@ def links(members: DataFrame, found: DataFrame, texts: DataFrame, s: Settings) -
     work = units(members, found, s)
     schema = work.schema
     work = work.repartition(*key).sortWithinPartitions(*key)
-    work = stored(work.mapInArrow(lambda b: _needed(b, s), schema), "line-units")
+    work = stored(work.mapInArrow(released(lambda b: _needed(b, s)), schema), "line-units")
     own = texts.select(F.col("id").alias("_id"), "line")
     work = work.join(own, F.col("id") == F.col("_id")).drop("_id").repartition(*key).sortWithinPartitions(*key)
-    return stored(work.mapInArrow(lambda b: _linked(b, s), "a long, b long"), "line-links")
+    return stored(work.mapInArrow(released(lambda b: _linked(b, s)), "a long, b long"), "line-links")
 
 
 def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:

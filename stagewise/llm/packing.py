@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import vocabulary_path
-from .common import ship, stored
+from .common import released, ship, stored
 
 WINDOW = 4096
 END_ID = 2
@@ -53,6 +53,9 @@ class WordIds:
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self._known, self._older = {}, {}
+
     def _ids_of(self, strings: list[str]) -> list[bytes]:
         """The ids of each of these distinct strings."""
         known, older = self._known, self._older
@@ -104,10 +107,12 @@ def _loaded(path: str, remembered: int) -> WordIds:
 def pieces(
     docs: DataFrame, vocabulary: str = "word_bpe_49k.json", window: int = WINDOW, end_id: int = END_ID,
     with_ids: bool = False, remembered: int = REMEMBERED, texts_at_once: int = TEXTS,
+    forget: bool = False,
 ) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens (and ids) of each piece: whole windows, then the remainder.
 
     Every document ends with ``end_id``, so a null or empty text is one piece of length 1.
+    ``forget``: a worker remembers strings within one task only and then gives the memory back.
     """
     ship(docs.sparkSession)
     tail = np.asarray([end_id], "<u4").tobytes()
@@ -137,11 +142,13 @@ def pieces(
                 cols.append(pa.array(ids, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
+        if forget:
+            words.forget()
         pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(released(run) if forget else run, schema)
 
 
 def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
