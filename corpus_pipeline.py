@@ -29,8 +29,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Its Python workers live on in later runs beside full heaps: they remember fewer words.
-    return packing.packed_pieces(packing.pieces(docs, remembered=100_000, texts_at_once=3_000))
+    # Its Python workers live on in later runs beside full heaps: they remember fewer words, and none after a task.
+    return packing.packed_pieces(packing.pieces(docs, remembered=100_000, texts_at_once=3_000, forget=True))
 
 
 STAGES = [
