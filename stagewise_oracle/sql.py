@@ -197,7 +197,7 @@ def q(select: str) -> str:
 
 
 def _fixed(expr: str, n: int) -> str:
-    return f"printf('%.{n}f', {rhu(f'CAST({expr} AS DOUBLE)', n)})"
+    return f"printf('%.{n}f', CAST({expr} AS DOUBLE))"
 
 
 def _percent(expr: str, n: int = 1) -> str:

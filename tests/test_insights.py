@@ -109,8 +109,6 @@ def test_alerts_match_brute_force(tables):
             want.append(("Sentiment decline", name, "low",
                          f"Sentiment Δ {r.sentiment_delta:.3f} · {cat} · {r.month.isoformat()}"))
     got = [tuple(r) for r in insights.alerts(risk).collect()]
-    # Values are pre-rounded HALF_UP; text could differ from Python's
-    # binary-exact formatting only on exact decimal ties (none here).
     assert got == want
 
 
@@ -145,11 +143,21 @@ def test_summary_report(tables):
     assert lines[1] == (2, f"Active products: {ov.active_products}")
     assert lines[2] == (3, f"Revenue: {ov.revenue:,.0f}")
     assert lines[4] == (5, "Top Risk Products")
-    assert len(lines) == 5 + 12 and [n for n, _ in lines] == list(range(1, 18))
+    n = min(12, risk.count())
+    assert len(lines) == 5 + n and [k for k, _ in lines] == list(range(1, 6 + n))
     top = sorted(risk.collect(), key=lambda r: (-r.risk_score, -r.revenue, r.product_id))[0]
     assert lines[5][1].startswith(f"{top.product_name or 'Unknown'} | Risk {top.risk_score:.1f} | Returns ")
 
 
+def test_summary_report_lists_twelve_of_more(spark, tables):
+    metrics, _, _ = tables
+    rows = [_risk_row(f"P{k}", f"Name{k}", "c", float(k) + 0.35) for k in range(20)]
+    risk = spark.createDataFrame(rows, SC.MARTS["product_risk_scores"])
+    lines = [tuple(r) for r in insights.summary_report(marts.dashboard_overview(metrics), risk).orderBy("line_no").collect()]
+    assert len(lines) == 5 + 12
+    assert [x.split(" | ")[:2] for _, x in lines[5:]] == [[f"Name{k}", f"Risk {k + 0.35:.1f}"] for k in range(19, 7, -1)]
+
+
 def test_overview_on_empty_table(spark, tables):
     metrics, _, _ = tables
     (r,) = marts.dashboard_overview(metrics.filter(F.lit(False))).collect()
