@@ -9,7 +9,6 @@ Mart writes are independent jobs and are submitted concurrently.
 
 from __future__ import annotations
 
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,37 +16,32 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.marts import MART_BUILDERS
 from ..operators.monthly import monthly_metrics
 from ..schemas import MONTHLY_METRICS
-from ..sinks.writers import can_swap, swap_in, write_mart, write_mart_jdbc
+from ..sinks import versions
+from ..sinks.writers import write_mart, write_mart_jdbc
 from ..sources import adapters, jsonl
 
 FACT_TABLE = "monthly_metrics"
 
 
-def write_fact_table(
-    metrics: DataFrame, out_root: str, partition_by_month: bool = False, atomic: bool = True
-) -> str:
-    """Write the fact table; with ``atomic`` it is staged and swapped in (see
-    :func:`stagewise.sinks.writers.write_mart`)."""
-    root = out_root.rstrip("/")
-    path = f"{root}/{FACT_TABLE}"
-    version = uuid.uuid4().hex
-    atomic = atomic and can_swap(metrics.sparkSession)
-    target = f"{root}/_staging/{FACT_TABLE}-{version}" if atomic else path
-    writer = metrics.write.mode("overwrite")
+def write_fact_table(metrics: DataFrame, out_root: str, partition_by_month: bool = False) -> str:
+    """Write the fact table as a new version (see :mod:`stagewise.sinks.versions`)."""
+    path = f"{out_root.rstrip('/')}/{FACT_TABLE}"
+    by = None
     if partition_by_month:
         # Range partitioning on (month, product): each task holds a contiguous
         # slice, so it writes one or two month folders (few files), and a month
         # holding a third of the rows is split over several tasks.
-        metrics = metrics.repartitionByRange("month", "product_id")
-        writer = metrics.write.mode("overwrite").partitionBy("month")
-    writer.parquet(target)
-    if atomic:
-        swap_in(metrics.sparkSession, target, path, f"{root}/_retired/{FACT_TABLE}-{version}")
+        metrics, by = metrics.repartitionByRange("month", "product_id"), "month"
+    if versions.has_file_system(metrics.sparkSession):
+        versions.publish(metrics, path, partition_by=by)
+    else:
+        writer = metrics.write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(path)
     return path
 
 
 def read_fact_table(spark: SparkSession, out_root: str) -> DataFrame:
-    df = spark.read.schema(MONTHLY_METRICS).parquet(f"{out_root.rstrip('/')}/{FACT_TABLE}")
+    df = versions.read(spark, f"{out_root.rstrip('/')}/{FACT_TABLE}", MONTHLY_METRICS)
     return df.select(*MONTHLY_METRICS.fieldNames())
 
 

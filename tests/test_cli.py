@@ -100,7 +100,7 @@ def test_module_entry_point_in_fresh_process(sf_small, tmp_dir):
     )
     assert run.returncode == 0, run.stderr[-2000:]
     assert "dashboard_overview" in run.stdout
-    assert glob.glob(f"{tmp_dir}/cli/product_stage_history/part-*.parquet")
+    assert glob.glob(f"{tmp_dir}/cli/product_stage_history/_data/*/part-*.parquet")
 
 
 def test_cli_refresh_then_report(spark, sf_small, tmp_dir, capsys):

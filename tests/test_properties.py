@@ -74,7 +74,7 @@ def test_fact_table_partitioned_by_month_round_trip(spark, tmp_dir, m0):
     import glob as _glob
 
     pipeline.write_fact_table(m0, tmp_dir, partition_by_month=True)
-    folders = _glob.glob(f"{tmp_dir}/monthly_metrics/month=*")
+    folders = _glob.glob(f"{tmp_dir}/monthly_metrics/_data/*/month=*")
     assert len(folders) == m0.select("month").distinct().count()
     back = pipeline.read_fact_table(spark, tmp_dir)
     assert back.columns == m0.columns
