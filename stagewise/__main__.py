@@ -56,6 +56,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--out", required=True)
     p.add_argument("--max-files-per-trigger", type=int)
     p.add_argument("--compact", action="store_true", help="fold committed batches into a snapshot afterwards")
+    p.add_argument("--fact", action="store_true", help="also write the fact table to --out (it is kept under --state)")
     _add_jdbc(p)
 
     for name in ("export", "report", "payload"):
@@ -91,18 +92,21 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from .operators.marts import MART_BUILDERS
         from .plans import pipeline
         from .sinks.writers import write_mart, write_mart_jdbc
-        from .streaming.refresh import compact_partials, incremental_monthly_metrics
+        from .streaming.refresh import compact_partials
+        from .streaming.touched import read_state_fact, refresh_touched
 
-        metrics = incremental_monthly_metrics(spark, args.raw, args.state, args.max_files_per_trigger)
+        done = refresh_touched(spark, args.raw, args.state, args.max_files_per_trigger)
         if args.compact:
             compact_partials(spark, args.state)
-        pipeline.write_fact_table(metrics, args.out)
-        table = pipeline.read_fact_table(spark, args.out)
+        table = read_state_fact(spark, args.state)
+        if args.fact:
+            pipeline.write_fact_table(table, args.out)
         for name, build in MART_BUILDERS.items():
             if args.jdbc_url:
                 write_mart_jdbc(build(table), args.jdbc_url, name, "replace", jdbc)
             else:
                 write_mart(build(table), args.out, name, "replace")
+        print(f"batches {done.batches}, products touched {done.products}, rows scored {done.rows_scored}")
         print(f"refreshed {args.out}")
     else:
         from .plans import dashboard
