@@ -24,7 +24,7 @@ from ..functions import (
 from ..operators import insights, marts, monthly, quality
 from ..session import scratch_path
 from ..sinks.writers import write_jsonl
-from ..sources import adapters, jsonl, raw_zone
+from ..sources import adapters, jsonl, raw_zone, rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,6 +189,24 @@ def q_incremental_refresh(spark, sf_dir):
     return read_state_fact(spark, state)
 
 
+def q_raw_rejects(spark, sf_dir):
+    """A sales feed some of whose lines have a code in the place of a value: what the typed scan rejects."""
+    code = {"order_ts": "concat(l_returnflag, '-', l_linestatus)", "quantity": "l_returnflag", "discount_pct": "l_linestatus",
+            "returned_flag": "concat('maybe ', l_returnflag)"}
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    feed = lines.selectExpr(
+        f"{adapters._pid('l_partkey')} AS product_id",
+        *[f"CASE WHEN l_linenumber = {k} THEN {code[c]} ELSE {good} END AS {c}" for k, (c, good) in enumerate({
+            "order_ts": "date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss\")", "quantity": "cast(cast(l_quantity as int) as string)",
+            "discount_pct": "cast(l_discount as string)", "returned_flag": "cast(l_returnflag = 'R' as string)"}.items(), 1)],
+        "cast(l_extendedprice as string) AS unit_price",
+    )
+    raw, out = scratch_path(spark, "feed"), scratch_path(spark, "split")
+    write_jsonl(feed, f"{raw}/orders")
+    rejects.split_dataset(spark, raw, "orders", out)
+    return rejects.reject_counts(rejects.read_rejects(spark, out, "orders"))
+
+
 def q_payload(spark, sf_dir):
     from .dashboard import dashboard_payload
 
@@ -259,6 +277,7 @@ QUERIES: dict[str, Query] = {
     "summary_top_risk": q_summary_top_risk,
     "payload_rows_json": q_payload,
     # data quality
+    "raw_rejects": q_raw_rejects,
     "catalog_duplicates": lambda spark, sf_dir: quality.catalog_duplicates(inputs(spark, sf_dir)["products"]),
     "orphan_products": lambda spark, sf_dir: quality.orphan_products(
         m0(spark, sf_dir), inputs(spark, sf_dir)["products"]

@@ -273,6 +273,16 @@ M0_COLS = (
 )
 
 
+RAW_REJECTS = """
+SELECT 'orders' AS dataset, field, value, reason, count(*) AS n FROM (
+  SELECT 'order_ts' AS field, l_returnflag || '-' || l_linestatus AS value, 'not a timestamp' AS reason FROM lineitem WHERE l_linenumber = 1
+  UNION ALL SELECT 'quantity', l_returnflag, 'not an integer' FROM lineitem WHERE l_linenumber = 2
+  UNION ALL SELECT 'discount_pct', l_linestatus, 'not a number of the field''s precision' FROM lineitem WHERE l_linenumber = 3
+  UNION ALL SELECT 'returned_flag', 'maybe ' || l_returnflag, 'not a boolean' FROM lineitem WHERE l_linenumber = 4
+) GROUP BY ALL
+"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         # ---- sources (S2..S5 via JSON round trip; S1/K7 roundtrip) ----
@@ -376,6 +386,7 @@ def oracle_queries() -> dict[str, str]:
         # ---- dashboard datasets ----
         "stage_transitions": q(TRANSITIONS),
         "alerts": q(ALERTS),
+        "raw_rejects": RAW_REJECTS,
         "filter_options": q(FILTER_OPTIONS),
         "project_summary": q(
             "SELECT count(DISTINCT CASE WHEN product_id IS NOT NULL AND product_id <> '' THEN product_id END) "
