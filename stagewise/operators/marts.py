@@ -1,7 +1,7 @@
 """The seven summary tables derived from ``monthly_metrics`` (M1..M7).
 
 "Current" means the latest month over all products (a scalar subquery, no
-driver round trip). Every mart is an aggregate or projection of the fact
+driver round trip), of the table itself or given as ``latest``. Every mart is an aggregate or projection of the fact
 table, so each is one partial+final aggregation over data that is already
 one row per (product, month).
 """
@@ -25,9 +25,9 @@ def _at_risk_count() -> F.Column:
     return F.count_if(is_at_risk("risk_score")).cast("int")
 
 
-def dashboard_overview(monthly: DataFrame) -> DataFrame:
+def dashboard_overview(monthly: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """M1: one row, even when the table is empty."""
-    cur = current_rows(monthly)
+    cur = current_rows(monthly, latest)
     out = cur.agg(
         F.max("month").alias("latest_month"),
         F.count_distinct("product_id").cast("int").alias("active_products"),
@@ -62,9 +62,9 @@ def stage_sentiment(monthly: DataFrame) -> DataFrame:
     return conform(out, MARTS["stage_sentiment"])
 
 
-def category_health(monthly: DataFrame) -> DataFrame:
+def category_health(monthly: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """M4: current month by category (NULL category is its own group)."""
-    out = current_rows(monthly).groupBy("category").agg(
+    out = current_rows(monthly, latest).groupBy("category").agg(
         F.count_distinct("product_id").cast("int").alias("active_products"),
         money_sum("revenue").alias("revenue"),
         _avg("avg_sentiment", 4).alias("avg_sentiment"),
@@ -75,9 +75,9 @@ def category_health(monthly: DataFrame) -> DataFrame:
     return conform(out, MARTS["category_health"])
 
 
-def lifecycle_distribution(monthly: DataFrame) -> DataFrame:
+def lifecycle_distribution(monthly: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """M5: current month by lifecycle stage."""
-    out = current_rows(monthly).groupBy("lifecycle_stage").agg(
+    out = current_rows(monthly, latest).groupBy("lifecycle_stage").agg(
         F.count_distinct("product_id").cast("int").alias("product_count"),
         _avg("age_days", 2).alias("avg_age_days"),
         money_avg("revenue").alias("avg_revenue"),
@@ -119,13 +119,13 @@ def risk_order() -> list[F.Column]:
     ]
 
 
-def product_risk_scores(monthly: DataFrame, limit: int = K.TOP_RISK_LIMIT) -> DataFrame:
+def product_risk_scores(monthly: DataFrame, limit: int = K.TOP_RISK_LIMIT, latest: DataFrame | None = None) -> DataFrame:
     """M6: current month's top products by risk (ties: revenue, product id).
 
     ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its
     own top ``limit`` rows, only those reach the final merge.
     """
-    return _project(current_rows(monthly), "product_risk_scores").orderBy(*risk_order()).limit(limit)
+    return _project(current_rows(monthly, latest), "product_risk_scores").orderBy(*risk_order()).limit(limit)
 
 
 def product_stage_history(monthly: DataFrame) -> DataFrame:

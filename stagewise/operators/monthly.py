@@ -296,7 +296,23 @@ def latest_month(monthly: DataFrame) -> DataFrame:
     return monthly.agg(F.max("month").alias("latest_month"))
 
 
-def current_rows(monthly: DataFrame) -> DataFrame:
-    """P10: rows of the latest month over all products (scalar subquery)."""
-    latest = monthly.select(F.max("month")).scalar()
-    return monthly.filter(F.col("month") == latest)
+def latest_activity_month(orders: DataFrame, reviews: DataFrame, inventory: DataFrame) -> DataFrame:
+    """A4 without the fact table: the month of the latest date in any source.
+
+    Every month with activity is a month of the fact table, whatever the
+    product (NULL too), so the two agree. Each source is scanned for its date
+    column alone and gives one partial row per task.
+    """
+    dates = [(orders, "order_ts"), (reviews, "review_ts"), (inventory, "snapshot_date")]
+    found = [df.select(month_key(c).alias("month")).agg(F.max("month").alias("month")) for df, c in dates]
+    return latest_month(found[0].unionByName(found[1]).unionByName(found[2]))
+
+
+def current_rows(monthly: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+    """P10: rows of the latest month over all products (scalar subquery).
+
+    ``latest``: one row and column with that month, where it is known without
+    ``monthly``; else ``monthly`` is computed twice unless it is stored.
+    """
+    month = (monthly.select(F.max("month")) if latest is None else latest).scalar()
+    return monthly.filter(F.col("month") == month)

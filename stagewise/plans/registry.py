@@ -46,12 +46,23 @@ def stored_m0(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(metrics.schema).parquet(path)
 
 
+def with_latest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The fact table and its latest month, which comes from the sources' date columns: one pass, nothing stored."""
+    d = inputs(spark, sf_dir)
+    return m0(spark, sf_dir), monthly.latest_activity_month(d["orders"], d["reviews"], d["inventory"])
+
+
+def _current(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(*with_latest(spark, sf_dir))
+
+
 def _history(spark, sf_dir):
     return marts.product_stage_history(m0(spark, sf_dir))
 
 
 def _risk(spark, sf_dir):
-    return marts.product_risk_scores(stored_m0(spark, sf_dir))
+    metrics, latest = with_latest(spark, sf_dir)
+    return marts.product_risk_scores(metrics, latest=latest)
 
 
 # --- raw zone round trip -----------------------------------------------------
@@ -185,7 +196,7 @@ def q_incremental_refresh(spark, sf_dir):
                 continue
             part = F.coalesce(F.pmod(F.xxhash64(ts), F.lit(8)) == 0, F.lit(False))  # an eighth of the days is late
             write_jsonl(df.where(part == F.lit(late)), f"{raw}/{name}", ts, mode="append")
-        refresh_touched(spark, raw, state)
+        refresh_touched(spark, raw, state, buckets=8)
     return read_state_fact(spark, state)
 
 
@@ -259,14 +270,14 @@ QUERIES: dict[str, Query] = {
     "monthly_joined": q_monthly_joined,
     "monthly_fused": q_monthly_fused,
     "monthly_metrics": lambda spark, sf_dir: m0(spark, sf_dir),
-    "latest_month": lambda spark, sf_dir: monthly.latest_month(m0(spark, sf_dir)),
-    "current_month_rows": lambda spark, sf_dir: monthly.current_rows(stored_m0(spark, sf_dir)),
+    "latest_month": lambda spark, sf_dir: with_latest(spark, sf_dir)[1],
+    "current_month_rows": _current(monthly.current_rows),
     # marts
-    "mart_overview": lambda spark, sf_dir: marts.dashboard_overview(stored_m0(spark, sf_dir)),
+    "mart_overview": _current(marts.dashboard_overview),
     "mart_monthly_trends": lambda spark, sf_dir: marts.monthly_trends(m0(spark, sf_dir)),
     "mart_stage_sentiment": lambda spark, sf_dir: marts.stage_sentiment(m0(spark, sf_dir)),
-    "mart_category_health": lambda spark, sf_dir: marts.category_health(stored_m0(spark, sf_dir)),
-    "mart_lifecycle_distribution": lambda spark, sf_dir: marts.lifecycle_distribution(stored_m0(spark, sf_dir)),
+    "mart_category_health": _current(marts.category_health),
+    "mart_lifecycle_distribution": _current(marts.lifecycle_distribution),
     "mart_product_risk_scores": _risk,
     "mart_product_stage_history": _history,
     # dashboard datasets

@@ -180,3 +180,24 @@ def test_stockout_ratio_not_clamped(spark):
     assert r.avg_stockout_hours == 350.0 and r.stockout_ratio == round(350.0 / 168.0, 4) > 2.0
     # the score is clamped (18 + 2.0833 * 55 > 100), the ratio is not
     assert r.risk_score == 100.0
+
+
+def test_latest_month_from_the_sources_equals_the_fact_table(spark, sf_small):
+    from stagewise.sources import adapters
+
+    d = adapters.datasets(spark, sf_small)
+    sources = (d["orders"], d["reviews"], d["inventory"])
+    latest = monthly.latest_activity_month(*sources)
+    m0 = monthly.monthly_metrics(d["products"], *sources)
+    assert latest.collect() == monthly.latest_month(m0).collect()
+    assert monthly.current_rows(m0, latest).count() == monthly.current_rows(m0).count() > 0
+    # a NULL product's month counts, a NULL date doesn't; nothing at all gives NULL
+    odd = d["reviews"].limit(2).withColumn("product_id", F.lit(None).cast("string")).withColumn(
+        "review_ts", F.when(F.col("product_id").isNull(), F.lit("2031-05-06 07:08:09").cast("timestamp_ntz")))
+    odd = odd.unionByName(odd.withColumn("review_ts", F.lit(None).cast("timestamp_ntz")))
+    got = monthly.latest_activity_month(d["orders"], odd, d["inventory"]).first()[0]
+    assert got == monthly.latest_month(monthly.monthly_metrics(d["products"], d["orders"], odd, d["inventory"])).first()[0]
+    assert str(got) == "2031-05-01"
+    assert monthly.latest_activity_month(*[x.limit(0) for x in sources]).collect()[0][0] is None
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "l_quantity:" not in plan and "l_extendedprice:" not in plan  # in no ReadSchema
