@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import insights
 from ..schemas import MARTS
+from ..sinks.jdbc import table_exists
 from ..sinks.writers import mart_order, read_mart
 from ..sources.raw_zone import raw_zone_inventory
 
@@ -37,12 +38,10 @@ def load_marts(
 
 def _read_or_empty(spark, name, schema, root, jdbc_url, jdbc_properties) -> DataFrame:
     if jdbc_url:
-        try:
-            df = spark.read.jdbc(jdbc_url, name, properties=jdbc_properties or {})
-            df.schema  # resolve the table now, so a missing one is caught here
-            return df
-        except Exception:  # noqa: BLE001 - the driver reports a missing table as a SQL error
+        props = jdbc_properties or {}
+        if not table_exists(spark, jdbc_url, name, props):  # a database that can't be reached raises
             return spark.createDataFrame([], schema)
+        return spark.read.jdbc(jdbc_url, name, properties=props)
     try:
         return read_mart(spark, root, name, ordered=False)
     except AnalysisException:  # path does not exist

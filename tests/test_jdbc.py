@@ -1,0 +1,92 @@
+"""Marts in a SQL database (embedded in this JVM, in memory): all rows or the old ones, once."""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from stagewise import schemas as SC
+from stagewise.plans import dashboard
+from stagewise.sinks import jdbc, writers
+
+NAME = "monthly_trends"
+
+
+@pytest.fixture
+def database(spark):
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    try:
+        spark._jvm.java.lang.Class.forName(props["driver"])
+    except Exception:
+        pytest.skip("Derby driver not on the classpath")
+    return f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", props
+
+
+def trends(spark, *units):
+    rows = [(dt.date(2024, 1 + k, 1), 1.5, n, 4.0, 0.25) for k, n in enumerate(units)]
+    names = SC.MARTS[NAME].fieldNames()
+    return spark.createDataFrame(rows, "month date, revenue double, units_sold long, avg_rating double, avg_sentiment double").select(*names)
+
+
+def units(spark, database):
+    return sorted(r.units_sold for r in spark.read.jdbc(database[0], NAME, properties=database[1]).collect())
+
+
+def write(df, database, **kw):
+    writers.write_mart_jdbc(df, database[0], NAME, properties=database[1], **kw)
+
+
+def test_replace_and_append(spark, database):
+    write(trends(spark, 1, 2), database)
+    write(trends(spark, 3), database, mode="append")
+    assert units(spark, database) == [1, 2, 3]
+    write(trends(spark, 9), database)
+    assert units(spark, database) == [9]
+    assert not jdbc.table_exists(spark, database[0], f"{NAME}_staging", database[1])
+
+
+def test_a_failed_task_leaves_the_old_rows(spark, database):
+    write(trends(spark, 1, 2), database)
+    failing = trends(spark, 5, 6, 7).repartition(3).withColumn("revenue", F.when(F.col("units_sold") == 7, F.raise_error(F.lit("boom"))).otherwise(1.0))
+    for mode in ("replace", "append"):
+        with pytest.raises(Exception, match="boom"):
+            write(failing, database, mode=mode)
+        assert units(spark, database) == [1, 2]
+    write(trends(spark, 8), database, mode="append")  # rows that the failed runs left in staging don't count
+    assert units(spark, database) == [1, 2, 8]
+
+
+def test_a_crash_in_the_transaction_rolls_back(spark, database, monkeypatch):
+    write(trends(spark, 1), database)
+    run = jdbc._run
+
+    def crash(conn, statement, *values):
+        if statement.startswith("INSERT INTO monthly_trends"):
+            raise OSError("crash after the delete")
+        run(conn, statement, *values)
+
+    monkeypatch.setattr(jdbc, "_run", crash)
+    with pytest.raises(OSError):
+        write(trends(spark, 2), database, commit_id="a")
+    monkeypatch.undo()
+    assert units(spark, database) == [1]
+    write(trends(spark, 2), database, commit_id="a")
+    assert units(spark, database) == [2]
+
+
+def test_a_repeated_commit_adds_nothing(spark, database):
+    for _ in range(2):
+        write(trends(spark, 4), database, mode="append", commit_id="run 1")
+    write(trends(spark, 5), database, mode="append", commit_id="run 2")
+    assert units(spark, database) == [4, 5]
+
+
+def test_only_a_missing_table_reads_as_empty(spark, database):
+    write(trends(spark, 1), database)
+    marts = dashboard.load_marts(spark, jdbc_url=database[0], jdbc_properties=database[1])
+    assert marts[NAME].count() == 1 and marts["category_health"].count() == 0
+    with pytest.raises(Exception, match="(?i)not found|no suitable|database"):
+        dashboard.load_marts(spark, jdbc_url="jdbc:derby:memory:no_such_database", jdbc_properties=database[1])
