@@ -89,23 +89,21 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         for name, where in paths.items():
             print(f"{name}\t{where}")
     elif args.command == "refresh":
-        from .operators.marts import MART_BUILDERS
         from .plans import pipeline
         from .sinks.writers import write_mart, write_mart_jdbc
         from .streaming.refresh import compact_partials
-        from .streaming.touched import read_state_fact, refresh_touched
+        from .streaming.touched import read_state_fact, read_state_marts, refresh_touched
 
         done = refresh_touched(spark, args.raw, args.state, args.max_files_per_trigger)
         if args.compact:
             compact_partials(spark, args.state)
-        table = read_state_fact(spark, args.state)
         if args.fact:
-            pipeline.write_fact_table(table, args.out)
-        for name, build in MART_BUILDERS.items():
+            pipeline.write_fact_table(read_state_fact(spark, args.state), args.out)
+        for name, mart in read_state_marts(spark, args.state).items():
             if args.jdbc_url:
-                write_mart_jdbc(build(table), args.jdbc_url, name, "replace", jdbc)
+                write_mart_jdbc(mart, args.jdbc_url, name, "replace", jdbc)
             else:
-                write_mart(build(table), args.out, name, "replace")
+                write_mart(mart, args.out, name, "replace")
         print(f"batches {done.batches}, products touched {done.products}, rows scored {done.rows_scored}")
         print(f"refreshed {args.out}")
     else:

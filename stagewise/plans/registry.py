@@ -21,7 +21,7 @@ from ..functions import (
     rating_from_sentiment,
     shift_months,
 )
-from ..operators import insights, marts, monthly, quality
+from ..operators import insights, mart_states, marts, monthly, quality
 from ..session import scratch_path
 from ..sinks.writers import write_jsonl
 from ..sources import adapters, jsonl, raw_zone, rejects
@@ -182,9 +182,9 @@ def q_monthly_fused(spark, sf_dir):
     return monthly.monthly_fused(d["products"], d["orders"], d["reviews"], d["inventory"])
 
 
-def q_incremental_refresh(spark, sf_dir):
+def _refreshed_state(spark, sf_dir) -> str:
     """The raw zone arrives in two parts; the second refresh adds to months of the first and opens new ones."""
-    from ..streaming.touched import read_state_fact, refresh_touched
+    from ..streaming.touched import refresh_touched
 
     raw, state = scratch_path(spark, "raw-zone"), scratch_path(spark, "refresh-state")
     for late in (False, True):
@@ -197,7 +197,32 @@ def q_incremental_refresh(spark, sf_dir):
             part = F.coalesce(F.pmod(F.xxhash64(ts), F.lit(8)) == 0, F.lit(False))  # an eighth of the days is late
             write_jsonl(df.where(part == F.lit(late)), f"{raw}/{name}", ts, mode="append")
         refresh_touched(spark, raw, state, buckets=8)
-    return read_state_fact(spark, state)
+    return state
+
+
+def q_incremental_refresh(spark, sf_dir):
+    from ..streaming.touched import read_state_fact
+
+    return read_state_fact(spark, _refreshed_state(spark, sf_dir))
+
+
+def q_refreshed_category_health(spark, sf_dir):
+    """M4 after the two refreshes, merged from the stored states of the buckets."""
+    from ..streaming.touched import read_state_marts
+
+    return read_state_marts(spark, _refreshed_state(spark, sf_dir))["category_health"]
+
+
+#: Buckets of products whose states are merged by the queries below.
+STATE_BUCKETS = 64
+
+
+def _by_month(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(mart_states.group_states(m0(spark, sf_dir), STATE_BUCKETS))
+
+
+def q_risk_scores_by_month(spark, sf_dir):
+    return mart_states.risk_scores_by_month(mart_states.top_states(m0(spark, sf_dir), STATE_BUCKETS))
 
 
 def q_raw_rejects(spark, sf_dir):
@@ -280,6 +305,10 @@ QUERIES: dict[str, Query] = {
     "mart_lifecycle_distribution": _current(marts.lifecycle_distribution),
     "mart_product_risk_scores": _risk,
     "mart_product_stage_history": _history,
+    # marts of every month, merged from the states of buckets of products
+    "category_health_by_month": _by_month(lambda groups: mart_states.category_health(groups, current=False)),
+    "lifecycle_by_month": _by_month(lambda groups: mart_states.lifecycle_distribution(groups, current=False)),
+    "risk_scores_by_month": q_risk_scores_by_month,
     # dashboard datasets
     "stage_transitions": lambda spark, sf_dir: insights.stage_transitions(_history(spark, sf_dir)),
     "alerts": lambda spark, sf_dir: insights.alerts(_risk(spark, sf_dir)),
@@ -295,4 +324,5 @@ QUERIES: dict[str, Query] = {
     ),
     # streaming
     "incremental_refresh": q_incremental_refresh,
+    "refreshed_category_health": q_refreshed_category_health,
 }

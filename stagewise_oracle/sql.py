@@ -383,6 +383,25 @@ def oracle_queries() -> dict[str, str]:
         ),
         "mart_product_risk_scores": q("SELECT * FROM risk"),
         "mart_product_stage_history": q("SELECT * FROM history"),
+        # ---- marts of every month ----
+        "category_health_by_month": q(
+            "SELECT month, category, CAST(count(DISTINCT product_id) AS INTEGER) AS active_products, "
+            "CAST(round(sum(CAST(revenue AS DECIMAL(18,2))), 2) AS DOUBLE) AS revenue, "
+            f"{rhu('avg(avg_sentiment)', 4)} AS avg_sentiment, {rhu('avg(revenue_change)', 4)} AS revenue_change, "
+            f"{rhu('avg(return_rate)', 4)} AS return_rate, "
+            "CAST(count(*) FILTER (WHERE risk_score >= 75.0e0) AS INTEGER) AS at_risk_products "
+            "FROM m0 GROUP BY month, category"
+        ),
+        "lifecycle_by_month": q(
+            "SELECT month, lifecycle_stage, CAST(count(DISTINCT product_id) AS INTEGER) AS product_count, "
+            f"{rhu('avg(CAST(age_days AS DOUBLE))', 2)} AS avg_age_days, "
+            f"{rhu('CAST(avg(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE)', 2)} AS avg_revenue, "
+            f"{rhu('avg(avg_sentiment)', 4)} AS avg_sentiment FROM m0 GROUP BY month, lifecycle_stage"
+        ),
+        "risk_scores_by_month": q(
+            f"SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY month ORDER BY {RISK_ORDER}) AS INTEGER) AS place "
+            f"FROM (SELECT {RISK_COLS} FROM m0)) WHERE place <= 25"
+        ),
         # ---- dashboard datasets ----
         "stage_transitions": q(TRANSITIONS),
         "alerts": q(ALERTS),
@@ -405,4 +424,12 @@ def oracle_queries() -> dict[str, str]:
         ),
         # ---- streaming refresh (result equals the batch fact table) ----
         "incremental_refresh": q("SELECT * FROM m0"),
+        "refreshed_category_health": q(
+            "SELECT category, CAST(count(DISTINCT product_id) AS INTEGER) AS active_products, "
+            "CAST(round(sum(CAST(revenue AS DECIMAL(18,2))), 2) AS DOUBLE) AS revenue, "
+            f"{rhu('avg(avg_sentiment)', 4)} AS avg_sentiment, {rhu('avg(revenue_change)', 4)} AS revenue_change, "
+            f"{rhu('avg(return_rate)', 4)} AS return_rate, "
+            "CAST(count(*) FILTER (WHERE risk_score >= 75.0e0) AS INTEGER) AS at_risk_products "
+            "FROM cur GROUP BY category"
+        ),
     }
