@@ -242,3 +242,24 @@ def test_replace_is_all_or_nothing(spark, small_marts, tmp_dir):
     early = good.filter(F.col("month") < F.lit("1996-01-01").cast("date"))
     writers.write_mart(early, tmp_dir, "monthly_trends", "replace")
     assert writers.read_mart(spark, tmp_dir, "monthly_trends").count() == early.count() < n
+
+
+def test_jsonl_files_follow_the_size_of_a_month(spark, tmp_dir):
+    """Small months have one file whatever the number of tasks; a hot month is split; no row is lost."""
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 24)  # a third of the rows in one of 17 months
+    df = spark.range(0, 48_000, 1, 40).select(
+        F.col("id").cast("string").alias("product_id"), F.add_months(F.lit("2024-01-15").cast("date"), hot.cast("int")).alias("ts")
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64KB")
+    try:
+        writers.write_jsonl(df, f"{tmp_dir}/orders", "ts")
+    finally:
+        spark.conf.set(size, before)
+    files = {d: len(glob.glob(f"{d}/*.json")) for d in glob.glob(f"{tmp_dir}/orders/year=*/month=*")}
+    assert len(files) == 17
+    split = files.pop(f"{tmp_dir}/orders/year=2024/month=01")
+    assert 2 <= split < 40 and sum(files.values()) < 3 * len(files)  # not 40 tasks x 16 months
+    back = spark.read.json(f"{tmp_dir}/orders")
+    assert back.count() == 48_000 and back.select("product_id").distinct().count() == 48_000
