@@ -1,9 +1,11 @@
 """Hilbert-curve sharding (operator 4).
 
-Metadata dimensions are quantised at corpus quantiles, documents are sorted
-by their index on the Hilbert curve through that grid, and the sorted run is
-cut into shards whose row counts differ by one at most (law ``rows``), so a
-shard covers a small box of every dimension and files can be pruned by it.
+Metadata dimensions are quantised by the cumulative share of their values over
+all rows, documents are sorted by their index on the Hilbert curve through that
+grid, and the sorted run is cut into shards whose row counts differ by one at
+most (law ``rows``), so a shard covers a small box of every dimension and files
+can be pruned by it. A dimension of four values spans the curve as one of a
+million does.
 """
 
 from __future__ import annotations
@@ -15,31 +17,45 @@ from pyspark.sql import functions as F
 
 from .common import packed, ship, stored, utf8_bytes, utf8_crc32
 
-#: Bits of a dimension: 2**BITS cells, and at most 2**BITS - 1 cut points.
+#: Bits of a dimension: 2**BITS cells.
 BITS = 5
 
 
-def ordinal(value: Column) -> Column:
-    """An order-preserving double of a string: its first six bytes as a number; null: -1."""
-    head = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
-
-
 def default_dimensions() -> dict[str, Column]:
     """Language, source and size in bytes of a document."""
     return {
-        "lang": ordinal(F.col("row.lang")),
-        "source": ordinal(F.col("row.source")),
-        "size": utf8_bytes(F.col("row.text")).cast("double"),
+        "lang": F.col("row.lang"),
+        "source": F.col("row.source"),
+        "size": utf8_bytes(F.col("row.text")),
     }
 
 
-def cut_points(df: DataFrame, dims: list[str], bits: int = BITS) -> dict[str, list[float]]:
-    """Quantiles of each dimension over all rows: at most 2**bits - 1 distinct values each."""
-    cells = 2**bits
-    at = [k / cells for k in range(1, cells)]
-    row = df.agg(*[F.percentile_approx(d, at, 10_000).alias(d) for d in dims]).first()
-    return {d: sorted(set(row[d] or [])) for d in dims}
+def cell(rows: DataFrame, dim: str, total: int, bits: int = BITS) -> Column:
+    """Cell of a value: where the middle of its rows lies among all rows in the order of the dimension, null first.
+
+    Whole values are compared. Their counts are added up over range partitions
+    of the distinct values; the driver gets the first value of each of the at
+    most 2**bits cells.
+    """
+    values = rows.groupBy(dim).agg(F.count(F.lit(1)).alias("_rows"))
+    values = values.repartitionByRange(dim).sortWithinPartitions(dim).withColumn("_at", F.monotonically_increasing_id())
+    values = stored(values, "shard-values").withColumn("_part", F.shiftright("_at", 33))
+    parts = values.groupBy("_part").agg(F.sum("_rows").alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = parts.select("_part", F.coalesce(earlier, F.lit(0)).alias("_start"))
+    upto = F.sum("_rows").over(Window.partitionBy("_part").orderBy("_at"))
+    middle = F.col("_start") + F.col("_upto") - F.col("_rows") / 2
+    placed = values.withColumn("_upto", upto).join(starts, "_part")
+    placed = placed.withColumn("_cell", F.least(F.floor(middle * 2**bits / F.lit(max(total, 1))), F.lit(2**bits - 1)))
+    found = placed.groupBy("_cell").agg(F.min(dim).alias("first"), F.bool_or(F.isnull(dim)).alias("null")).orderBy("_cell").collect()
+
+    of_null = next((r["_cell"] for r in found if r["null"]), 0)
+    firsts = [(r["first"], r["_cell"]) for r in found if r["first"] is not None]
+    if not firsts:
+        return F.lit(of_null).cast("int")
+    kind = rows.schema[dim].dataType
+    reached = F.size(F.filter(F.array(*[F.lit(v).cast(kind) for v, _ in firsts]), lambda v: v <= F.col(dim)))
+    return F.when(F.isnull(dim), of_null).otherwise(F.element_at(F.array(*[F.lit(c) for _, c in firsts]), reached)).cast("int")
 
 
 def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
@@ -70,17 +86,14 @@ def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def curve(cuts: dict[str, list[float]], bits: int = BITS) -> Column:
-    """Hilbert index of a row from its dimensions: cell = number of cut points below the value."""
-    names = list(cuts)
-    points = [np.asarray(cuts[n]) for n in names]
+def curve(cells: list[Column], bits: int = BITS) -> Column:
+    """Hilbert index of a row from its cells."""
 
     @F.pandas_udf("long")
     def index(values: pd.DataFrame) -> pd.Series:
-        cells = np.stack([np.searchsorted(p, values.iloc[:, k].to_numpy(), "left") for k, p in enumerate(points)], 1)
-        return pd.Series(hilbert_index(cells, bits))
+        return pd.Series(hilbert_index(values.to_numpy(), bits))
 
-    return index(F.struct(*[F.col(n) for n in names]))
+    return index(F.struct(*[c.alias(f"c{k}") for k, c in enumerate(cells)]))
 
 
 def ranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -139,10 +152,10 @@ def hilbert_shards(
     )
     rows = stored(rows, "shard-keys")
     names = [f"_d_{n}" for n in dims]
-    cuts = cut_points(rows, names, bits)
-    rows = rows.withColumn("hilbert", curve(cuts, bits)).drop(*names)
+    total = rows.count()
+    rows = rows.withColumn("hilbert", curve([cell(rows, d, total, bits) for d in names], bits)).drop(*names)
     out = ranked(rows, ["hilbert", "doc_id", "text_crc32", "size"], "shard-order")
-    shard, slot = by_rows(rows.count(), n_shards)
+    shard, slot = by_rows(total, n_shards)
     return out.withColumn("shard", shard).withColumn("slot", slot)
 
 

@@ -74,6 +74,36 @@ def test_shards_of_small_tables(docs):
     assert sharding.sharding_query(docs.limit(0)).count() == 0
 
 
+def test_cells_are_cumulative_shares_of_whole_values(spark):
+    """Brute force: the middle of a value's rows; values that share a long beginning, nulls, a hot value, ties."""
+    values = [None] * 7 + ["same beginning " + x for x in "abcdefgh" for _ in range(3)] + ["hot"] * 40 + ["", "z", "\u00e9t\u00e9", "\U0001f600"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(5)
+    order = sorted(values, key=lambda v: (v is not None, (v or "").encode()))
+    want = {v: int((order.index(v) + order.count(v) / 2) * 32 / len(order)) for v in values}
+    got = {r.v: r.cell for r in df.withColumn("cell", sharding.cell(df, "v", len(values))).collect()}
+    assert got == want and len({got[v] for v in values if v and v.startswith("same")}) > 1
+    nulls = df.where("v IS NULL")
+    assert {r.cell for r in nulls.withColumn("cell", sharding.cell(nulls, "v", 7)).collect()} == {16}
+
+
+def test_every_dimension_prunes_shards(spark, tmp_path):
+    """Few values span the curve as well: a shard holds few languages, and its folder tells which."""
+    rng = random.Random(5)
+    rows = [(k, "x" * rng.randrange(5_000), rng.choice(["de", "en", "en", "fr", "it"]), f"source of documents {rng.randrange(30)}")
+            for k in range(4_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("shard", F.lit("own"))
+    sharding.write_shards(df, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    found = back.groupBy("shard").agg(
+        F.count_distinct("lang").alias("langs"), F.count_distinct("source").alias("sources"), F.count(F.lit(1)).alias("n"),
+        F.count_distinct("slot").alias("slots"), F.max("slot").alias("last"),
+    ).collect()
+    assert len(found) == 40 and all((r.n, r.slots, r["last"]) == (100, 100, 99) for r in found)
+    assert sum(r.langs for r in found) / 40 < 2.5 and sum(r.sources for r in found) / 40 < 16
+    own = ["doc_id", "text", "lang", "source"]
+    assert sorted(map(tuple, back.select(own).collect())) == sorted(map(tuple, df.select(own).collect()))
+
+
 def test_url_rules_and_list(spark):
     rows = [
         (1, "HTTP://A.Example.ORG/en/1x?q#f"), (2, "https://example.org/es/"), (3, "https://notexample.org/es/"),
