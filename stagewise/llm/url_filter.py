@@ -41,6 +41,9 @@ RULES = (
 #: A page on a host with one of these name parts puts its canonical url on the list.
 LISTED_HOSTS = r"(^|[.-])(spam|pills|bets|ads)([.-]|$)"
 
+#: A doorway page, with at most this many paragraphs in its html, does so too, whatever its host.
+DOORWAY_PARAGRAPHS = 1
+
 #: Query parameters that don't change a page.
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
 
@@ -142,10 +145,22 @@ def listed_among(rows: DataFrame, column: str, listed: DataFrame, bits_a_key: in
     return out.drop("_block", "_filter_block", "_possible", "_probe", "_listed_key", *[f"w{i}" for i in range(WORDS)])
 
 
-def listed_urls(pages: DataFrame, hosts: str = LISTED_HOSTS) -> DataFrame:
-    """Distinct canonical urls of all pages on a listed host."""
-    url = F.col("url")
-    return pages.where(url_host(url).rlike(hosts)).select(canonical(url).alias("url")).distinct()
+def is_doorway(html: Column, paragraphs: int = DOORWAY_PARAGRAPHS) -> Column:
+    """Whether a page has at most so many paragraphs; one without html (null) is none."""
+    return F.coalesce(F.regexp_count(html, F.lit(r"(?i)<p[\s>]")) <= paragraphs, F.lit(False))
+
+
+def listed_urls(pages: DataFrame, hosts: str = LISTED_HOSTS, paragraphs: int = DOORWAY_PARAGRAPHS) -> DataFrame:
+    """Distinct canonical urls of all pages on a listed host and of all doorway pages.
+
+    A doorway is known by its ``html``, so the other spellings of its url
+    (``www.``, ``m.``, trailing slash, tracking) are caught by the lookup alone.
+    A table without that column is judged by hosts.
+    """
+    url, listed = F.col("url"), url_host(F.col("url")).rlike(hosts)
+    if "html" in pages.columns:
+        listed = listed | is_doorway(F.col("html"), paragraphs)
+    return pages.where(listed).select(canonical(url).alias("url")).distinct()
 
 
 def judged_urls(
@@ -174,16 +189,15 @@ def judged_urls(
 
 
 def url_filter_query(pages: DataFrame) -> DataFrame:
-    pages = pages.select("page_id", "url")
     listed = stored(listed_urls(pages), "listed-urls")
-    return judged_urls(pages, listed).select(
+    return judged_urls(pages.select("page_id", "url"), listed).select(
         F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict", "canonical", "listed"
     )
 
 
 ORACLE = r"""
 WITH p AS (
-  SELECT page_id, coalesce(url, '') AS u, url,
+  SELECT page_id, coalesce(url, '') AS u, url, coalesce(len(regexp_extract_all(html, '(?i)<p[\s>]')) <= 1, false) AS doorway,
     translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
   FROM pages
@@ -195,7 +209,7 @@ WITH p AS (
   FROM (SELECT *, coalesce(array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '^[^?#]*\?([^#]*)', 1, 's'), '&'),
       lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&'), '') AS rest FROM p)
 ), listed AS (
-  SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|[.-])(spam|pills|bets|ads)([.-]|$)')
+  SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|[.-])(spam|pills|bets|ads)([.-]|$)') OR doorway
 ), rules AS (
   SELECT * FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
     ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) r(verdict, host, path)

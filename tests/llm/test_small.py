@@ -121,6 +121,24 @@ def test_url_rules_and_list(spark):
     assert url_filter.url_filter_query(pages.limit(0)).count() == 0
 
 
+def test_other_spellings_of_doorways_are_found_by_the_lookup(spark):
+    """Pages that neither their host nor their html lists: without the lookup they would pass."""
+    text = "<p>a</p><P class='x'>b</P>"
+    rows = [
+        (1, "https://shop.net/a/", "<body><p>one</p></body>"), (2, "http://www.shop.net/a?utm_source=f#top", text),
+        (3, "https://m.shop.net:443/a/index.html", text), (4, "https://shop.net/b", text), (5, "https://blog.shop.net/a", text),
+        (6, "https://other.net/x", None), (7, "https://www.other.net/x", text), (8, None, "<p>"), (9, "no scheme", ""),
+        (10, "https://empty.net/", ""), (11, "https://empty.net", text), (1, "https://shop.net/a/", "<body><p>one</p></body>"),
+        (12, "https://shop.net/pre", "<pre>a</pre><param>" + text * 3_000),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("listed", F.lit("mine"))
+    got = {r.page_id: (r.listed, r.verdict) for r in url_filter.url_filter_query(pages).collect()}
+    assert {k for k, (listed, _) in got.items() if listed} == {1, 2, 3, 10, 11}
+    assert {k for k, (_, verdict) in got.items() if verdict == "block"} == {1, 2, 3, 10, 11}
+    assert url_filter.url_filter_query(pages).count() == len(rows)
+    assert url_filter.url_filter_query(pages.limit(0)).count() == 0
+
+
 def test_filter_has_no_false_verdicts(spark):
     listed = spark.range(0, 4000, 2).select(F.concat(F.lit("k"), "id").alias("k"))
     rows = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("k"), "id")
