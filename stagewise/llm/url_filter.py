@@ -41,8 +41,8 @@ RULES = (
 #: A page on a host with one of these name parts puts its canonical url on the list.
 LISTED_HOSTS = r"(^|[.-])(spam|pills|bets|ads)([.-]|$)"
 
-#: A doorway page, with at most this many paragraphs in its html, does so too, whatever its host.
-DOORWAY_PARAGRAPHS = 1
+#: A doorway page, with at most this many links in its html, does so too, whatever its host.
+DOORWAY_LINKS = 4
 
 #: Query parameters that don't change a page.
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
@@ -145,12 +145,12 @@ def listed_among(rows: DataFrame, column: str, listed: DataFrame, bits_a_key: in
     return out.drop("_block", "_filter_block", "_possible", "_probe", "_listed_key", *[f"w{i}" for i in range(WORDS)])
 
 
-def is_doorway(html: Column, paragraphs: int = DOORWAY_PARAGRAPHS) -> Column:
-    """Whether a page has at most so many paragraphs; one without html (null) is none."""
-    return F.coalesce(F.regexp_count(html, F.lit(r"(?i)<p[\s>]")) <= paragraphs, F.lit(False))
+def is_doorway(html: Column, links: int = DOORWAY_LINKS) -> Column:
+    """Whether a page has at most so many links; one without html (null) is none."""
+    return F.coalesce(F.regexp_count(html, F.lit(r"(?i)<a\s")) <= links, F.lit(False))
 
 
-def listed_urls(pages: DataFrame, hosts: str = LISTED_HOSTS, paragraphs: int = DOORWAY_PARAGRAPHS) -> DataFrame:
+def listed_urls(pages: DataFrame, hosts: str = LISTED_HOSTS, links: int = DOORWAY_LINKS) -> DataFrame:
     """Distinct canonical urls of all pages on a listed host and of all doorway pages.
 
     A doorway is known by its ``html``, so the other spellings of its url
@@ -159,7 +159,7 @@ def listed_urls(pages: DataFrame, hosts: str = LISTED_HOSTS, paragraphs: int = D
     """
     url, listed = F.col("url"), url_host(F.col("url")).rlike(hosts)
     if "html" in pages.columns:
-        listed = listed | is_doorway(F.col("html"), paragraphs)
+        listed = listed | is_doorway(F.col("html"), links)
     return pages.where(listed).select(canonical(url).alias("url")).distinct()
 
 
@@ -197,7 +197,7 @@ def url_filter_query(pages: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH p AS (
-  SELECT page_id, coalesce(url, '') AS u, url, coalesce(len(regexp_extract_all(html, '(?i)<p[\s>]')) <= 1, false) AS doorway,
+  SELECT page_id, coalesce(url, '') AS u, url, coalesce(len(regexp_extract_all(html, '(?i)<a\s')) <= 4, false) AS doorway,
     translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
   FROM pages
