@@ -2,6 +2,7 @@
 
 Commands
   pipeline  raw zone or parquet tables -> fact table + seven marts
+  zones     zone maps of new raw files, for runs over some months
   refresh   incremental refresh of new raw files (Structured Streaming), then marts
   export    CSV of an allowed mart
   report    summary report lines
@@ -18,6 +19,8 @@ from .session import build_session
 
 def _jdbc(args) -> dict[str, str] | None:
     props = {}
+    if getattr(args, "jdbc_driver", None) is None and not hasattr(args, "jdbc_url"):
+        return None  # a command without a database
     if args.jdbc_driver:
         props["driver"] = args.jdbc_driver
     if args.jdbc_user:
@@ -47,9 +50,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     src.add_argument("--tables", help="folder of TPC-H-style parquet tables (test adapters)")
     p.add_argument("--out", required=True, help="output root for the fact table and Parquet marts")
     p.add_argument("--mode", choices=("replace", "append"), default="replace")
+    p.add_argument("--first-month", help="YYYY-MM; with --raw: only activity from this month on")
+    p.add_argument("--last-month", help="YYYY-MM; with --raw: only activity up to this month")
     p.add_argument("--joined", action="store_true", help="use the three-join plan instead of the fused aggregate")
     _add_jdbc(p)
 
+    p = sub.add_parser("zones", help="bring the zone maps of a raw zone up to date")
+    p.add_argument("--raw", required=True)
+
     p = sub.add_parser("refresh", help="process new raw files incrementally, then rebuild the marts")
     p.add_argument("--raw", required=True)
     p.add_argument("--state", required=True, help="folder for stream checkpoint and partials")
@@ -71,6 +79,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             p.add_argument("--raw", help="raw zone root, adds the raw-zone inventory section")
 
     args = ap.parse_args(argv)
+    if args.command == "pipeline" and args.tables and (args.first_month or args.last_month):
+        ap.error("--first-month and --last-month need --raw")
     own_session = spark is None
     if spark is None:
         from .session import CLUSTER_CONF
@@ -83,11 +93,17 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
         kw = dict(mode=args.mode, fused=not args.joined, jdbc_url=args.jdbc_url, jdbc_properties=jdbc)
         if args.raw:
-            paths = pipeline.run_from_raw(spark, args.raw, args.out, **kw)
+            months = dict(first_month=args.first_month, last_month=args.last_month)
+            paths = pipeline.run_from_raw(spark, args.raw, args.out, **months, **kw)
         else:
             paths = pipeline.run_from_tables(spark, args.tables, args.out, **kw)
         for name, where in paths.items():
             print(f"{name}\t{where}")
+    elif args.command == "zones":
+        from .sources import zone_map
+
+        for name, n in zone_map.update_maps(spark, args.raw).items():
+            print(f"{name}\t{n} files mapped")
     elif args.command == "refresh":
         from .plans import pipeline
         from .sinks.writers import write_mart, write_mart_jdbc

@@ -18,7 +18,7 @@ from ..operators.monthly import monthly_metrics
 from ..schemas import MONTHLY_METRICS
 from ..sinks import versions
 from ..sinks.writers import write_mart, write_mart_jdbc
-from ..sources import adapters, jsonl
+from ..sources import adapters, jsonl, zone_map
 
 FACT_TABLE = "monthly_metrics"
 
@@ -84,9 +84,21 @@ def run_pipeline(
     return paths
 
 
-def run_from_raw(spark: SparkSession, raw_root: str, out_root: str, **kw) -> dict[str, str]:
-    """Pipeline over a JSON-lines raw zone (any Hadoop URI)."""
-    return run_pipeline(spark, jsonl.read_raw_zone(spark, raw_root), out_root, **kw)
+def run_from_raw(
+    spark: SparkSession, raw_root: str, out_root: str, first_month: str | None = None, last_month: str | None = None, **kw
+) -> dict[str, str]:
+    """Pipeline over a JSON-lines raw zone (any Hadoop URI).
+
+    With a month range (``YYYY-MM``, ends included) the tables cover the
+    activity of these months alone: only files that can hold it are opened
+    (see :mod:`stagewise.sources.zone_map`), and a product's first month of the
+    range has no month before it.
+    """
+    if first_month or last_month:
+        datasets = zone_map.read_months(spark, raw_root, first_month, last_month)
+    else:
+        datasets = jsonl.read_raw_zone(spark, raw_root)
+    return run_pipeline(spark, datasets, out_root, **kw)
 
 
 def run_from_tables(spark: SparkSession, sf_dir: str, out_root: str, **kw) -> dict[str, str]:

@@ -24,7 +24,7 @@ from ..functions import (
 from ..operators import insights, mart_states, marts, monthly, quality
 from ..session import scratch_path
 from ..sinks.writers import write_jsonl
-from ..sources import adapters, jsonl, raw_zone, rejects
+from ..sources import adapters, jsonl, raw_zone, rejects, zone_map
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +91,15 @@ def src_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.orders_monthly(_roundtrip("orders")(spark, sf_dir))
 
 
+def src_orders_latest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9: the newest month, named by the zone map, from the files that can hold it."""
+    root = scratch_path(spark, "raw-zoned")
+    write_jsonl(inputs(spark, sf_dir)["orders"], f"{root}/orders", _TS["orders"])
+    zone_map.update_map(spark, root, "orders")
+    latest = zone_map.last_month(spark, root)
+    return monthly.orders_monthly(zone_map.read_zoned(spark, root, "orders", latest, latest))
+
+
 # --- scalar operators ---------------------------------------------------------
 
 def q_month_key(spark, sf_dir):
@@ -270,6 +279,7 @@ QUERIES: dict[str, Query] = {
     "src_reviews": _roundtrip("reviews"),
     "src_inventory": _roundtrip("inventory"),
     "src_json_roundtrip": src_json_roundtrip,
+    "src_orders_latest_month": src_orders_latest_month,
     "raw_zone_inventory": q_raw_zone_inventory,
     # scalar operators
     "month_key": q_month_key,

@@ -26,8 +26,9 @@ RAW_ORDERS = _raw("product_id", "order_ts", "quantity", "unit_price", "discount_
 RAW_REVIEWS = _raw("product_id", "review_ts", "rating", "sentiment_score")
 RAW_INVENTORY = _raw("product_id", "snapshot_date", "stock_on_hand", "stockout_hours", "sell_through_pct")
 
-PRICE_TYPE = T.DecimalType(18, 4)
-RATE_TYPE = T.DecimalType(9, 4)
+# Eight decimals; quantity * price * (1 - rate) of these types is DECIMAL(38,9).
+PRICE_TYPE = T.DecimalType(20, 8)
+RATE_TYPE = T.DecimalType(12, 8)
 
 PRODUCTS = _struct(
     ("product_id", S), ("product_name", S), ("category", S), ("brand", S), ("launch_date", D),

@@ -342,6 +342,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         # ---- aggregates, set ops, joins ----
         "orders_monthly": q("SELECT * FROM om"),
+        "src_orders_latest_month": q("SELECT * FROM om WHERE month = (SELECT max(month) FROM om)"),
         "reviews_monthly": q("SELECT * FROM rm"),
         "inventory_monthly": q("SELECT * FROM im"),
         "activity_months": q("SELECT * FROM act"),

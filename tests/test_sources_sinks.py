@@ -102,6 +102,19 @@ def test_raw_zone_pipeline(spark, raw_zone, tmp_dir):
     assert jan.revenue == round(2 * 9.99 * 0.95, 2) and jan.units_sold == 2
 
 
+def test_prices_keep_eight_decimals(spark, tmp_dir):
+    path = f"{tmp_dir}/raw/orders/year=2024/month=01/o.jsonl"
+    lines = [(1000, 0.00123456, 0), (3, 33.333333, 0.125), (1, 19.990000000000002, 0.0333333), (10**9, 999999999.99, 0.5)]
+    _write_lines(path, [
+        {"product_id": f"P{k}", "order_ts": "2024-01-02", "quantity": q, "unit_price": p, "discount_pct": d}
+        for k, (q, p, d) in enumerate(lines)
+    ])
+    rows = monthly.orders_monthly(jsonl.read_orders(spark, f"{tmp_dir}/raw")).collect()
+    got = {r.product_id: r.revenue for r in rows}
+    # a price of four decimals gives 1.2 for the first
+    assert got == {f"P{k}": round(q * p * (1 - d), 2) for k, (q, p, d) in enumerate(lines)}
+
+
 def test_partition_pruned_read(spark, raw_zone):
     df = jsonl.read_json_partitioned(spark, f"{raw_zone}/orders", SC.RAW_ORDERS, first_month="2024-02")
     rows = df.collect()
