@@ -1,18 +1,25 @@
-"""N-gram Jaccard join by fixed MinHash banding (operator 9), not by the LSH forest it is named after.
+"""N-gram Jaccard join by an LSH forest of MinHash labels (operator 9).
 
 A text is the set of its five-word shingles. Texts with equal sets form one
-class. Each class has a MinHash label in every tree, of which a prefix is the
-band key. Its length is fixed by the parameters alone: the longest at which the
-chance that a pair at the threshold meets in some tree reaches the target
-recall (six of eight parts). No label is sorted and no prefix is shortened by
-data or matches; the other label parts are computed and not used. Pairs with
-an equal key are verified by their exact sets. A large bucket is split into blocks and every pair of blocks is
-a unit of work, so no pair is left out and none is emitted: a unit returns
-link counts and a spanning forest of its links.
+class. Each class has a MinHash label in every tree; the trees are prefix
+tries of these labels, and classes meet at the node where both are cut. A
+prefix may be as short as the length at which the chance that a pair at the
+threshold meets in some tree reaches the target recall if all trees are cut
+there (six of eight parts). Only nodes that many classes match are worth a
+longer one: in these a class starts from its whole label and shortens it, in
+its smallest nodes first, until its own target recall is reached again; a node
+that one class needs shorter is shorter for all of its classes. So lengths
+differ by node, and the chance of a pair doesn't fall under the target.
+
+Pairs cut at the same node are verified by their exact sets. A node that still
+is large is split into blocks and every pair of blocks is a unit of work, so no
+pair is left out and none is emitted: a unit returns link counts and a spanning
+forest of its links.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
@@ -20,7 +27,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, packed, released, ship, stored
@@ -29,7 +36,7 @@ from .components import components
 
 @dataclass(frozen=True)
 class Settings:
-    """``block``: classes of a trie node compared in one unit of work; larger nodes are split, not cut."""
+    """``block``: classes of a trie node compared in one unit of work; larger nodes get longer prefixes, then are split."""
 
     words: int = 5
     threshold: float = 0.8
@@ -46,6 +53,22 @@ class Settings:
                 return depth
         return 1
 
+    def lengths(self) -> list[int]:
+        """Prefix lengths of a class's large nodes, the largest first: whole labels while its recall allows, then shorter.
+
+        With all other trees at ``depth()``. A class that shortens its nodes one
+        after the other, the smallest first, ends with these.
+        """
+        miss = [0.0] + [math.log(1 - self.threshold**d) for d in range(1, self.label + 1)]
+        short = self.depth()
+        slack = math.log(1 - self.recall) - self.trees * miss[short]
+        out = []
+        for _ in range(self.trees):
+            fits = [d for d in range(self.label, short, -1) if miss[d] - miss[short] <= slack]
+            out.append(fits[0] if fits else short)
+            slack -= miss[out[-1]] - miss[short]
+        return out
+
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -107,36 +130,87 @@ def prefix_keys(minima: np.ndarray, s: Settings, depth: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def label_tails(minima: np.ndarray, s: Settings, depth: int) -> bytes:
+    """The parts of every label after its first ``depth``, a byte each (unlike parts with equal bytes only meet more often)."""
+    return _mixed(minima.reshape(s.trees, s.label)[:, depth:].astype(np.uint64)).astype(np.uint8).tobytes()
+
+
 def sketches(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, text_hash, digest (of the shingle set) and the trees' prefix keys; texts without words: null digest."""
+    """doc_id, text_hash, digest (of the shingle set), the trees' shortest prefix keys and the rest of their labels.
+
+    Texts without words: null digest.
+    """
     ship(docs.sparkSession)
     depth = s.depth()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, (a, b) = Words(), _functions(s)
         for batch in batches:
-            digests, keys = [], []
+            digests, keys, tails = [], [], []
             for text in batch.column("text"):
                 sh = shingle_set(text.as_py(), known, s.words)
                 if not len(sh):
                     digests.append(None)
                     keys.append(None)
+                    tails.append(None)
                     continue
                 digests.append(blake2b(sh.tobytes(), digest_size=16).digest())
-                keys.append(prefix_keys(_minhash(sh, a, b), s, depth))
+                minima = _minhash(sh, a, b)
+                keys.append(prefix_keys(minima, s, depth))
+                tails.append(label_tails(minima, s, depth))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("text_hash"),
                     pa.array(digests, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(tails, pa.binary()),
                 ],
-                names=["doc_id", "text_hash", "digest", "keys"],
+                names=["doc_id", "text_hash", "digest", "keys", "tails"],
             )
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(released(run), f"doc_id {kind}, text_hash long, digest binary, keys array<long>")
+    return rows.mapInArrow(released(run), f"doc_id {kind}, text_hash long, digest binary, keys array<long>, tails binary")
+
+
+def cut(classes: DataFrame, s: Settings) -> DataFrame:
+    """``classes`` (cid, keys, tails, more) with the keys of the nodes at which each class is cut, without ``tails``.
+
+    A node of the shortest prefix with more than ``block`` classes is large.
+    Each class asks for the lengths of :meth:`Settings.lengths` in its large
+    nodes, by falling size; a node is as short as one of its classes asks.
+    Both classes of a pair see the same answers above the node where their
+    labels part, so they meet in a tree exactly if their cut is not below it.
+    A class has at most ``trees`` large nodes; nothing else is grouped by it.
+    """
+    short, out = s.depth(), classes.drop("tails")
+    met = classes.select("cid", "tails", F.posexplode("keys").alias("tree", "node"))
+    large = met.groupBy(F.col("node").alias("_node")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > s.block)
+    large = stored(large, "large-nodes")
+    if s.label == short or large.isEmpty():
+        return out
+    lengths = s.lengths()
+    rank = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("n"), "tree"))
+    rows = met.join(large, F.col("node") == F.col("_node")).withColumn("asked", F.element_at(F.lit(lengths), rank))
+    more = s.label - short
+
+    def key(depth: int) -> Column:
+        """The node of this depth on the way of a label."""
+        rest = F.substring("tails", F.col("tree") * more + 1, F.lit(depth - short))
+        return F.xxhash64("node", F.lit(depth), rest) if depth > short else F.col("node")
+
+    keys = [key(d) for d in range(short, s.label + 1)]
+    rows = stored(rows.select("cid", "tree", "asked", *[k.alias(f"k{d}") for d, k in enumerate(keys, short)]), "matched")
+    cuts = rows.withColumn("at", F.col(f"k{s.label}"))
+    for d in range(s.label - 1, short - 1, -1):  # the shortest that anyone asks for comes last and stays
+        wanted = rows.where(F.col("asked") == d).select(F.col(f"k{d}").alias(f"_k{d}")).distinct()
+        cuts = cuts.join(wanted, F.col(f"k{d}") == F.col(f"_k{d}"), "left")
+        cuts = cuts.withColumn("at", F.coalesce(f"_k{d}", "at"))
+    mine = cuts.groupBy(F.col("cid").alias("_cid")).agg(F.map_from_entries(F.collect_list(F.struct("tree", "at"))).alias("at"))
+    out = out.join(mine, F.col("cid") == F.col("_cid"), "left")
+    new = F.transform("keys", lambda x, t: F.coalesce(F.try_element_at("at", t), x))
+    return stored(out.withColumn("keys", new).drop("_cid", "at"), "cut-classes")
 
 
 def units(classes: DataFrame, s: Settings) -> DataFrame:
@@ -300,10 +374,11 @@ def joined(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
             F.min(F.struct("doc_id", "text_hash")).alias("rep"),
             F.count(F.lit(1)).alias("n_copies"),
             F.first("keys").alias("keys"),
+            F.first("tails").alias("tails"),
         )
         .withColumn("cid", F.monotonically_increasing_id())
     )
-    classes = stored(classes, "classes")
+    classes = cut(stored(classes, "classes"), s)
     work = units(classes, s).repartition("unit").sortWithinPartitions("unit", "node", "i", "j")
     work = stored(work.mapInArrow(released(_needed), _UNIT), "units")
     reps = classes.select(F.col("cid").alias("_cid"), "rep.doc_id", "rep.text_hash")
