@@ -148,7 +148,7 @@ def beta_prior(n: int, hosts: int, failures: int, square: float, limits: HostLim
 
 
 def judged(docs: DataFrame, host: str = "source", limits: HostLimits | None = None, carry: bool = False) -> DataFrame:
-    """Documents with COUNTS, ``base_failed``, ``host_failed`` and ``kept``.
+    """Documents with COUNTS, ``base_failed``, ``host_failed``, the host's shrunk ``rate_<rule>`` and ``kept``.
 
     ``carry`` keeps the whole input row in ``row``; else only ``doc_id`` and
     the host are carried (no text is written or shuffled). Null host: one host
@@ -160,7 +160,7 @@ def judged(docs: DataFrame, host: str = "source", limits: HostLimits | None = No
     wanted = [F.col("row")] if carry else [F.col("row.doc_id").alias("doc_id")]
     counted = stored(counted.select(*wanted, F.col(f"row.{host}").alias("_host"), *COUNTS), "quality")
     # Stored, so that Spark knows its size: a small one is broadcast and no text is shuffled.
-    hosts = stored(host_verdicts(counted, "_host", limits).select("host", "host_failed"), "host-verdicts")
+    hosts = stored(host_verdicts(counted, "_host", limits).drop("n_docs"), "host-verdicts")
     out = counted.join(hosts, counted["_host"].eqNullSafe(hosts["host"]), "left").drop("host")
     out = out.withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed"))
@@ -168,7 +168,8 @@ def judged(docs: DataFrame, host: str = "source", limits: HostLimits | None = No
 
 def quality_query(docs: DataFrame) -> DataFrame:
     return judged(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "host_failed", *[F.round(f"rate_{r}", 6).alias(f"rate_{r}") for r in RULES],
     )
 
 
@@ -213,10 +214,13 @@ WITH d AS (
   SELECT r, mean, least(greatest(CASE WHEN square - raw * raw - mean * (1 - mean) * hosts > 0
     THEN mean * (1 - mean) / (square - raw * raw - mean * (1 - mean) * hosts) - 1 ELSE 1e6 END, 2.0), 1e6) AS strength FROM m
 ), bad AS (
-  SELECT source, bool_or((f + mean * strength) / (n + strength) > 0.6) AS host_failed
-  FROM h JOIN k ON h.r = k.r GROUP BY source
+  SELECT source, bool_or(rate > 0.6) AS host_failed,
+    max(CASE r WHEN 'a' THEN rate END) AS ra, max(CASE r WHEN 'b' THEN rate END) AS rb,
+    max(CASE r WHEN 'c' THEN rate END) AS rc, max(CASE r WHEN 'd' THEN rate END) AS rd
+  FROM (SELECT source, h.r, (f + mean * strength) / (n + strength) AS rate FROM h JOIN k ON h.r = k.r) GROUP BY source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r1 OR r2 AS base_failed,
-  NOT (r1 OR r2) AND NOT host_failed AS kept
+  NOT (r1 OR r2) AND NOT host_failed AS kept, host_failed, round(ra, 6) AS rate_short,
+  round(rb, 6) AS rate_repeated, round(rc, 6) AS rate_symbols, round(rd, 6) AS rate_dup_lines
 FROM f JOIN bad ON f.source IS NOT DISTINCT FROM bad.source
 """
