@@ -60,15 +60,16 @@ def released(run: Run) -> Run:
     return whole
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written once as Parquet to the shared scratch folder and read back.
 
     Cuts the lineage: a lost executor makes tasks re-read this table, and
-    several consumers share one computation.
+    several consumers share one computation. ``codec``: the session's, if none is named.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    writer = df.write.option("compression", codec) if codec else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

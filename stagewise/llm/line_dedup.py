@@ -394,7 +394,7 @@ def links(members: DataFrame, found: DataFrame, texts: DataFrame, s: Settings) -
     work = units(members, found, s)
     schema = work.schema
     work = work.repartition(*key).sortWithinPartitions(*key)
-    work = stored(work.mapInArrow(released(lambda b: _needed(b, s)), schema), "line-units")
+    work = stored(work.mapInArrow(released(lambda b: _needed(b, s)), schema), "line-units", "zstd")
     own = texts.select(F.col("id").alias("_id"), "line")
     work = work.join(own, F.col("id") == F.col("_id")).drop("_id").repartition(*key).sortWithinPartitions(*key)
     return stored(work.mapInArrow(released(lambda b: _linked(b, s)), "a long, b long"), "line-links")
@@ -407,14 +407,14 @@ def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """
     s = settings or Settings()
     lines = lines_of(docs)
-    found = stored(signatures(lines, s), "line-signatures")
+    found = stored(signatures(lines, s), "line-signatures", "zstd")
     members = stored(bucket_members(found, s), "line-buckets")
     ids = members.select(F.col("id").alias("_id")).distinct()
     wanted = found.join(ids, F.col("id") == F.col("_id"), "left").select(
         "h1", "h2", "id", "n", F.col("_id").isNotNull().alias("fuzzy")
     )
     wanted = stored(wanted.where("fuzzy OR n > 1").drop("n"), "line-wanted")
-    seen = stored(occurrences(lines, wanted, s), "line-occurrences")
+    seen = stored(occurrences(lines, wanted, s), "line-occurrences", "zstd")
     texts = seen.where("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line"))
     roots = components(links(members, found, texts, s)).withColumnRenamed("node", "_id")
     of = seen.drop("line").join(roots, F.col("id") == F.col("_id"), "left")
