@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, shuffles_released
 
 #: The word of every text operator here: a run without ASCII white space.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -64,12 +64,13 @@ def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written once as Parquet to the shared scratch folder and read back.
 
     Cuts the lineage: a lost executor makes tasks re-read this table, and
-    several consumers share one computation. ``codec``: the session's, if none is named.
+    several consumers share one computation, whose shuffle files go with its end. ``codec``: the session's, if none is named.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     writer = df.write.option("compression", codec) if codec else df.write
-    writer.parquet(path)
+    with shuffles_released(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -184,11 +184,17 @@ def _bands(sig: Column) -> Column:
 
 
 def bucket_members(found: DataFrame, s: Settings) -> DataFrame:
-    """(bucket, band, blocks, id) of the lines that share a band with another line; ``blocks`` of the bucket."""
+    """(bucket, band, blocks, id, size) of the lines that share a band with another line; ``blocks`` of the bucket.
+
+    The count of the buckets and the join with it use all columns of one shuffle, so Spark makes the bands and deals them once.
+    """
     met = found.select("id", "size", F.posexplode(_bands(F.col("sig"))).alias("band", "bucket")).where("bucket IS NOT NULL")
+    met = met.repartition("bucket", "band")
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / s.block), F.ceil(F.sum("size") / s.block_bytes)).cast("int")
-    shared = met.groupBy(F.col("bucket").alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"), blocks.alias("blocks")).where("_n > 1")
-    return met.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "band", "blocks", "id")
+    shared = met.groupBy("bucket", "band").agg(F.min("id").alias("_low"), F.max("id").alias("_high"), blocks.alias("blocks")).where("_low < _high")
+    shared = shared.select(F.col("bucket").alias("_bucket"), F.col("band").alias("_band"), "blocks")
+    same = (F.col("bucket") == F.col("_bucket")) & (F.col("band") == F.col("_band"))
+    return met.join(shared, same).select("bucket", "band", "blocks", "id", "size")
 
 
 def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:

@@ -128,3 +128,21 @@ def test_the_hashes_of_a_line_are_independent(spark):
     rows = line_dedup.lines_of(df).withColumn("of", F.xxhash64("line")).collect()
     seeded = spark.range(1).select(*[F.xxhash64(F.lit(bytes(r.line)), F.lit(1)).alias(f"c{k}") for k, r in enumerate(rows)]).first()
     assert all(r.h2 != seeded[k] and r.h2 != r.h1 == r.of for k, r in enumerate(rows))
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from stagewise.llm.common import stored
+
+    def data():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return {x for x in found.split() if x.startswith("shuffle_") and x.endswith(".data")}
+
+    before = data()
+    df = stored(spark.range(20000).withColumn("k", F.col("id") % 7).repartition(5, "k"), "shuffled")
+    until = time.time() + 20  # they go in the background
+    while data() - before and time.time() < until:
+        time.sleep(0.5)
+    assert not data() - before
+    assert df.groupBy("k").count().count() == 7 and df.count() == 20000

@@ -332,3 +332,21 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(ValueError):
         session.scratch_dir(Fake())
+
+
+def test_bands_of_lines_are_dealt_once(spark):
+    from stagewise.llm.common import stored
+
+    sigs = [[(7 * k + b) % 5 if k % 3 else 0 for b in range(line_dedup.BINS)] for k in range(60)]
+    found = stored(spark.createDataFrame([(k, 40 + k, x) for k, x in enumerate(sigs)], "id long, size long, sig array<int>"), "found")
+    members = line_dedup.bucket_members(found, line_dedup.Settings(block=4))
+    rows = members.collect()
+    want = {}
+    for k, x in enumerate(sigs):
+        for t, band in enumerate(line_dedup.BANDS):
+            if any(x[b] for b in band):
+                want.setdefault((t, *[x[b] for b in band]), []).append(k)
+    want = {(key[0], k, max(-(-len(ks) // 4), 1)) for key, ks in want.items() if len(ks) > 1 for k in ks}
+    assert {(r.band, r.id, r.blocks) for r in rows} == want and len(rows) == len(want)
+    assert all(r.size == 40 + r.id for r in rows)
+    assert "ReusedExchange" in members._jdf.queryExecution().executedPlan().toString()
