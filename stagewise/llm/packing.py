@@ -29,8 +29,12 @@ WINDOW = 4096
 END_ID = 2
 #: Remainders of a group: one group leaves one or a few windows with slack.
 GROUP = 20_000
-#: Strings that a Python worker remembers, in two halves of this size; fewer need less memory and more time.
-REMEMBERED = 400_000
+#: With more strings than this a Python worker remembers those of its last batch only; fewer need less memory and more time.
+REMEMBERED = 1_000_000
+#: A character that is one id of its own between blanks; strings that hold it are encoded alone.
+MARK = "\x01"
+#: Strings that one text for the library holds, and strings of one call.
+JOINED, AT_ONCE = 256, 256 * 64
 #: Texts whose strings are looked up together.
 TEXTS = 10_000
 
@@ -39,8 +43,11 @@ class WordIds:
     """Ids of texts as little-endian 32-bit numbers, by the tokenizers library.
 
     Neither the normalizer nor the pre-split of this vocabulary joins text
-    across a blank or line feed, so the strings between them are encoded one
-    by one: once for each batch, and not at all while they are remembered.
+    across a blank or line feed, so the strings between them are encoded apart
+    from their texts: once for each batch, and not at all while they are
+    remembered. Many go to the library in one call, with MARK between blanks
+    as a string of its own whose id shows where each one ends. Strings and
+    their ids stay in Arrow arrays.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -50,33 +57,50 @@ class WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._known: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        mark, marked = self._encoded([MARK, f"a {MARK} b {MARK}"])
+        self._mark = mark[0]
+        if len(mark) != 1 or (marked == mark[0]).tolist() != [False, True, False, True]:
+            raise ValueError(f"{path} doesn't encode blank-separated strings one by one")
+        self.forget()
 
     def forget(self) -> None:
-        self._known, self._older = {}, {}
-
-    def _ids_of(self, strings: list[str]) -> list[bytes]:
-        """The ids of each of these distinct strings."""
-        known, older = self._known, self._older
-        new = [s for s in strings if s not in known and s not in older]
-        found = {}
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
-            for s, e in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                found[s] = np.asarray(e.ids, "<u4").tobytes()
-        out = []
-        for s in strings:
-            ids = known.get(s)
-            if ids is None:
-                ids = older.get(s)
-                if ids is None:
-                    ids = found[s]
-                if len(s) < 64:
-                    known[s] = ids
-            out.append(ids)
-        if len(known) >= self._remembered:
-            self._older, self._known = known, {}
+        self._strings, self._ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, "<u4") for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _apart(self, strings: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of the strings, none of which holds MARK, and how many each one has."""
+        between = pa.scalar(f" {MARK} ", pa.large_string())
+        ids, sizes = [], []
+        for k in range(0, len(strings), AT_ONCE):
+            some = strings.slice(k, AT_ONCE)
+            starts = pa.array([*range(0, len(some), JOINED), len(some)], pa.int64())
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(starts, some), between)
+            flat = np.concatenate(self._encoded([f"{x} {MARK}" for x in joined.to_pylist()]))
+            ends = flat == self._mark
+            ids.append(flat[~ends])
+            sizes.append(np.diff(np.flatnonzero(ends), prepend=-1) - 1)
+        return ids, sizes
+
+    def _ids_of(self, strings: pa.Array) -> pa.Array:
+        """The ids (binary) of each of these distinct strings."""
+        new = strings.filter(pc.is_null(pc.index_in(strings, value_set=self._strings)))
+        if len(new):
+            marked = pc.match_substring(new, MARK)
+            plain, rest = new.filter(pc.invert(marked)), new.filter(marked)
+            ids, sizes = self._apart(plain)
+            alone = self._encoded(rest.to_pylist())
+            flat = np.concatenate([*ids, *alone])
+            size = np.concatenate([*sizes, [len(x) for x in alone]]).astype(np.int64)
+            ends = pa.py_buffer(4 * np.concatenate([[0], np.cumsum(size)]))
+            found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(new), [None, ends, pa.py_buffer(flat)])
+            self._strings = pa.concat_arrays([self._strings, plain, rest])
+            self._ids = pa.concat_arrays([self._ids, found])
+        out = self._ids.take(pc.index_in(strings, value_set=self._strings))
+        if len(self._strings) > self._remembered:  # those of this batch stay
+            short = pc.less(pc.binary_length(strings), 64)
+            self._strings, self._ids = strings.filter(short), out.filter(short)
         return out
 
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
@@ -84,19 +108,13 @@ class WordIds:
         texts = pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), "\n", " ")
         lists = pc.split_pattern(texts, " ")
         strings = lists.flatten().dictionary_encode()
-        ids = self._ids_of(strings.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        start = np.concatenate([[0], np.cumsum(sizes)])
-        index = strings.indices.to_numpy()
-        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
-        at = 0
-        for end in ends:
-            own = index[at:end]
+        ids = self._ids_of(strings.dictionary).take(strings.indices)
+        starts = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1]
+        raw = memoryview(ids.buffers()[2] or b"")
+        at = starts[0]
+        for end in starts[np.cumsum(pc.list_value_length(lists).to_numpy())]:
+            yield raw[at:end].tobytes()
             at = end
-            n = sizes[own]
-            before = np.cumsum(n) - n
-            yield flat[np.repeat(start[own] - before, n) + np.arange(n.sum())].tobytes()
 
 
 @lru_cache(maxsize=2)
