@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed, released, ship, stored
@@ -171,30 +171,31 @@ def signatures(lines: DataFrame, s: Settings) -> DataFrame:
     return out.select("h1", "h2", "n", "size", sig.alias("sig")).withColumn("id", F.monotonically_increasing_id())
 
 
-def _bands(sig: Column) -> Column:
-    """One key for each band, null for an empty one."""
-    bins = [F.get(sig, k) for k in range(BINS)]
-    keys = []
-    for k, band in enumerate(BANDS):
-        some = bins[band[0]] != 0
-        for b in band[1:]:
-            some = some | (bins[b] != 0)
-        keys.append(F.when(some, F.xxhash64(F.lit(k), *[bins[b] for b in band])))
-    return F.array(*keys)
+def _banded(found: DataFrame) -> DataFrame:
+    """id, size and bucket of every band of a line that isn't empty; a bucket's lowest four bits are the band's number.
+
+    The bands are rows of a literal and one expression makes the key: the code of twelve is longer than Java compiles.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), *[F.lit(b).alias(f"b{j}") for j, b in enumerate(band)]) for k, band in enumerate(BANDS)]))
+    bins = [F.get("sig", F.col(f"_band.b{j}")) for j in range(len(BANDS[0]))]
+    key = F.xxhash64("_band.k", *bins).bitwiseAND(-16).bitwiseOR(F.col("_band.k"))
+    met = found.select("id", "size", "sig", each.alias("_band")).where(F.greatest(*bins) != 0)
+    return met.select("id", "size", key.alias("bucket"))
 
 
 def bucket_members(found: DataFrame, s: Settings) -> DataFrame:
     """(bucket, band, blocks, id, size) of the lines that share a band with another line; ``blocks`` of the bucket.
 
-    The count of the buckets and the join with it use all columns of one shuffle, so Spark makes the bands and deals them once.
+    The count of the buckets and the join with it use all columns of one shuffle, so Spark makes the bands and deals them
+    once; most buckets hold one line, so the shared ones are hashed and the lines are not sorted.
     """
-    met = found.select("id", "size", F.posexplode(_bands(F.col("sig"))).alias("band", "bucket")).where("bucket IS NOT NULL")
-    met = met.repartition("bucket", "band")
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / s.block), F.ceil(F.sum("size") / s.block_bytes)).cast("int")
-    shared = met.groupBy("bucket", "band").agg(F.min("id").alias("_low"), F.max("id").alias("_high"), blocks.alias("blocks")).where("_low < _high")
-    shared = shared.select(F.col("bucket").alias("_bucket"), F.col("band").alias("_band"), "blocks")
-    same = (F.col("bucket") == F.col("_bucket")) & (F.col("band") == F.col("_band"))
-    return met.join(shared, same).select("bucket", "band", "blocks", "id", "size")
+    met = _banded(found).repartition("bucket")
+    blocks = F.greatest(F.ceil(F.col("_n") / s.block), F.ceil(F.col("_bytes") / s.block_bytes)).cast("int")
+    of = [F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_bytes"), F.min("id").alias("_low"), F.max("id").alias("_high")]
+    shared = met.groupBy("bucket").agg(*of).where("_low < _high")
+    shared = shared.select(F.col("bucket").alias("_bucket"), blocks.alias("blocks")).hint("shuffle_hash")
+    both = met.join(shared, F.col("bucket") == F.col("_bucket"))
+    return both.select("bucket", F.col("bucket").bitwiseAND(15).cast("int").alias("band"), "blocks", "id", "size")
 
 
 def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
