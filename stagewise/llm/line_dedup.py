@@ -3,29 +3,27 @@
 A line is the set of its overlapping 12-byte shingles. One pass over the texts
 makes the signature of every line: each shingle hash falls into one of BINS
 bins and the smallest of a bin is kept. The bins lie on a 4 x 4 grid whose
-rows, columns and diagonals, four bins each, are the bands. All lines that
-share a band are compared: a large bucket is split into blocks and every pair
-of blocks is a unit of work, so no pair is left out and none is emitted. Pairs
-with enough equal bins meet the exact Jaccard similarity, which decides, unless
-the unit's links join them already; a unit returns a spanning forest.
-Union-find joins the links to components and the first occurrence of each
-component stays.
-
-Shingle hashing, pairs and verification are numpy in Arrow batches (README has the
-figures of the form with generated code); all else is DataFrame functions.
+rows, columns and diagonals, four bins each, are the bands. Lines that share a
+band meet the exact Jaccard similarity, which decides:
+in large buckets first with some lines there, then all pairs of a bucket
+that these links don't join. Bitmaps of the shingles refuse most pairs that
+cannot be similar enough. A large bucket is split into blocks and every pair
+of blocks is a unit of work, so no pair is left out. Union-find joins the links
+to components and the first occurrence of each component stays.
+
+All steps are DataFrame functions; ``line_bins`` and ``shingle_set`` in numpy
+are for comparisons by brute force.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, released, ship, stored
+from .common import packed, stored
 from .components import components
 from .url_filter import BITS_A_KEY, WORDS, bloom_blocks, bloom_hit
 
@@ -37,58 +35,69 @@ BANDS = (
     *[[4 * r + (r + c) % 4 for r in range(4)] for c in range(4)],
 )
 BLANK = " \t\r\x0b\x0c"
-#: Odd multipliers of the polynomial over a shingle's bytes and of the final mixing.
-STEP, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-#: Bytes that are hashed together: bounds a task's memory, however long a line is.
+#: The primes of XXH64.
+PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+#: Shingles of a row of ``signatures``.
+AT_ONCE = 4
+#: Words of a line's bitmap.
+MAP = 32
+#: Above the hashes of a bin that are put first (see ``signatures``).
+ANOTHER = (1 << 60) - (1 << 63)
+#: Bytes that ``line_bins`` hashes together.
 CHUNK = 1 << 20
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``hubs``: lines of a large unit whose pairs are verified first, as their links make others needless.
-    ``small``: pairs of a unit of up to so many lines are listed, of a larger one they are a matrix.
+    """``hubs``: lines of a bucket of more than ``small`` lines whose pairs are verified first, as their links make others needless.
     ``block``, ``block_bytes``: lines of a block and their bytes, about; larger buckets are split, not cut.
-    ``equal``: a pair must agree in so many bins to be verified; at a similarity of 0.8 fewer than six of 16
-    agree with a chance of 0.0002 (fewer than nine: 0.027). ``filter_blocks``: a filter of
-    up to this many 40-byte blocks is broadcast; with more the lines are joined without it."""
+    ``filter_blocks``: a filter of up to this many 40-byte blocks is broadcast; with more the lines are joined without it."""
 
     shingle: int = 12
     percent: int = 80
-    hubs: int = 8
+    hubs: int = 4
     small: int = 32
     block: int = 1024
     block_bytes: int = 2_000_000
-    equal: int = 6
     filter_blocks: int = 1_000_000
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(MIX)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(MIX)
-    return h ^ (h >> np.uint64(32))
-
-
 def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of each ``width`` bytes in a row of ``data`` (of all its bytes, if fewer)."""
-    values = data.astype(np.uint64) + np.uint64(1)
+    """XXH64 (seed 42, as ``xxhash64`` of Spark) of each ``width`` bytes, at most 31, in a row of ``data`` (of all its bytes, if fewer)."""
     width = min(width, len(data))
-    out, done, part, size, power = None, 0, values, 1, STEP
-    while True:  # powers of two of the width, smallest first; each is put before what is done
-        if width & size:
-            if out is None:
-                out = part
-            else:
-                n = len(data) - size - done + 1
-                out = part[:n] * np.uint64(pow(STEP, done, 1 << 64)) + out[size : size + n]
-            done += size
-        if done == width:
-            return _mixed(out)
-        part = part[: len(part) - size] * np.uint64(power) + part[size:]
-        size, power = 2 * size, power * power % (1 << 64)
+    return _hashed(np.lib.stride_tricks.sliding_window_view(data, width))
+
+
+def _hashed(rows: np.ndarray) -> np.ndarray:
+    """XXH64 of each row of a matrix of bytes, of at most 31 columns."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in PRIMES)
+    n, width = rows.shape
+
+    def turned(h: np.ndarray, k: int) -> np.ndarray:
+        return (h << np.uint64(k)) | (h >> np.uint64(64 - k))
+
+    def number(start: int, size: int) -> np.ndarray:
+        return sum(rows[:, start + k].astype(np.uint64) << np.uint64(8 * k) for k in range(size))
+
+    h, at = np.full(n, (42 + PRIMES[4] + width) % (1 << 64), np.uint64), 0
+    while at + 8 <= width:
+        h = turned(h ^ (turned(number(at, 8) * p2, 31) * p1), 27) * p1 + p4
+        at += 8
+    if at + 4 <= width:
+        h = turned(h ^ (number(at, 4) * p1), 23) * p2 + p3
+        at += 4
+    for k in range(at, width):
+        h = turned(h ^ (number(k, 1) * p5), 11) * p1
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
 
 
 def line_bins(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
-    """The signature of each line (data[offsets[k]:offsets[k + 1]], not empty): smallest hash of each bin, 0 for none."""
+    """The signature of each line (data[offsets[k]:offsets[k + 1]], not empty): smallest hash of each bin, 0 for none.
+
+    ``signatures`` in numpy, for comparisons by brute force; no query runs it.
+    """
     n = len(offsets) - 1
     out = np.full(n * BINS, 1 << 31, np.int64)
 
@@ -112,9 +121,7 @@ def line_bins(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
         short = np.flatnonzero(lengths == size)
         for k in range(0, len(short), CHUNK):
             some = short[k : k + CHUNK]
-            values = data[offsets[some][:, None] + np.arange(size)].astype(np.uint64) + np.uint64(1)
-            powers = np.array([pow(STEP, size - 1 - j, 1 << 64) for j in range(size)], np.uint64)
-            add(some, _mixed((values * powers).sum(1, dtype=np.uint64)))
+            add(some, _hashed(data[offsets[some][:, None] + np.arange(size)]))
     out[out == 1 << 31] = 0
     return out.reshape(n, BINS)
 
@@ -125,15 +132,6 @@ def shingle_set(line: bytes, width: int) -> np.ndarray:
     return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether the exact Jaccard similarity of two shingle sets is at least the threshold."""
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = np.sort(np.concatenate([a, b]))
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return 100 * common >= percent * (len(a) + len(b) - common)
-
-
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, pos, line (binary, without outer blanks), h1, h2 of every line with a word.
 
@@ -150,25 +148,42 @@ def lines_of(docs: DataFrame) -> DataFrame:
     )
 
 
+def shingle_hash(line: Column, at: Column, s: Settings) -> Column:
+    """The 64-bit hash of the shingle at a place (from 1) of a line."""
+    return F.xxhash64(line.substr(at, F.lit(s.shingle)))
+
+
+def last_shingle(line: Column, s: Settings) -> Column:
+    """Place (from 1) of a line's last shingle; one of fewer bytes is a shingle of its own."""
+    return F.greatest(F.length(line) - (s.shingle - 1), F.lit(1))
+
+
 def signatures(lines: DataFrame, s: Settings) -> DataFrame:
-    """h1, h2, n (occurrences), size in bytes, signature and an id of every distinct line."""
-    ship(lines.sparkSession)
-    width, pairs = s.shingle, range(BINS // 2)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            line = b.column("line").cast(pa.large_binary())
-            offsets = np.frombuffer(line.buffers()[1], np.int64)[line.offset : line.offset + len(line) + 1]
-            bins = line_bins(np.frombuffer(line.buffers()[2] or b"", np.uint8), offsets, width) if len(line) else np.zeros((0, BINS), np.int64)
-            two = [pa.array(bins[:, 2 * k] | bins[:, 2 * k + 1] << 32) for k in pairs]  # equal lines, equal pairs of bins
-            size = pa.array(np.diff(offsets))
-            yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), size, *two], names=["h1", "h2", "size", *[f"p{k}" for k in pairs]])
-
-    schema = "h1 long, h2 long, size long, " + ", ".join(f"p{k} long" for k in pairs)
-    rows = lines.select("h1", "h2", "line").mapInArrow(released(run), schema)
-    out = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("size"), *[F.min(f"p{k}").alias(f"p{k}") for k in pairs])
-    sig = F.array(*[x.cast("int") for k in pairs for x in (F.col(f"p{k}").bitwiseAND(0x7FFFFFFF), F.shiftright(f"p{k}", 32))])
-    return out.select("h1", "h2", "n", "size", sig.alias("sig")).withColumn("id", F.monotonically_increasing_id())
+    """h1, h2, n (occurrences), size in bytes, signature and an id of every distinct line.
+
+    The highest four bits of a hash are its bin. With a bin's number put over them they are least for the bin's own hashes,
+    so the smallest of all is the bin's smallest, unless it has none: then these bits show another bin. That
+    spares sixteen conditions a hash. A row holds AT_ONCE shingles; the last row of a line repeats its last one.
+    """
+    line, last = F.col("line"), F.col("last")
+    rows = lines.select("h1", "h2", "line", last_shingle(line, s).alias("last"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), last, F.lit(AT_ONCE))).alias("at"))
+    places = [F.col("at"), *[F.least(F.col("at") + k, last) for k in range(1, AT_ONCE)]]
+    rows = rows.select(
+        "h1", "h2", F.length(line).alias("size"), (F.col("at") == 1).cast("long").alias("new"),
+        *[shingle_hash(line, at, s).alias(f"s{k}") for k, at in enumerate(places)],
+    )
+    hashes = [F.col(f"s{k}") for k in range(AT_ONCE)]
+    least = [F.min(F.least(*[x.bitwiseXOR(F.lit(_put_first(k))) for x in hashes])).alias(f"m{k}") for k in range(BINS)]
+    out = rows.groupBy("h1", "h2").agg(F.sum("new").alias("n"), F.min("size").alias("size"), *least)
+    value = [(F.shiftright(f"m{k}", 29).bitwiseAND(0x7FFFFFFE) + 1).cast("int") for k in range(BINS)]
+    sig = [F.when(F.col(f"m{k}") < F.lit(ANOTHER), x).otherwise(F.lit(0)) for k, x in enumerate(value)]
+    return out.select("h1", "h2", "n", "size", F.array(*sig).alias("sig")).withColumn("id", F.monotonically_increasing_id())
+
+
+def _put_first(k: int) -> int:
+    """A long that makes the hashes of bin ``k`` the least longs, in their order."""
+    return (k << 60) - (1 << 63) if k < BINS // 2 else (k - BINS // 2) << 60
 
 
 def _banded(found: DataFrame) -> DataFrame:
@@ -184,7 +199,7 @@ def _banded(found: DataFrame) -> DataFrame:
 
 
 def bucket_members(found: DataFrame, s: Settings) -> DataFrame:
-    """(bucket, band, blocks, id, size) of the lines that share a band with another line; ``blocks`` of the bucket.
+    """(bucket, band, blocks, lines, id, size) of the lines that share a band with another line; blocks and lines of the bucket.
 
     The count of the buckets and the join with it use all columns of one shuffle, so Spark makes the bands and deals them
     once; most buckets hold one line, so the shared ones are hashed and the lines are not sorted.
@@ -193,9 +208,9 @@ def bucket_members(found: DataFrame, s: Settings) -> DataFrame:
     blocks = F.greatest(F.ceil(F.col("_n") / s.block), F.ceil(F.col("_bytes") / s.block_bytes)).cast("int")
     of = [F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_bytes"), F.min("id").alias("_low"), F.max("id").alias("_high")]
     shared = met.groupBy("bucket").agg(*of).where("_low < _high")
-    shared = shared.select(F.col("bucket").alias("_bucket"), blocks.alias("blocks")).hint("shuffle_hash")
+    shared = shared.select(F.col("bucket").alias("_bucket"), blocks.alias("blocks"), F.col("_n").alias("lines")).hint("shuffle_hash")
     both = met.join(shared, F.col("bucket") == F.col("_bucket"))
-    return both.select("bucket", F.col("bucket").bitwiseAND(15).cast("int").alias("band"), "blocks", "id", "size")
+    return both.select("bucket", F.col("bucket").bitwiseAND(15).cast("int").alias("band"), "blocks", "lines", "id", "size")
 
 
 def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
@@ -210,201 +225,76 @@ def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     return met.select("doc_id", "text_hash", "pos", "id", F.when(F.col("fuzzy"), F.col("line")).alias("line"))
 
 
-def units(members: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
-    """(bucket, i, j, right, band, id, sig): lines of every bucket, dealt to the pairs (i, j) of its blocks."""
+def _hashes(line: Column, s: Settings) -> Column:
+    """The distinct shingle hashes of a line."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), last_shingle(line, s)), lambda at: shingle_hash(line, at, s)))
+
+
+def known_lines(texts: DataFrame, s: Settings) -> DataFrame:
+    """id, n (distinct shingles), a bitmap in MAP words, a bit for each shingle, and n less its bits, of the lines ``texts`` (id, line)."""
+    h = F.col("h")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+    word = F.shiftright(h, 6).bitwiseAND(MAP - 1)
+    rows = texts.select("id", F.explode(_hashes(F.col("line"), s)).alias("h")).select("id", bit.alias("bit"), word.alias("word"))
+    words = [F.bit_or(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(MAP)]
+    out = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *words)
+    return out.withColumn("more", F.col("n") - sum(F.bit_count(f"w{k}") for k in range(MAP)))
+
+
+def near(s: Settings) -> Column:
+    """Whether the bitmaps of known lines ``x`` and ``y`` allow the similarity.
+
+    A bit of one map alone stands for a shingle of that line alone, so no pair that is similar enough is refused.
+    """
+    both = sum(F.bit_count(F.col(f"x.w{k}").bitwiseAND(F.col(f"y.w{k}"))) for k in range(MAP))
+    common = F.least("x.more", "y.more") + both
+    return s.percent * (F.col("x.n") + F.col("y.n")) <= (100 + s.percent) * common
+
+
+def verified(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b) whose exact Jaccard similarity is at least the threshold; ``pairs``: a, b and shingles of each."""
+    for side in ("a", "b"):
+        own = texts.select(F.col("id").alias("_id"), F.col("line").alias(f"line_{side}"))
+        pairs = pairs.join(own, F.col(side) == F.col("_id")).drop("_id")
+    # named, so that small pairs with much work are not joined to few tasks
+    pairs = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
+    union = F.size(F.array_distinct(F.concat(_hashes(F.col("line_a"), s), _hashes(F.col("line_b"), s))))
+    # n_a + n_b - union are common; each number is named once, so none is computed twice
+    return pairs.where(100 * (F.col("n_a") + F.col("n_b")) >= (100 + s.percent) * union).select("a", "b")
+
+
+def units(members: DataFrame) -> DataFrame:
+    """(bucket, i, j, right, id, root): lines of every bucket, dealt to the pairs (i, j) of its blocks."""
     mine = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
     met = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     i, j = F.least("mine", "other"), F.greatest("mine", "other")
-    met = met.select("bucket", i.alias("i"), j.alias("j"), (F.col("mine") == j).alias("right"), "band", F.col("id").alias("_id"))
-    return met.join(found.select("id", "sig"), F.col("_id") == F.col("id")).select("bucket", "i", "j", "right", "band", "id", "sig")
-
-
-def _whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Tables of whole units, which come sorted by (bucket, i, j), and where each unit starts (and the last one ends)."""
-    left: list[pa.RecordBatch] = []
-    last = None
-
-    def table() -> tuple[pa.Table, np.ndarray]:
-        out = pa.Table.from_batches(left).combine_chunks()
-        keys = [out.column(c).to_numpy() for c in ("bucket", "i", "j")]
-        new = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], 0)) + 1
-        return out, np.concatenate([[0], new, [out.num_rows]])
-
-    for b in batches:
-        if not b.num_rows:
-            continue
-        keys = [b.column(c).to_numpy() for c in ("bucket", "i", "j")]
-        new = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], 0)) + 1
-        if left and tuple(k[0] for k in keys) != last:
-            yield table()
-            left = []
-        at = int(new[-1]) if len(new) else 0
-        if at:
-            left.append(b.slice(0, at))
-            yield table()
-            left = []
-        left.append(b.slice(at))
-        last = tuple(k[-1] for k in keys)
-    if left:
-        yield table()
-
-
-def _listed_pairs(sig: np.ndarray, starts: np.ndarray, band: np.ndarray, right: np.ndarray, cross: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (a, b) of the pairs of small units that agree in enough bins and share no band before the unit's."""
-    size = np.diff(starts)
-    end = np.repeat(np.where(size <= s.small, starts[1:], 0), size)  # none of a large unit
-    found = []
-    for step in range(1, s.small):
-        a = np.flatnonzero(np.arange(step, len(end) + step) < end)
-        if not len(a):
-            break
-        a = a[~cross[a] | (right[a] != right[a + step])]
-        for k in range(0, len(a), CHUNK // BINS):
-            x = a[k : k + CHUNK // BINS]
-            same = sig[x] == sig[x + step]
-            enough = same.sum(1) >= s.equal
-            x, same = x[enough], same[enough]
-            first = np.full(len(x), len(BANDS))
-            for t in range(len(BANDS) - 1, -1, -1):
-                first[same[:, BANDS[t]].all(1) & sig[x][:, BANDS[t]].any(1)] = t
-            x = x[first == band[x]]
-            found.append((x, x + step))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((b, a))
-    return a[order], b[order]
-
-
-def _pair_matrix(sig: np.ndarray, band: int, right: np.ndarray, cross: bool, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same of a large unit: its rows on either side and whether each pair counts."""
-    x, y = (np.flatnonzero(~right), np.flatnonzero(right)) if cross else (np.arange(len(sig)),) * 2
-    same = [sig[x, k][:, None] == sig[y, k][None, :] for k in range(BINS)]
-    pairs = np.sum(same, 0, dtype=np.uint8) >= s.equal
-    if not cross:
-        pairs &= np.triu(np.ones_like(pairs), 1)
-    for t, bins in enumerate(BANDS[: band + 1]):
-        shared = same[bins[0]] & same[bins[1]] & same[bins[2]] & same[bins[3]] & sig[x][:, bins].any(1)[:, None]
-        pairs &= shared if t == band else ~shared
-    return x, y, pairs
-
-
-def _unit_columns(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Signatures, bands, sides and whether a row's unit is of two blocks."""
-    sig = table.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, BINS)
-    return sig, table.column("band").to_numpy(), table.column("right").to_numpy(), table.column("i").to_numpy() != table.column("j").to_numpy()
-
-
-def _needed(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """Rows of a unit with a pair that counts there."""
-    for table, starts in _whole_units(batches):
-        sig, band, right, cross = _unit_columns(table)
-        used = np.zeros(len(sig), bool)
-        a, b = _listed_pairs(sig, starts, band, right, cross, s)
-        used[a] = used[b] = True
-        for k in np.flatnonzero(np.diff(starts) > s.small):
-            low, high = starts[k], starts[k + 1]
-            x, y, pairs = _pair_matrix(sig[low:high], band[low], right[low:high], cross[low], s)
-            used[low + x[pairs.any(1)]] = True
-            used[low + y[pairs.any(0)]] = True
-        if used.any():
-            yield from table.take(pa.array(np.flatnonzero(used))).combine_chunks().to_batches()
-
-
-def _similar_pairs(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray, pairs: np.ndarray, percent: int) -> np.ndarray:
-    """Which of the pairs are similar enough, by products of 0/1 matrices."""
-    size = np.array([len(k) for k in sets])
-    at = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    row = np.repeat(np.arange(len(sets)), size)
-    often = np.bincount(at)
-    shared = often[at] > 1
-    at, row = (np.cumsum(often > 1) - 1)[at[shared]], row[shared]
-    order = np.argsort(at, kind="stable")
-    at, row = at[order], row[order]
-    common = np.zeros(pairs.shape, np.int32)
-    for start in range(0, int(at[-1]) + 1 if len(at) else 0, 2048):
-        a, b = np.searchsorted(at, (start, start + 2048))
-        has = np.zeros((len(sets), 2048), np.float32)
-        has[row[a:b], at[a:b] - start] = 1
-        common += (has[x] @ has[y].T).astype(np.int32)
-    return pairs & (100 * common.astype(np.int64) >= percent * (size[x][:, None] + size[y][None, :] - common))
-
-
-def _forest(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray, pairs: np.ndarray, s: Settings) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs (rows ``x`` by ``y``) that are similar enough."""
-    root, out, pairs = np.arange(len(sets)), [], pairs.copy()
-
-    def link(a: int, others: np.ndarray) -> None:
-        others = others[root[others] != root[a]]
-        roots, at = np.unique(root[others], return_index=True)
-        out.extend((a, int(b)) for b in others[at])
-        root[np.isin(root, roots)] = root[a]
-
-    def checked(k: int) -> None:
-        a = int(x[k])
-        others = y[pairs[k] & (root[y] != root[a])]
-        link(a, others[[similar(sets[a], sets[b], s.percent) for b in others]] if len(others) else others)
-        pairs[k] = False
-
-    for _ in range(s.hubs):
-        checked(int(pairs.sum(1).argmax()))
-        pairs &= root[x][:, None] != root[y][None, :]
-    if np.count_nonzero(pairs) >= 8 * len(sets):
-        pairs = _similar_pairs(sets, x, y, pairs, s.percent)
-        for k in np.flatnonzero(pairs.any(1)):
-            link(int(x[k]), y[pairs[k]])
-    else:
-        for k in np.flatnonzero(pairs.any(1)):
-            checked(int(k))
-    return out
-
-
-def _linked(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """(a, b) of a spanning forest of every unit's links; a row has its line."""
-    for table, starts in _whole_units(batches):
-        sig, band, right, cross = _unit_columns(table)
-        lines, ids = table.column("line"), table.column("id").to_numpy()
-        found: list[tuple[int, int]] = []
-        root: dict[int, int] = {}
-        sets: dict[int, np.ndarray] = {}
-
-        def top(k: int, root: dict[int, int] = root) -> int:
-            while k in root:
-                k = root[k]
-            return k
-
-        until, rows = 0, starts[1:]
-        for a, b in zip(*(p.tolist() for p in _listed_pairs(sig, starts, band, right, cross, s)), strict=True):
-            if a >= until:  # another unit
-                until, sets = rows[np.searchsorted(rows, a, "right")], {}
-            if (u := top(a)) == (v := top(b)):
-                continue
-            for k in (a, b):
-                if k not in sets:
-                    sets[k] = shingle_set(lines[k].as_py(), s.shingle)
-            if similar(sets[a], sets[b], s.percent):
-                root[max(u, v)] = min(u, v)
-                found.append((a, b))
-        for k in np.flatnonzero(np.diff(starts) > s.small):
-            low, high = starts[k], starts[k + 1]
-            x, y, pairs = _pair_matrix(sig[low:high], band[low], right[low:high], cross[low], s)
-            own = [shingle_set(z.as_py(), s.shingle) for z in lines.slice(low, high - low)]
-            found += [(low + a, low + b) for a, b in _forest(own, x, y, pairs, s)]
-        if found:
-            a, b = np.array(found).T
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
-
-
-def links(members: DataFrame, found: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Verified links (a, b) that join the members of each bucket; ``texts``: id, line."""
-    key = ("bucket", "i", "j")
-    work = units(members, found, s)
-    schema = work.schema
-    work = work.repartition(*key).sortWithinPartitions(*key)
-    work = stored(work.mapInArrow(released(lambda b: _needed(b, s)), schema), "line-units", "zstd")
-    own = texts.select(F.col("id").alias("_id"), "line")
-    work = work.join(own, F.col("id") == F.col("_id")).drop("_id").repartition(*key).sortWithinPartitions(*key)
-    return stored(work.mapInArrow(released(lambda b: _linked(b, s)), "a long, b long"), "line-links")
+    return met.select("bucket", i.alias("i"), j.alias("j"), (F.col("mine") == j).alias("right"), "id", "root")
+
+
+def links(members: DataFrame, known: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Verified links (a, b) that join the members of each bucket; ``texts``: id, line.
+
+    Lines of large buckets meet some hubs of theirs first; then come all pairs of each bucket that these links don't join.
+    """
+    ends = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
+    sizes = [F.when(F.col("x.id") < F.col("y.id"), F.col(f"{p}.n")).otherwise(F.col(f"{q}.n")) for p, q in ("xy", "yx")]
+    pair = [*ends, sizes[0].alias("n_a"), sizes[1].alias("n_b")]
+    large = members.where(F.col("lines") > s.small).select("bucket", F.col("id").alias("_a"))
+    drawn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("_a", "bucket"), "_a"))
+    hubs = large.withColumn("_rank", drawn).where(F.col("_rank") <= s.hubs).select(F.col("bucket").alias("_bucket"), F.col("_a").alias("_b"))
+    met = large.join(hubs, (F.col("bucket") == F.col("_bucket")) & (F.col("_a") != F.col("_b")))
+    met = met.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
+    met = met.join(known.alias("x"), F.col("_a") == F.col("x.id")).join(known.alias("y"), F.col("_b") == F.col("y.id"))
+    good = stored(verified(met.where(near(s)).select(*pair), texts, s), "line-links")
+    roots = components(good).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    met = members.join(roots, F.col("id") == F.col("_node"), "left").withColumn("root", F.coalesce("_root", "id"))
+    met = units(met).withColumnRenamed("id", "_id").join(known, F.col("_id") == F.col("id")).drop("_id")
+    unit = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+    within = (F.col("x.i") == F.col("x.j")) & (F.col("x.id") < F.col("y.id"))
+    across = (F.col("x.i") < F.col("x.j")) & ~F.col("x.right") & F.col("y.right")
+    met = met.alias("x").join(met.alias("y"), unit & (within | across) & (F.col("x.root") != F.col("y.root")) & near(s))
+    pairs = stored(met.select(*pair).distinct(), "line-pairs")
+    return good.unionByName(stored(verified(pairs, texts, s), "line-links"))
 
 
 def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -422,8 +312,9 @@ def removals(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     )
     wanted = stored(wanted.where("fuzzy OR n > 1").drop("n"), "line-wanted")
     seen = stored(occurrences(lines, wanted, s), "line-occurrences", "zstd")
-    texts = seen.where("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line"))
-    roots = components(links(members, found, texts, s)).withColumnRenamed("node", "_id")
+    texts = stored(seen.where("line IS NOT NULL").groupBy("id").agg(F.first("line").alias("line")), "line-texts", "zstd")
+    known = stored(known_lines(texts, s), "line-maps", "zstd")
+    roots = components(links(members, known, texts, s)).withColumnRenamed("node", "_id")
     of = seen.drop("line").join(roots, F.col("id") == F.col("_id"), "left")
     of = of.withColumn("root", F.coalesce("root", "id")).drop("_id", "id")
     place = F.struct("doc_id", "text_hash", "pos")

@@ -1,0 +1,64 @@
+"""Line deduplication runs DataFrame functions only, with the signatures and pairs of plain Python."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+
+from stagewise.llm import line_dedup
+from stagewise.llm.common import stored
+
+
+def some_lines() -> list[str]:
+    draw = random.Random(11)
+    lines = ["a", "eleven byte", "twelve bytes", "thirteen byte", "\u00e9" * 30, "ab" * 200]
+    return lines + ["".join(draw.choices("abcdefgh \u00fc", k=draw.randint(1, 400))) for _ in range(60)]
+
+
+def test_signatures_are_those_of_numpy(spark):
+    texts = some_lines()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lines = line_dedup.lines_of(docs)
+    got = line_dedup.signatures(lines, line_dedup.Settings())
+    sig = {(r.h1, r.h2): list(r.sig) for r in got.collect()}
+    rows = lines.collect()
+    data = [bytes(r.line) for r in rows]
+    want = line_dedup.line_bins(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), 12)
+    assert all(sig[r.h1, r.h2] == list(w) for r, w in zip(rows, want, strict=True))
+
+
+def test_no_step_runs_python(spark, monkeypatch):
+    plans = []
+
+    def seen(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, *rest)
+
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    base = " ".join(f"word{k}" for k in range(60))
+    texts = [base, base + " more", "unlike " * 9 + "line"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    path = stored(docs, "native-lines")
+    rows = line_dedup.line_query(path).collect()
+    assert {r.doc_id: r.n_removed for r in rows} == {0: 0, 1: 1, 2: 0}
+    assert plans and not [p for p in plans if re.search("Python|Pandas|Arrow", p)]
+
+
+def test_bitmaps_refuse_no_pair_that_is_similar_enough(spark):
+    s = line_dedup.Settings()
+    draw = random.Random(5)
+    lines = ["".join(draw.choices("abcdefghij", k=300))]
+    for k in range(24):  # up to 24 shingles differ, J from 1 down to 0.6
+        x = list(lines[0])
+        for at in draw.sample(range(300), 1 + k // 6):
+            x[at] = "#"
+        lines.append("".join(x))
+    texts = stored(spark.createDataFrame([(k, x.encode()) for k, x in enumerate(lines)], "id long, line binary"), "texts")
+    known = stored(line_dedup.known_lines(texts, s), "maps")
+    met = known.alias("x").join(known.alias("y"), line_dedup.near(s)).selectExpr("x.id AS a", "y.id AS b").collect()
+    sets = [{x[k : k + 12] for k in range(len(x) - 11)} for x in lines]
+    want = {(a, b) for a, p in enumerate(sets) for b, q in enumerate(sets) if 100 * len(p & q) >= 80 * len(p | q)}
+    got = {tuple(r) for r in met}
+    assert want <= got and len(got) < len(sets) ** 2
