@@ -5,8 +5,8 @@ makes the signature of every line: each shingle hash falls into one of BINS
 bins and the smallest of a bin is kept. The bins lie on a 4 x 4 grid whose
 rows, columns and diagonals, four bins each, are the bands. Lines that share a
 band meet the exact Jaccard similarity, which decides:
-in large buckets first with some lines there, then all pairs of a bucket
-that these links don't join. Bitmaps of the shingles refuse most pairs that
+first each line and the first of its bucket, in large buckets some more lines
+there, then all pairs of a bucket that these links don't join. Bitmaps of the shingles refuse most pairs that
 cannot be similar enough. A large bucket is split into blocks and every pair
 of blocks is a unit of work, so no pair is left out. Union-find joins the links
 to components and the first occurrence of each component stays.
@@ -18,6 +18,7 @@ are for comparisons by brute force.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -37,7 +38,7 @@ BANDS = (
 BLANK = " \t\r\x0b\x0c"
 #: The primes of XXH64.
 PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
-#: Shingles of a row of ``signatures``.
+#: Shingles of a row of ``signatures`` and of ``known_lines``.
 AT_ONCE = 4
 #: Words of a line's bitmap.
 MAP = 32
@@ -49,7 +50,7 @@ CHUNK = 1 << 20
 
 @dataclass(frozen=True)
 class Settings:
-    """``hubs``: lines of a bucket of more than ``small`` lines whose pairs are verified first, as their links make others needless.
+    """``hubs``: lines of a bucket of more than ``small`` lines whose pairs are verified first, like those of its first line, as their links make others needless.
     ``block``, ``block_bytes``: lines of a block and their bytes, about; larger buckets are split, not cut.
     ``filter_blocks``: a filter of up to this many 40-byte blocks is broadcast; with more the lines are joined without it."""
 
@@ -199,18 +200,18 @@ def _banded(found: DataFrame) -> DataFrame:
 
 
 def bucket_members(found: DataFrame, s: Settings) -> DataFrame:
-    """(bucket, band, blocks, lines, id, size) of the lines that share a band with another line; blocks and lines of the bucket.
+    """(bucket, band, blocks, lines, low, id, size) of the lines that share a band with another line; blocks, lines and smallest id of the bucket.
 
-    The count of the buckets and the join with it use all columns of one shuffle, so Spark makes the bands and deals them
+    A line is in a bucket once, as the key names the band. The count of the buckets and the join with it use all columns of one shuffle, so Spark makes the bands and deals them
     once; most buckets hold one line, so the shared ones are hashed and the lines are not sorted.
     """
     met = _banded(found).repartition("bucket")
     blocks = F.greatest(F.ceil(F.col("_n") / s.block), F.ceil(F.col("_bytes") / s.block_bytes)).cast("int")
-    of = [F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_bytes"), F.min("id").alias("_low"), F.max("id").alias("_high")]
-    shared = met.groupBy("bucket").agg(*of).where("_low < _high")
-    shared = shared.select(F.col("bucket").alias("_bucket"), blocks.alias("blocks"), F.col("_n").alias("lines")).hint("shuffle_hash")
+    of = [F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_bytes"), F.min("id").alias("low")]
+    shared = met.groupBy("bucket").agg(*of).where("_n > 1")
+    shared = shared.select(F.col("bucket").alias("_bucket"), blocks.alias("blocks"), F.col("_n").alias("lines"), "low").hint("shuffle_hash")
     both = met.join(shared, F.col("bucket") == F.col("_bucket"))
-    return both.select("bucket", F.col("bucket").bitwiseAND(15).cast("int").alias("band"), "blocks", "lines", "id", "size")
+    return both.select("bucket", F.col("bucket").bitwiseAND(15).cast("int").alias("band"), "blocks", "lines", "low", "id", "size")
 
 
 def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
@@ -231,13 +232,23 @@ def _hashes(line: Column, s: Settings) -> Column:
 
 
 def known_lines(texts: DataFrame, s: Settings) -> DataFrame:
-    """id, n (distinct shingles), a bitmap in MAP words, a bit for each shingle, and n less its bits, of the lines ``texts`` (id, line)."""
-    h = F.col("h")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
-    word = F.shiftright(h, 6).bitwiseAND(MAP - 1)
-    rows = texts.select("id", F.explode(_hashes(F.col("line"), s)).alias("h")).select("id", bit.alias("bit"), word.alias("word"))
-    words = [F.bit_or(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(MAP)]
-    out = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *words)
+    """id, n (distinct shingles), a bitmap in MAP words, a bit for each shingle, and n less its bits, of the lines ``texts`` (id, line).
+
+    A row holds AT_ONCE shingles; the last row of a line repeats its last one.
+    """
+    rows = texts.select("id", _hashes(F.col("line"), s).alias("all")).select("id", "all", F.size("all").alias("n"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(AT_ONCE))).alias("at"))
+    some = range(AT_ONCE)
+    rows = rows.select("id", "n", *[F.get("all", F.least(F.col("at") + k, F.col("n") - 1)).alias(f"h{k}") for k in some])
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.col(f"h{k}").bitwiseAND(63).cast("int")).alias(f"bit{k}") for k in some]
+    rows = rows.select("id", "n", *bits, *[F.shiftright(f"h{k}", 6).bitwiseAND(MAP - 1).alias(f"word{k}") for k in some])
+
+    def word(k: int) -> Column:
+        # "if" is shorter code than CASE WHEN
+        own = [F.call_function("if", F.col(f"word{j}") == k, F.col(f"bit{j}"), F.lit(0).cast("long")) for j in some]
+        return F.bit_or(reduce(Column.bitwiseOR, own)).alias(f"w{k}")
+
+    out = rows.groupBy("id").agg(F.max("n").alias("n"), *[word(k) for k in range(MAP)])
     return out.withColumn("more", F.col("n") - sum(F.bit_count(f"w{k}") for k in range(MAP)))
 
 
@@ -274,8 +285,10 @@ def units(members: DataFrame) -> DataFrame:
 def links(members: DataFrame, known: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """Verified links (a, b) that join the members of each bucket; ``texts``: id, line.
 
-    Lines of large buckets meet some hubs of theirs first; then come all pairs of each bucket that these links don't join.
+    Lines meet the first of each bucket of theirs and, in large ones, some hubs; then come all pairs of each bucket that these links don't join.
     """
+    # columns of a file may be null to Spark; without that the code of a pair is shorter
+    known = known.select("id", *[F.coalesce(c, F.lit(0).cast(kind)).alias(c) for c, kind in known.dtypes if c != "id"])
     ends = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
     sizes = [F.when(F.col("x.id") < F.col("y.id"), F.col(f"{p}.n")).otherwise(F.col(f"{q}.n")) for p, q in ("xy", "yx")]
     pair = [*ends, sizes[0].alias("n_a"), sizes[1].alias("n_b")]
@@ -283,7 +296,8 @@ def links(members: DataFrame, known: DataFrame, texts: DataFrame, s: Settings) -
     drawn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("_a", "bucket"), "_a"))
     hubs = large.withColumn("_rank", drawn).where(F.col("_rank") <= s.hubs).select(F.col("bucket").alias("_bucket"), F.col("_a").alias("_b"))
     met = large.join(hubs, (F.col("bucket") == F.col("_bucket")) & (F.col("_a") != F.col("_b")))
-    met = met.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
+    met = met.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b"))
+    met = met.unionByName(members.where("id > low").select(F.col("low").alias("_a"), F.col("id").alias("_b"))).distinct()
     met = met.join(known.alias("x"), F.col("_a") == F.col("x.id")).join(known.alias("y"), F.col("_b") == F.col("y.id"))
     good = stored(verified(met.where(near(s)).select(*pair), texts, s), "line-links")
     roots = components(good).select(F.col("node").alias("_node"), F.col("root").alias("_root"))

@@ -62,3 +62,34 @@ def test_bitmaps_refuse_no_pair_that_is_similar_enough(spark):
     want = {(a, b) for a, p in enumerate(sets) for b, q in enumerate(sets) if 100 * len(p & q) >= 80 * len(p | q)}
     got = {tuple(r) for r in met}
     assert want <= got and len(got) < len(sets) ** 2
+
+
+def test_bitmaps_hold_every_shingle_once(spark):
+    lines = [line.encode() for line in some_lines()]
+    rows = spark.createDataFrame(list(enumerate(lines)), "id long, line binary")
+    got = {r.id: r for r in line_dedup.known_lines(rows, line_dedup.Settings()).collect()}
+    assert len(got) == len(lines)
+    for k, line in enumerate(lines):
+        words = [0] * line_dedup.MAP
+        hashes = [int(h) for h in line_dedup.shingle_set(line, 12)]
+        for h in hashes:
+            words[(h >> 6) % line_dedup.MAP] |= 1 << (h & 63)
+        assert [got[k][f"w{j}"] % (1 << 64) for j in range(line_dedup.MAP)] == words
+        assert (got[k].n, got[k].more) == (len(hashes), len(hashes) - sum(w.bit_count() for w in words))
+
+
+def test_links_with_the_first_line_spare_the_other_pairs(spark, monkeypatch):
+    pairs = {}
+
+    def seen(df, name, *rest):
+        out = stored(df, name, *rest)
+        pairs[name] = out
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    base = " ".join(f"word{k}" for k in range(60))
+    texts = [f"{base} {k:02}" for k in range(10)]
+    docs = stored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "family")
+    rows = line_dedup.line_query(docs).collect()
+    assert {r.doc_id for r in rows if not r.n_removed} == {0}
+    assert pairs["line-pairs"].count() < 9  # of 45
