@@ -74,6 +74,15 @@ def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that sorts and merges, never broadcast.
+
+    Spark takes a table's size from its file and the kinds of its columns: an array counts as one number and an
+    exploded one as one row, so a table of many times the broadcast threshold may seem to be below it.
+    """
+    return df.hint("merge")
+
+
 def packed(df: DataFrame) -> DataFrame:
     """All columns of ``df`` as one struct ``row``: no name of the input can clash with an added column."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

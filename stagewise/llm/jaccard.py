@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, packed, released, ship, stored
+from .common import WORD, merged, packed, released, ship, stored
 from .components import components
 
 
@@ -205,10 +205,10 @@ def cut(classes: DataFrame, s: Settings) -> DataFrame:
     cuts = rows.withColumn("at", F.col(f"k{s.label}"))
     for d in range(s.label - 1, short - 1, -1):  # the shortest that anyone asks for comes last and stays
         wanted = rows.where(F.col("asked") == d).select(F.col(f"k{d}").alias(f"_k{d}")).distinct()
-        cuts = cuts.join(wanted, F.col(f"k{d}") == F.col(f"_k{d}"), "left")
+        cuts = cuts.join(merged(wanted), F.col(f"k{d}") == F.col(f"_k{d}"), "left")
         cuts = cuts.withColumn("at", F.coalesce(f"_k{d}", "at"))
     mine = cuts.groupBy(F.col("cid").alias("_cid")).agg(F.map_from_entries(F.collect_list(F.struct("tree", "at"))).alias("at"))
-    out = out.join(mine, F.col("cid") == F.col("_cid"), "left")
+    out = out.join(merged(mine), F.col("cid") == F.col("_cid"), "left")
     new = F.transform("keys", lambda x, t: F.coalesce(F.try_element_at("at", t), x))
     return stored(out.withColumn("keys", new).drop("_cid", "at"), "cut-classes")
 
@@ -217,7 +217,7 @@ def units(classes: DataFrame, s: Settings) -> DataFrame:
     """(unit, node, i, j, side, cid, keys): classes of every trie node with two or more, dealt to block pairs."""
     met = classes.select("cid", F.posexplode("keys").alias("tree", "node"))
     sizes = met.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("node", "_node")
-    met = met.join(sizes, F.col("node") == F.col("_node")).select(
+    met = met.join(merged(sizes), F.col("node") == F.col("_node")).select(
         "cid", "tree", "node", F.ceil(F.col("n") / s.block).cast("int").alias("blocks")
     )
     mine = F.pmod(F.xxhash64("cid", F.lit("block")), F.col("blocks")).cast("int")
@@ -232,7 +232,7 @@ def units(classes: DataFrame, s: Settings) -> DataFrame:
         F.greatest("mine", "other").alias("j"),
         F.col("node"),
     )
-    return met.join(classes.select(F.col("cid").alias("_cid"), "keys"), F.col("cid") == F.col("_cid")).select(
+    return met.join(merged(classes.select(F.col("cid").alias("_cid"), "keys")), F.col("cid") == F.col("_cid")).select(
         F.xxhash64("node", "i", "j").alias("unit"), "node", "i", "j", (F.col("mine") == F.col("j")).alias("right"),
         "tree", "cid", "keys",
     )
@@ -382,27 +382,27 @@ def joined(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     work = units(classes, s).repartition("unit").sortWithinPartitions("unit", "node", "i", "j")
     work = stored(work.mapInArrow(released(_needed), _UNIT), "units")
     reps = classes.select(F.col("cid").alias("_cid"), "rep.doc_id", "rep.text_hash")
-    wanted = work.select("cid").distinct().join(reps, F.col("cid") == F.col("_cid")).drop("_cid")
+    wanted = work.select("cid").distinct().join(merged(reps), F.col("cid") == F.col("_cid")).drop("_cid")
     source = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
     texts = wanted.join(
-        source, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
+        merged(source), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
     ).select(F.col("cid").alias("_cid"), "text")
-    checked = work.join(texts, F.col("cid") == F.col("_cid")).drop("_cid")
+    checked = work.join(merged(texts), F.col("cid") == F.col("_cid")).drop("_cid")
     checked = checked.repartition("unit").sortWithinPartitions("unit", "node", "i", "j")
     links = stored(checked.mapInArrow(released(lambda b: _linked(b, s)), "cid long, links long, root long"), "links")
     degrees = links.groupBy(F.col("cid").alias("_cid")).agg(F.sum("links").alias("n_links"))
     roots = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     full = classes.select("digest", "cid", "text_class", "n_copies")
-    full = full.join(degrees, F.col("cid") == F.col("_cid"), "left").drop("_cid")
-    full = full.join(roots.withColumnRenamed("node", "_cid"), F.col("cid") == F.col("_cid"), "left").drop("_cid")
+    full = full.join(merged(degrees), F.col("cid") == F.col("_cid"), "left").drop("_cid")
+    full = full.join(merged(roots.withColumnRenamed("node", "_cid")), F.col("cid") == F.col("_cid"), "left").drop("_cid")
     full = full.withColumn("root", F.coalesce("root", "cid")).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     groups = full.groupBy(F.col("root").alias("_root")).agg(
         F.min("text_class").alias("class_id"), F.sum("n_copies").alias("class_size")
     )
-    full = full.join(groups, F.col("root") == F.col("_root")).select(
+    full = full.join(merged(groups), F.col("root") == F.col("_root")).select(
         F.col("digest").alias("_digest"), "text_class", "n_copies", "n_links", "class_id", "class_size"
     )
-    out = sk.select("doc_id", "text_hash", "digest").join(full, F.col("digest") == F.col("_digest"), "left")
+    out = sk.select("doc_id", "text_hash", "digest").join(merged(full), F.col("digest") == F.col("_digest"), "left")
     return out.select(
         "doc_id",
         "text_hash",

@@ -103,3 +103,15 @@ def test_lengths_reach_the_target_recall():
         miss = math.prod(1 - s.threshold**d for d in lengths)
         assert 1 - miss >= s.recall - 1e-12
     assert len(set(jaccard.Settings().lengths())) > 1
+
+
+def test_nothing_of_the_size_of_the_tries_is_broadcast(spark, rows):
+    """The keys of the classes are arrays and are exploded: Spark takes both for a small part of their size."""
+    s = jaccard.Settings(block=BLOCK)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = jaccard.sketches(docs, s).where("digest IS NOT NULL").withColumn("cid", F.monotonically_increasing_id())
+    classes = stored(classes.select("cid", "keys", "tails"), "test-classes")
+    for df in (jaccard.units(classes.drop("tails"), s), jaccard.joined(docs, s)):
+        df.count()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
