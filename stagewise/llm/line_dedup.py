@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, stored
+from .common import merged, packed, stored
 from .components import components
 from .url_filter import BITS_A_KEY, WORDS, bloom_blocks, bloom_hit
 
@@ -222,7 +222,7 @@ def occurrences(lines: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
         at, passes = bloom_hit(F.col("h1"), blocks_needed)
         lines = lines.join(F.broadcast(blocks), at == F.col("block")).where(passes)
     keys = wanted.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "id", "fuzzy")
-    met = lines.join(keys, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")))
+    met = lines.join(merged(keys), (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")))
     return met.select("doc_id", "text_hash", "pos", "id", F.when(F.col("fuzzy"), F.col("line")).alias("line"))
 
 

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from stagewise.llm import line_dedup
 from stagewise.llm.common import stored
@@ -93,3 +94,15 @@ def test_links_with_the_first_line_spare_the_other_pairs(spark, monkeypatch):
     rows = line_dedup.line_query(docs).collect()
     assert {r.doc_id for r in rows if not r.n_removed} == {0}
     assert pairs["line-pairs"].count() < 9  # of 45
+
+
+def test_wanted_lines_are_not_broadcast_by_the_size_of_their_file(spark):
+    s = line_dedup.Settings()
+    docs = spark.createDataFrame([(k, f"line {k % 40}\nanother line {k}") for k in range(80)], "doc_id long, text string")
+    lines = line_dedup.lines_of(stored(docs, "test-docs"))
+    wanted = lines.groupBy("h1", "h2").agg(F.min("pos").cast("long").alias("id"), F.count("pos").alias("n")).where("n > 1")
+    wanted = stored(wanted.select("h1", "h2", "id", F.lit(False).alias("fuzzy")), "test-wanted")
+    found = line_dedup.occurrences(lines, wanted, s)
+    assert found.count() == 80
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [h1" in plan and plan.count("BroadcastExchange ") <= 1  # the filter's blocks
